@@ -19,8 +19,7 @@ def select_articles(
     meta: DataFrame, n: int = 10_000, key: str = "sha", rank: str = "rank", flag: str = "paper_br"
 ) -> DataFrame:
     """Flagged articles plus the ``n`` best-ranked of the others, one row per id."""
-    numeric = F.col(rank).try_cast("double")
-    typed = meta.withColumn(rank, numeric)
+    typed = meta.withColumn(rank, F.col(rank).try_cast("double")).withColumn(flag, F.col(flag).try_cast("int"))
     flagged = typed.where(F.col(flag) == 1)
     others = typed.where((F.col(flag) == 0) & F.col(rank).isNotNull())
     best = best_per_key(top_n(others, n, [F.asc(rank), F.asc(key)]), [key], [F.asc(rank)])

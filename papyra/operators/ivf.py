@@ -72,7 +72,7 @@ def ivf_search(
     Exact when ``nprobe`` is the number of cells. Cells no query probes are
     pruned as partitions and not read.
     """
-    rows = spark.read.parquet(f"{path}/rows")
+    rows = spark.read.parquet(f"{path}/rows").withColumnRenamed("cell", "_cell")
     carried = list(columns or [])
     point = unit(F.col(query_column)) if metric == "cosine" else F.col(query_column).cast("array<double>")
     asked = queries.where(F.col(query_column).isNotNull()).select(
@@ -105,7 +105,7 @@ def ivf_search(
         for q, cell in zip(table.column(query_id).to_pylist(), table.column("cell").to_pylist()):
             places.setdefault(cell, []).append(position[q])
         search.by_cell = {cell: np.array(sorted(p)) for cell, p in places.items()}
-        hits = exact.scan_search(rows.where(F.col("cell").isin(sorted(places))), search, schema)
+        hits = exact.scan_search(rows.where(F.col("_cell").isin(sorted(places))), search, schema)
     else:
-        hits = exact.grid_search(rows, asked.join(probes, query_id), search, query_id, schema)
+        hits = exact.grid_search(rows, asked.join(probes.withColumnRenamed("cell", "_cell"), query_id), search, query_id, schema)
     return exact.ranked(hits, query_id, ids, k)

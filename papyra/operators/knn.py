@@ -164,8 +164,8 @@ def scan_search(corpus: DataFrame, search: Search, schema: T.StructType) -> Data
                 groups = [(table, everyone)]
             else:
                 groups = [
-                    (table.filter(pc.equal(table.column("cell"), cell)), s.by_cell[cell])
-                    for cell in pc.unique(table.column("cell")).to_pylist()
+                    (table.filter(pc.equal(table.column("_cell"), cell)), s.by_cell[cell])
+                    for cell in pc.unique(table.column("_cell")).to_pylist()
                     if cell in s.by_cell
                 ]
             for rows, which in groups:
@@ -178,7 +178,7 @@ def scan_search(corpus: DataFrame, search: Search, schema: T.StructType) -> Data
         for table in s.merge(best):
             yield from s.finish(table, s.query_ids, arrow).to_batches()
 
-    cell = ["cell"] if search.by_cell is not None else []
+    cell = ["_cell"] if search.by_cell is not None else []
     return corpus.select(*search.ids, *search.carried, search.column, *cell).mapInArrow(scan, schema)
 
 
@@ -191,31 +191,31 @@ def grid_search(
     block_rows: int = BLOCK_ROWS,
     block_queries: int = BLOCK_QUERIES,
 ) -> DataFrame:
-    """Search with a query table of any size; both sides carry ``cell``.
+    """Search with a query table of any size; both sides carry ``_cell``.
 
     Within a cell both sides are hashed into blocks of bounded size and each
     (corpus block, query block) pair is scored in one task, which returns k
     rows per query. A hot cell simply has more blocks.
     """
     arrow = to_arrow_schema(schema)
-    blocks = lambda df, size, name: df.groupBy("cell").agg(
+    blocks = lambda df, size, name: df.groupBy("_cell").agg(
         F.ceil(F.count("*") / size).cast("int").alias(name)
     )
     # At most one row per cell, so both tables are small whatever the data size.
     sizes = F.broadcast(
-        blocks(corpus, block_rows, "_nc").join(blocks(queries, block_queries, "_nq"), "cell")
+        blocks(corpus, block_rows, "_nc").join(blocks(queries, block_queries, "_nq"), "_cell")
     )
     up_to = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = (
-        corpus.select(*search.ids, *search.carried, search.column, "cell")
-        .join(sizes, "cell")
+        corpus.select(*search.ids, *search.carried, search.column, "_cell")
+        .join(sizes, "_cell")
         .withColumn("_cb", F.pmod(F.xxhash64(*search.ids), F.col("_nc")).cast("int"))
         .withColumn("_qb", up_to("_nq"))
         .drop("_nc", "_nq")
     )
     right = (
-        queries.select(F.col(query_id).alias("_query_id"), F.col("_query_vector"), "cell")
-        .join(sizes, "cell")
+        queries.select(F.col(query_id).alias("_query_id"), F.col("_query_vector"), "_cell")
+        .join(sizes, "_cell")
         .withColumn("_qb", F.pmod(F.xxhash64("_query_id"), F.col("_nq")).cast("int"))
         .withColumn("_cb", up_to("_nc"))
         .drop("_nc", "_nq")
@@ -229,7 +229,7 @@ def grid_search(
         parts = list(search.candidates(rows, wanted, np.arange(len(wanted)), query_ids))
         return search.finish(search.merge(parts)[0], query_ids, arrow)
 
-    block = ["cell", "_cb", "_qb"]
+    block = ["_cell", "_cb", "_qb"]
     return left.groupBy(*block).cogroup(right.groupBy(*block)).applyInArrow(pair, schema)
 
 
@@ -277,6 +277,6 @@ def knn(
         search.query_ids = small.column(query_id).combine_chunks()
         hits = scan_search(corpus, search, schema)
     else:
-        one = F.lit(0).alias("cell")
+        one = F.lit(0).alias("_cell")
         hits = grid_search(corpus.select("*", one), asked.select("*", one), search, query_id, schema)
     return ranked(hits, query_id, ids, k)

@@ -7,22 +7,23 @@ from pyspark.sql import functions as F
 
 from papyra.operators.changes import apply_changes
 from papyra.operators.dedupe import best_per_key
+from papyra.sinks.writers import write_parquet
 
 
 def refresh(
     spark: SparkSession, changes_dir: str, schema: str, keys: list[str], index_dir: str, checkpoint: str
 ) -> None:
-    """Apply the change files not seen before and stop.
+    """Take in the change files not seen before and stop.
 
-    ``index_dir/v0`` is the first snapshot. Batch n reads snapshot n and
-    writes snapshot n + 1, so running a batch again gives the same snapshot.
+    ``index_dir/base`` is the stored snapshot and stays as it is; a batch adds
+    only its own changes below ``index_dir/changes``, so a refresh costs as
+    much as what changed. A batch that is run again overwrites its folder.
     """
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        table = spark.read.parquet(f"{index_dir}/v{batch_id}")
+    def keep(batch: DataFrame, batch_id: int) -> None:
         # Of several changes to a key in one batch the newest file's one holds.
         latest = best_per_key(batch, keys, [F.desc("_at"), F.asc("change")]).drop("_at")
-        apply_changes(table, latest, keys).write.mode("overwrite").parquet(f"{index_dir}/v{batch_id + 1}")
+        write_parquet(latest, f"{index_dir}/changes/batch={batch_id}")
 
     stream = (
         spark.readStream.schema(schema)
@@ -30,7 +31,7 @@ def refresh(
         .withColumn("_at", F.col("_metadata.file_modification_time"))
     )
     query = (
-        stream.writeStream.foreachBatch(merge)
+        stream.writeStream.foreachBatch(keep)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -38,12 +39,13 @@ def refresh(
     query.awaitTermination()
 
 
-def current(spark: SparkSession, index_dir: str, checkpoint: str) -> DataFrame:
-    """The newest snapshot, as told by the batches the checkpoint committed."""
-    commits = (
-        spark.read.format("binaryFile")
-        .load(f"{checkpoint}/commits")
-        .select(F.regexp_extract("path", r"/(\d+)$", 1).try_cast("int").alias("batch"))
-    )
-    newest = commits.agg(F.max("batch")).first()[0]
-    return spark.read.parquet(f"{index_dir}/v{0 if newest is None else newest + 1}")
+def current(spark: SparkSession, index_dir: str, keys: list[str]) -> DataFrame:
+    """The stored snapshot with the newest change of each key applied."""
+    base = spark.read.parquet(f"{index_dir}/base")
+    changes = spark.read.parquet(f"{index_dir}/changes")
+    return apply_changes(base, best_per_key(changes, keys, [F.desc("batch")]).drop("batch"), keys)
+
+
+def compact(spark: SparkSession, index_dir: str, keys: list[str], new_dir: str) -> None:
+    """Write the current snapshot as the base of a new index folder."""
+    write_parquet(current(spark, index_dir, keys), f"{new_dir}/base")
