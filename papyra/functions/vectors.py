@@ -73,7 +73,7 @@ def bucket_counts(buckets: Column) -> Column:
 
         return let(F.filter(places, first), to_map)
 
-    return let(F.array_sort(buckets), count)
+    return let(F.sort_array(buckets), count)
 
 
 def unit_dense(counts: Column, dim: int) -> Column:

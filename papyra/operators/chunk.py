@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from papyra.functions.text import non_empty
+from papyra.session import ship
 
 # Chunk length, overlap and separators in order of preference.
 SIZE = 1000
@@ -31,9 +32,10 @@ def chunk_fixed(
         raise ValueError("overlap must be at least 0 and less than size")
     step = size - overlap
     reach = -(-size // step)
-    pieces = df.where(non_empty(text)).select(
-        *keys, F.regexp_extract_all(text, F.lit(f"(?s).{{1,{step}}}"), F.lit(0)).alias("_pieces")
-    )
+    # Blank texts get null pieces and so no row; a filter would be pushed below
+    # the projection that makes the text and compute it a second time.
+    cut_up = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
+    pieces = df.select(*keys, F.when(non_empty(text), cut_up).alias("_pieces"))
     last = F.element_at("_pieces", -1)
     n = F.size("_pieces")
     # A last piece of at most `overlap` characters already ends the window before it.
@@ -42,7 +44,7 @@ def chunk_fixed(
         total = (n - 1) * step + F.length(last)
         windows = F.greatest(F.lit(1), F.ceil((total - overlap) / step)).cast("int")
     window = lambda i: F.substring(F.array_join(F.slice("_pieces", i, reach), ""), 1, size)
-    cut = F.transform(F.sequence(F.lit(1), windows), window)
+    cut = F.transform(F.when(n > 0, F.sequence(F.lit(1), windows)), window)
     return pieces.select(*keys, F.posexplode(cut).alias("chunk_no", "chunk_text"))
 
 
@@ -121,7 +123,8 @@ def chunk_recursive(
     """
     if not 0 <= overlap < size:
         raise ValueError("overlap must be at least 0 and less than size")
-    source = df.where(non_empty(text)).select(*keys, F.col(text).alias("_text"))
+    ship(df.sparkSession)
+    source = df.select(*keys, F.col(text).alias("_text"))
     schema = T.StructType(
         [source.schema[k] for k in keys]
         + [
@@ -156,7 +159,7 @@ def chunk_recursive(
                 )
 
             for row, value in enumerate(batch.column("_text")):
-                body = value.as_py()
+                body = value.as_py() or ""
                 for no, (a, b) in enumerate(split_spans(body, size, overlap, separators)):
                     owner.append(row)
                     number.append(no)

@@ -22,7 +22,9 @@ def select_articles(
     typed = meta.withColumn(rank, F.col(rank).try_cast("double")).withColumn(flag, F.col(flag).try_cast("int"))
     flagged = typed.where(F.col(flag) == 1)
     others = typed.where((F.col(flag) == 0) & F.col(rank).isNotNull())
-    best = best_per_key(top_n(others, n, [F.asc(rank), F.asc(key)]), [key], [F.asc(rank)])
+    # Only id and rank take part in the sort; the wide rows are looked up after.
+    best_ids = top_n(others.select(key, rank), n, [F.asc(rank), F.asc(key)])
+    best = others.join(best_ids, [key, rank], "left_semi")
     order = [F.desc(flag), F.asc_nulls_last(rank)]
     return best_per_key(flagged.unionByName(best), [key], order)
 
@@ -46,12 +48,10 @@ def affiliated_ids(articles: DataFrame, countries: tuple[str, ...] = ("brazil",
 
 def flatten_articles(articles: DataFrame, require_abstract: bool = False) -> DataFrame:
     """``(cord_uid, text)``: abstract and body joined, empty articles dropped."""
-    flat = articles.select(
+    has_text = lambda part: F.coalesce(F.exists(F.col(part)["text"], non_empty), F.lit(False))
+    # Stops at the first text; a test of the joined text would join it twice.
+    kept = articles.where(has_text("abstract") if require_abstract else has_text("abstract") | has_text("body_text"))
+    return kept.select(
         F.col("paper_id").alias("cord_uid"),
-        joined_texts("abstract").alias("_abstract"),
-        joined_texts("body_text").alias("_body"),
+        F.concat_ws(" \n ", joined_texts("abstract"), joined_texts("body_text")).alias("text"),
     )
-    if require_abstract:
-        flat = flat.where(non_empty("_abstract"))
-    flat = flat.select("cord_uid", F.concat_ws(" \n ", "_abstract", "_body").alias("text"))
-    return flat.where(non_empty("text"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from papyra.functions.vectors import bucket_counts, term_buckets, unit_dense
+from papyra.session import ship
 
 # Fixed value: length of a chunk vector.
 DIM = 384
@@ -35,6 +36,7 @@ def embed_with(
     out: str = "chunk_text_vector",
 ) -> DataFrame:
     """Add the vectors of a model. ``load_encoder`` runs once per partition."""
+    ship(df.sparkSession)
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.ArrayType(T.FloatType()))])
 
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

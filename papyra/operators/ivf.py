@@ -90,12 +90,12 @@ def ivf_search(
         columns=[],
         max_broadcast_queries=max_broadcast_queries,
     ).select(query_id, "cell")
-    schema = exact.result_schema(rows, queries, query_id, ids, carried)
-    search = exact.Search(k, metric, ids, column, carried, exclude_self)
     small = None
     if max_broadcast_queries:
         small = asked.select(query_id, "_query_vector").limit(max_broadcast_queries + 1).toArrow()
     if small is not None and small.num_rows <= max_broadcast_queries:
+        schema = exact.result_schema(rows, queries, query_id, ids, carried)
+        search = exact.Search(k, metric, ids, column, carried, exclude_self)
         search.queries = exact.matrix(small.column("_query_vector"))
         search.query_ids = small.column(query_id).combine_chunks()
         # One row per (query, probed cell) of a bounded number of queries.
@@ -105,7 +105,10 @@ def ivf_search(
         for q, cell in zip(table.column(query_id).to_pylist(), table.column("cell").to_pylist()):
             places.setdefault(cell, []).append(position[q])
         search.by_cell = {cell: np.array(sorted(p)) for cell, p in places.items()}
-        hits = exact.scan_search(rows.where(F.col("_cell").isin(sorted(places))), search, schema)
-    else:
-        hits = exact.grid_search(rows, asked.join(probes.withColumnRenamed("cell", "_cell"), query_id), search, query_id, schema)
-    return exact.ranked(hits, query_id, ids, k)
+        probed = rows.where(F.col("_cell").isin(sorted(places)))
+        return exact.ranked(exact.scan_search(probed, search, schema), query_id, ids, k)
+    schema = exact.result_schema(rows, queries, query_id, ids, [])
+    search = exact.Search(k, metric, ids, column, [], exclude_self)
+    routed = asked.join(probes.withColumnRenamed("cell", "_cell"), query_id)
+    hits = exact.ranked(exact.grid_search(rows, routed, search, query_id, schema), query_id, ids, k)
+    return exact.with_columns(hits, rows, ids, carried)

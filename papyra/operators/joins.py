@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Catalyst's own size estimate makes it broadcast ``df``."""
+    """Whether Catalyst's size estimate of ``df`` is below the broadcast limit."""
     spark = df.sparkSession
     text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     limit = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
@@ -15,14 +18,13 @@ def fits_broadcast(df: DataFrame) -> bool:
     return 0 <= size <= limit
 
 
-def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
+def hot_keys(df: DataFrame, keys: list[str], share: float) -> DataFrame:
     """Hashes of the keys that hold more than ``share`` of the rows.
 
     One pass with a mergeable frequent-items sketch: no shuffle of the keys,
     and at most ``1 / share`` result rows whatever the table's size.
     """
-    keyed = df.where(F.col(key).isNotNull()).select(F.xxhash64(key).alias("hot"))
-    tops = keyed.agg(
+    tops = df.dropna(subset=keys).select(F.xxhash64(*keys).alias("hot")).agg(
         F.expr(f"approx_top_k(hot, {int(1 / share) + 1}, 10000)").alias("tops"),
         F.count("*").alias("total"),
     )
@@ -36,37 +38,48 @@ def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
-    key: str,
+    on: str | list[str],
     how: str = "left",
     spread_by: list[str] | None = None,
     salts: int = 32,
     hot_share: float = 0.01,
+    unique_left: bool = False,
 ) -> DataFrame:
     """Join ``left``, whose keys may be skewed, with one-row-per-key ``right``.
 
-    A right side that Spark broadcasts needs no shuffle, hence no care. Beyond
-    that size the rows of hot keys, and rows whose key is null, are spread
-    over ``salts`` partitions by a hash of ``spread_by`` (default: all other
+    A right side below Spark's broadcast limit is broadcast: no shuffle, hence
+    no skew, and the left side keeps its partitions. Beyond that size the rows of hot keys, and rows with a null key, are spread over
+    ``salts`` partitions by a hash of ``spread_by`` (default: all other
     columns, so a re-run task salts alike), and only the matching rows of
     ``right`` are repeated. Works for left, inner, left_semi and left_anti.
+
+    Hot keys are found by a second pass over the key columns of ``left``, so
+    ``left`` should be cheap to read. With ``unique_left`` no key can be hot
+    and the pass is left out.
     """
+    keys = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(right):
-        return left.join(right, key, how)
-    hot = hot_keys(left, key, hot_share)
-    spread_by = spread_by or [c for c in left.columns if c != key]
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    is_hot = F.col("hot").isNotNull()
-    salted = (
-        left.withColumn("_hash", F.xxhash64(key))
-        .join(F.broadcast(hot), F.col("_hash") == F.col("hot"), "left")
-        .withColumn("_salt", F.when(is_hot | F.col(key).isNull(), salt).otherwise(F.lit(0)))
-        .drop("_hash", "hot")
-    )
+        return left.join(F.broadcast(right), keys, how)
+    # Shuffled hash join: with one row per key the partitions of `right` stay
+    # small, and the wide rows of `left` need no sort.
+    if unique_left:
+        return left.join(right.hint("shuffle_hash"), keys, how)
+    hot = hot_keys(left, keys, hot_share)
+    spread_by = spread_by or [c for c in left.columns if c not in keys]
+    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int") if spread_by else F.lit(0)
     every = F.sequence(F.lit(0), F.lit(salts - 1))
-    repeated = (
-        right.withColumn("_hash", F.xxhash64(key))
-        .join(F.broadcast(hot), F.col("_hash") == F.col("hot"), "left")
-        .withColumn("_salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))))
-        .drop("_hash", "hot")
+    is_hot = F.col("hot").isNotNull()
+    no_key = reduce(or_, [F.col(k).isNull() for k in keys])
+
+    def marked(df: DataFrame) -> DataFrame:
+        return df.withColumn("_hash", F.xxhash64(*keys)).join(
+            F.broadcast(hot), F.col("_hash") == F.col("hot"), "left"
+        )
+
+    salted = marked(left).withColumn("_salt", F.when(is_hot | no_key, salt).otherwise(F.lit(0)))
+    repeated = marked(right).withColumn(
+        "_salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0))))
     )
-    return salted.join(repeated, [key, "_salt"], how).drop("_salt")
+    helpers = ["_hash", "hot"]
+    repeated = repeated.drop(*helpers).hint("shuffle_hash")
+    return salted.drop(*helpers).join(repeated, keys + ["_salt"], how).drop("_salt")

@@ -15,6 +15,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from papyra.functions import vectors
 from papyra.functions.vectors import METRICS, SCORE_DIGITS
+from papyra.operators.joins import lookup_join
+from papyra.session import ship
 
 # Scores below every real one: an undefined score is still a (last) hit, a
 # self match is none.
@@ -27,23 +29,6 @@ BLOCK_QUERIES = 4_096
 TILE = 1 << 22
 
 
-def nearest(
-    corpus: DataFrame,
-    vector: list[float],
-    k: int,
-    ids: list[str],
-    column: str = "chunk_text_vector",
-    metric: str = "cosine",
-    columns: list[str] | None = None,
-) -> DataFrame:
-    """The ``k`` rows nearest to one vector, in Spark expressions alone."""
-    query = F.lit([float(x) for x in vector])
-    scored = corpus.where(F.col(column).isNotNull()).select(
-        *ids, *(columns or []), vectors.score(F.col(column), query, metric).alias("score")
-    )
-    return scored.orderBy(F.desc_nulls_last("score"), *ids).limit(k)
-
-
 def score_block(queries: np.ndarray, rows: np.ndarray, metric: str) -> np.ndarray:
     """Scores of all queries (down) against all rows (across)."""
     if metric == "l2":
@@ -102,6 +87,9 @@ class Search:
 
     def candidates(self, table: pa.Table, queries: np.ndarray, which: np.ndarray, query_ids: pa.Array):
         """Candidate tables: up to ``k`` rows per query and tile."""
+        table = table.filter(pc.is_valid(table.column(self.column)))
+        if not table.num_rows:
+            return
         table = table.take(pc.sort_indices(table.select(self.ids), sort_keys=[(c, "ascending") for c in self.ids]))
         kept = table.select(self.ids + self.carried)
         rows = matrix(table.column(self.column))
@@ -136,12 +124,12 @@ class Search:
 
 
 def result_schema(corpus: DataFrame, queries: DataFrame, query_id: str, ids: list[str], carried: list[str]):
-    return T.StructType(
-        [queries.schema[query_id]]
-        + [corpus.schema[c] for c in ids]
-        + [T.StructField("score", T.DoubleType())]
-        + [corpus.schema[c] for c in carried]
-    )
+    return T.StructType([queries.schema[query_id]] + result_fields(corpus, ids, carried))
+
+
+def result_fields(corpus: DataFrame, ids: list[str], carried: list[str]) -> list[T.StructField]:
+    score = [T.StructField("score", T.DoubleType())]
+    return [corpus.schema[c] for c in ids] + score + [corpus.schema[c] for c in carried]
 
 
 def scan_search(corpus: DataFrame, search: Search, schema: T.StructType) -> DataFrame:
@@ -149,6 +137,7 @@ def scan_search(corpus: DataFrame, search: Search, schema: T.StructType) -> Data
 
     The corpus is not shuffled. Only ``k`` rows per query leave a partition.
     """
+    ship(corpus.sparkSession)
     arrow = to_arrow_schema(schema)
     shared = corpus.sparkSession.sparkContext.broadcast(search)
 
@@ -197,6 +186,7 @@ def grid_search(
     (corpus block, query block) pair is scored in one task, which returns k
     rows per query. A hot cell simply has more blocks.
     """
+    ship(corpus.sparkSession)
     arrow = to_arrow_schema(schema)
     blocks = lambda df, size, name: df.groupBy("_cell").agg(
         F.ceil(F.count("*") / size).cast("int").alias(name)
@@ -226,8 +216,8 @@ def grid_search(
             return arrow.empty_table()
         query_ids = asked.column("_query_id").combine_chunks()
         wanted = matrix(asked.column("_query_vector"))
-        parts = list(search.candidates(rows, wanted, np.arange(len(wanted)), query_ids))
-        return search.finish(search.merge(parts)[0], query_ids, arrow)
+        best = search.merge(list(search.candidates(rows, wanted, np.arange(len(wanted)), query_ids)))
+        return search.finish(best[0], query_ids, arrow) if best else arrow.empty_table()
 
     block = ["_cell", "_cb", "_qb"]
     return left.groupBy(*block).cogroup(right.groupBy(*block)).applyInArrow(pair, schema)
@@ -264,19 +254,62 @@ def knn(
     if exclude_self and len(ids) != 1:
         raise ValueError("exclude_self needs a single id column")
     carried = list(columns or [])
-    corpus = corpus.where(F.col(column).isNotNull())
     asked = queries.where(F.col(query_column).isNotNull()).select(
         F.col(query_id), F.col(query_column).alias("_query_vector")
     )
-    schema = result_schema(corpus, queries, query_id, ids, carried)
-    search = Search(k, metric, ids, column, carried, exclude_self)
     # The limit bounds what reaches the driver; one row more tells "too many".
     small = asked.limit(max_broadcast_queries + 1).toArrow() if max_broadcast_queries else None
     if small is not None and small.num_rows <= max_broadcast_queries:
+        schema = result_schema(corpus, queries, query_id, ids, carried)
+        search = Search(k, metric, ids, column, carried, exclude_self)
         search.queries = matrix(small.column("_query_vector"))
         search.query_ids = small.column(query_id).combine_chunks()
-        hits = scan_search(corpus, search, schema)
-    else:
-        one = F.lit(0).alias("_cell")
-        hits = grid_search(corpus.select("*", one), asked.select("*", one), search, query_id, schema)
-    return ranked(hits, query_id, ids, k)
+        return ranked(scan_search(corpus, search, schema), query_id, ids, k)
+    schema = result_schema(corpus, queries, query_id, ids, [])
+    search = Search(k, metric, ids, column, [], exclude_self)
+    one = F.lit(0).alias("_cell")
+    hits = grid_search(corpus.select("*", one), asked.select("*", one), search, query_id, schema)
+    return with_columns(ranked(hits, query_id, ids, k), corpus, ids, carried)
+
+
+def with_columns(hits: DataFrame, corpus: DataFrame, ids: list[str], columns: list[str]) -> DataFrame:
+    """Corpus columns of the hits, joined afterwards so blocks need not repeat them."""
+    if not columns:
+        return hits
+    return lookup_join(hits, corpus.select(*ids, *columns), ids)
+
+
+def nearest(
+    corpus: DataFrame,
+    vector: list[float],
+    k: int,
+    ids: list[str],
+    column: str = "chunk_text_vector",
+    metric: str = "cosine",
+    columns: list[str] | None = None,
+) -> DataFrame:
+    """The ``k`` rows nearest to one vector: ids, score, columns, rank."""
+    carried = list(columns or [])
+    search = Search(k, metric, ids, column, carried, False)
+    search.queries = np.array([vector], dtype=np.float64)
+    search.query_ids = pa.array([0], pa.int32())
+    one = T.StructType([T.StructField("_one", T.IntegerType())])
+    schema = T.StructType(one.fields + result_fields(corpus, ids, carried))
+    return ranked(scan_search(corpus, search, schema), "_one", ids, k).drop("_one")
+
+
+def nearest_expr(
+    corpus: DataFrame,
+    vector: list[float],
+    k: int,
+    ids: list[str],
+    column: str = "chunk_text_vector",
+    metric: str = "cosine",
+    columns: list[str] | None = None,
+) -> DataFrame:
+    """``nearest`` in Spark expressions alone: slower per row, no Python."""
+    query = F.lit([float(x) for x in vector])
+    scored = corpus.where(F.col(column).isNotNull()).select(
+        *ids, vectors.score(F.col(column), query, metric).alias("score"), *(columns or [])
+    )
+    return scored.orderBy(F.desc_nulls_last("score"), *ids).limit(k)

@@ -35,4 +35,4 @@ def year_sizes(by_year: DataFrame) -> DataFrame:
 
 def write_by_year(docs: DataFrame, by_year: DataFrame, path: str) -> None:
     """Documents of the listed ids, in one folder per publication year."""
-    write_by(lookup_join(by_year, docs, "sha", "inner"), path, "year")
+    write_by(lookup_join(docs, by_year, "sha", "inner"), path, "year")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,17 @@ def get_spark(app: str = "papyra", master: str | None = None, **conf: str) -> Sp
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers of all executors this package, once."""
+    context = spark.sparkContext
+    if getattr(context, "_papyra_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="papyra-")) / package.name
+    context.addPyFile(shutil.make_archive(str(target), "zip", package.parent, package.name))
+    context._papyra_shipped = True
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder name below the cluster's shared ``spark.checkpoint.dir``.
 

@@ -9,17 +9,20 @@ from papyra.functions.text import file_stem
 from papyra.sources.schemas import ARTICLE, CORRUPT, IDS, METADATA, RANKS, RECORD
 
 
-def read_csv(spark: SparkSession, path: str, schema: str, tolerant: bool = False) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: str, tolerant: bool = False, multi_line: bool = True
+) -> DataFrame:
     """CSV with a header, doubled quotes and line breaks inside quotes.
 
-    ``tolerant`` adds a ``_corrupt_record`` column holding the lines that do
+    ``multi_line=False`` lets Spark split large files whose cells hold no line
+    breaks. ``tolerant`` adds a ``_corrupt_record`` column holding the lines that do
     not fit the schema; their cells that do fit are kept.
     """
     reader = (
         spark.read.option("header", True)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
     )
     if tolerant:

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from papyra.operators.documents import affiliated_ids
 from papyra.operators.quality import enrichment_audit
 from papyra.plans.enrich import doi_set, enrich_metadata, match_records, rank_by_issn
-from papyra.sources.schemas import RANKS
-from papyra.suite.tables import ARTICLES_SQL, articles, table
+from papyra.suite.tables import ARTICLES_SQL, articles, documents, table
 
 # Rank list: one serial number twice, one without a number for a rank.
 RANK_ROWS = [
@@ -35,7 +34,9 @@ def issn_rank(spark, sf_dir):
         F.col("o_custkey").cast("string").alias("DOI"),
         F.array("o_orderpriority", F.concat(F.lit("0-"), F.col("o_orderstatus"))).alias("ISSN"),
     )
-    return rank_by_issn(records, spark.createDataFrame(RANK_ROWS, RANKS)).withColumnsRenamed(
+    listed = ", ".join(str(row) for row in RANK_ROWS)
+    ranks = spark.sql(f"SELECT * FROM VALUES {listed} AS r(ISSN, `Full Journal Title`, Rank, `Journal Impact Factor`)")
+    return rank_by_issn(records, ranks).withColumnsRenamed(
         {"Full Journal Title": "title", "Rank": "rank", "Journal Impact Factor": "impact"}
     )
 
@@ -88,13 +89,13 @@ def audit_rates(spark, sf_dir):
 
 
 def any_affiliation(spark, sf_dir):
-    return affiliated_ids(articles(table(spark, sf_dir, "documents")), COUNTRIES)
+    return affiliated_ids(articles(documents(spark, sf_dir)), COUNTRIES)
 
 
 AFFILIATION_SQL = f"""
     SELECT doc_id::VARCHAR AS sha FROM ({ARTICLES_SQL})
     WHERE len(list_filter(lines,
-        lambda l: lower(regexp_extract(l, '([A-Za-z]+)[^A-Za-z]*$', 1)) IN {COUNTRIES})) > 0"""
+        lambda l: lower(regexp_replace(string_split(l, ' ')[-1], '[^A-Za-z]', '', 'g')) IN {COUNTRIES})) > 0"""
 
 
 SUITE = {

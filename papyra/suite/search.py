@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyra.operators.context import INSTRUCTIONS, RULE, contexts, hits_json, prompts
-from papyra.operators.embed import embed_terms
+from papyra.operators.context import INSTRUCTIONS, RULE, contexts, hits_json
 from papyra.operators.ivf import ivf_build, ivf_search
-from papyra.operators.knn import knn, nearest
+from papyra.operators.knn import knn, nearest, nearest_expr
+from papyra.plans.gold import cited_vectors
 from papyra.plans.retrieve import HITS, question_hits, question_prompts
 from papyra.session import scratch_dir
-from papyra.suite.tables import CITATIONS_SQL, documents, table, terms_sql, windows_sql
-from papyra.suite.texts import cited_chunks
+from papyra.suite.tables import CITATIONS_SQL, citations, documents, table, terms_sql, windows_sql
 
 K = 5
 CELLS = 16
@@ -35,7 +34,12 @@ def mean_vector(corpus: DataFrame) -> list[float]:
 
 def knn_one(spark, sf_dir):
     corpus = vectors(spark, sf_dir)
-    return nearest(corpus, mean_vector(corpus), K, ["vec_id"], "embedding", columns=["label"])
+    return nearest(corpus, mean_vector(corpus), K, ["vec_id"], "embedding", columns=["label"]).drop("rank")
+
+
+def knn_one_expr(spark, sf_dir):
+    corpus = vectors(spark, sf_dir)
+    return nearest_expr(corpus, mean_vector(corpus), K, ["vec_id"], "embedding", columns=["label"])
 
 
 KNN_ONE_SQL = f"""
@@ -110,7 +114,8 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def searchable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embed_terms(cited_chunks(spark, sf_dir))
+    texts = documents(spark, sf_dir).select(F.col("doc_id").cast("string").alias("cord_uid"), "text")
+    return cited_vectors(texts, citations(table(spark, sf_dir, "documents")), recursive=False)
 
 
 HITS_SQL = f"""
@@ -169,6 +174,7 @@ PROMPT_SQL = f"""
 
 SUITE = {
     "knn_one": (knn_one, KNN_ONE_SQL),
+    "knn_one_expr": (knn_one_expr, KNN_ONE_SQL),
     "knn_batch": (all_pairs("cosine"), knn_sql("cosine")),
     "knn_batch_dot": (all_pairs("dot"), knn_sql("dot")),
     "knn_batch_l2": (all_pairs("l2"), knn_sql("l2")),

@@ -27,7 +27,7 @@ from papyra.streaming.records import match_records_incremental, matched_records,
 from papyra.streaming.refresh import current, refresh
 from papyra.suite.enrichment import AFFILIATION_SQL, COUNTRIES
 from papyra.suite.selection import BY_YEAR_SQL, document_ids_by_year
-from papyra.suite.tables import FLAT_SQL, articles, table
+from papyra.suite.tables import FLAT_SQL, articles, documents, table
 
 
 def csv_roundtrip(spark, sf_dir):
@@ -86,7 +86,7 @@ def file_audit_by_folder(spark, sf_dir):
 def stored_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Articles written as JSON in one sub-folder per language, read back."""
     path = scratch_dir(spark, "articles")
-    write_jsonl(articles(table(spark, sf_dir, "documents"), keep=("lang",)), path, by=["lang"])
+    write_jsonl(articles(documents(spark, sf_dir), keep=("lang",)), path, by=["lang"])
     return well_formed(read_articles(spark, path, multi_line=False))
 
 

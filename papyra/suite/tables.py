@@ -28,7 +28,7 @@ def articles(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     author = lambda l: F.struct(
         F.struct(
             F.struct(
-                F.concat(F.lit(" "), F.upper(F.regexp_extract(l, "([A-Za-z]+)[^A-Za-z]*$", 1)), F.lit("\t"))
+                F.concat(F.lit(" "), F.upper(F.regexp_replace(F.substring_index(l, " ", -1), "[^A-Za-z]", "")), F.lit("\t"))
                 .alias("country")
             ).alias("location")
         ).alias("affiliation")
