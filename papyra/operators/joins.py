@@ -11,9 +11,7 @@ from pyspark.sql import functions as F
 
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether Catalyst's size estimate of ``df`` is below the broadcast limit."""
-    spark = df.sparkSession
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    limit = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return 0 <= size <= limit
 

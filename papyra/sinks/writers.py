@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV that ``read_csv`` reads back unchanged."""
+    """CSV that ``read_csv`` reads back; an empty text comes back as null."""
     (
         df.write.option("header", True)
         .option("quote", '"')

@@ -103,7 +103,7 @@ def file_audit(df: DataFrame) -> DataFrame:
 
 
 def list_documents(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
-    """``(file, sha, bytes)`` of the files below ``path``.
+    """``(file, sha, bytes)`` of the non-empty files below ``path``.
 
     Only the listing is used: the content column is never selected, so Spark
     opens no file.

@@ -102,8 +102,7 @@ def doc_listing(spark, sf_dir):
     """Folders named by source, listed back to ids from the paths alone."""
     path = scratch_dir(spark, "listing")
     write_jsonl(table(spark, sf_dir, "documents").select("source", "doc_id"), path, by=["source"])
-    files = list_documents(spark, path).where("bytes > 0")
-    return files.select(F.regexp_extract("file", "source=([^/]*)/", 1).alias("source")).distinct()
+    return list_documents(spark, path).select(F.regexp_extract("file", "source=([^/]*)/", 1).alias("source")).distinct()
 
 
 def year_archive(spark, sf_dir):
