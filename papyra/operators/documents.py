@@ -10,9 +10,13 @@ from papyra.operators.dedupe import best_per_key, top_n
 from papyra.operators.joins import lookup_join
 
 
-def explode_ids(df: DataFrame, column: str = "sha") -> DataFrame:
-    """One row per id of a multi-id cell; empty ids are dropped."""
-    return df.withColumn(column, F.explode(split_ids(column))).where(F.col(column) != "")
+def explode_ids(df: DataFrame, column: str = "sha", keep_rows: bool = False) -> DataFrame:
+    """One row per id of a multi-id cell.
+
+    Rows without an id are dropped, or kept with a null id on ``keep_rows``.
+    """
+    ids = F.filter(split_ids(column), lambda i: i != "")
+    return df.withColumn(column, F.explode_outer(ids) if keep_rows else F.explode(ids))
 
 
 def select_articles(
@@ -20,23 +24,24 @@ def select_articles(
 ) -> DataFrame:
     """Flagged articles plus the ``n`` best-ranked of the others, one row per id."""
     typed = meta.withColumn(rank, F.col(rank).try_cast("double")).withColumn(flag, F.col(flag).try_cast("int"))
-    flagged = typed.where(F.col(flag) == 1)
-    others = typed.where((F.col(flag) == 0) & F.col(rank).isNotNull())
-    # Only id and rank take part in the sort; the wide rows are looked up after.
-    best_ids = top_n(others.select(key, rank), n, [F.asc(rank), F.asc(key)])
-    best = others.join(best_ids, [key, rank], "left_semi")
-    order = [F.desc(flag), F.asc_nulls_last(rank)]
-    return best_per_key(flagged.unionByName(best), [key], order)
+    is_flagged = F.col(flag) == 1
+    eligible = typed.where(is_flagged | ((F.col(flag) == 0) & F.col(rank).isNotNull()))
+    # Only id and rank take part in the sort, at most n rows of them come out,
+    # and one more scan marks the wide rows they stand for.
+    best = top_n(eligible.where(F.col(flag) == 0).select(key, rank), n, [F.asc(rank), F.asc(key)])
+    marked = eligible.join(best.distinct().withColumn("_best", F.lit(True)), [key, rank], "left")
+    chosen = marked.where(is_flagged | F.col("_best")).select(*meta.columns)
+    return best_per_key(chosen, [key], [F.desc(flag), F.asc_nulls_last(rank)])
 
 
 def selected_documents(docs: DataFrame, selected: DataFrame, key: str = "sha") -> DataFrame:
-    """Documents whose id was selected."""
-    return lookup_join(docs, selected.select(key).distinct(), key, "left_semi")
+    """Documents whose id was selected; ids are unique among documents."""
+    return lookup_join(docs, selected.select(key).distinct(), key, "left_semi", sketch=False)
 
 
 def missing_documents(docs: DataFrame, selected: DataFrame, key: str = "sha") -> DataFrame:
     """Selected rows without a document, column names free of blanks."""
-    lost = lookup_join(selected, docs.select(key).distinct(), key, "left_anti")
+    lost = lookup_join(selected, docs.select(key).distinct(), key, "left_anti", sketch=False)
     return lost.toDF(*[c.replace(" ", "_") for c in lost.columns])
 
 

@@ -34,7 +34,8 @@ def ivf_build(
     """Write ``path/centroids`` and ``path/rows`` (partitioned by cell).
 
     ``train_rows`` bounds the k-means input only; every corpus row is
-    assigned to a cell and stored.
+    assigned to a cell and stored. The corpus is read three times (count,
+    training, assignment), so it should be a stored table.
     """
     corpus = corpus.where(F.col(column).isNotNull())
     place = unit(F.col(column)) if metric == "cosine" else F.col(column).cast("array<double>")
@@ -90,25 +91,23 @@ def ivf_search(
         columns=[],
         max_broadcast_queries=max_broadcast_queries,
     ).select(query_id, "cell")
-    small = None
-    if max_broadcast_queries:
-        small = asked.select(query_id, "_query_vector").limit(max_broadcast_queries + 1).toArrow()
-    if small is not None and small.num_rows <= max_broadcast_queries:
-        schema = exact.result_schema(rows, queries, query_id, ids, carried)
-        search = exact.Search(k, metric, ids, column, carried, exclude_self)
-        search.queries = exact.matrix(small.column("_query_vector"))
-        search.query_ids = small.column(query_id).combine_chunks()
-        # One row per (query, probed cell) of a bounded number of queries.
-        table = probes.toArrow()
-        position = {q: i for i, q in enumerate(search.query_ids.to_pylist())}
-        places: dict[int, list[int]] = {}
-        for q, cell in zip(table.column(query_id).to_pylist(), table.column("cell").to_pylist()):
-            places.setdefault(cell, []).append(position[q])
-        search.by_cell = {cell: np.array(sorted(p)) for cell, p in places.items()}
-        probed = rows.where(F.col("_cell").isin(sorted(places)))
-        return exact.ranked(exact.scan_search(probed, search, schema), query_id, ids, k)
-    schema = exact.result_schema(rows, queries, query_id, ids, [])
-    search = exact.Search(k, metric, ids, column, [], exclude_self)
-    routed = asked.join(probes.withColumnRenamed("cell", "_cell"), query_id)
-    hits = exact.ranked(exact.grid_search(rows, routed, search, query_id, schema), query_id, ids, k)
-    return exact.with_columns(hits, rows, ids, carried)
+    small = exact.few_queries(asked, query_id, max_broadcast_queries)
+    if small is None:
+        schema = exact.result_schema(rows, queries, query_id, ids, [])
+        search = exact.Search(k, metric, ids, column, [], exclude_self)
+        routed = asked.join(probes.withColumnRenamed("cell", "_cell"), query_id)
+        hits = exact.ranked(exact.grid_search(rows, routed, search, query_id, schema), query_id, ids, k)
+        return exact.with_columns(hits, rows, ids, carried)
+    along = carried if small.num_rows <= exact.MAX_CARRYING_QUERIES else []
+    schema = exact.result_schema(rows, queries, query_id, ids, along)
+    search = exact.Search(k, metric, ids, column, along, exclude_self).asking(small, query_id)
+    # One row per (query, probed cell) of a bounded number of queries.
+    table = probes.toArrow()
+    position = {q: i for i, q in enumerate(search.query_ids.to_pylist())}
+    places: dict[int, list[int]] = {}
+    for q, cell in zip(table.column(query_id).to_pylist(), table.column("cell").to_pylist()):
+        places.setdefault(cell, []).append(position[q])
+    search.by_cell = {cell: np.array(sorted(p)) for cell, p in places.items()}
+    probed = rows.where(F.col("_cell").isin(sorted(places)))
+    hits = exact.ranked(exact.scan_search(probed, search, schema), query_id, ids, k)
+    return hits if along == carried else exact.with_columns(hits, probed, ids, carried, small.num_rows * k)

@@ -41,7 +41,7 @@ def lookup_join(
     spread_by: list[str] | None = None,
     salts: int = 32,
     hot_share: float = 0.01,
-    unique_left: bool = False,
+    sketch: bool = True,
 ) -> DataFrame:
     """Join ``left``, whose keys may be skewed, with one-row-per-key ``right``.
 
@@ -51,16 +51,17 @@ def lookup_join(
     columns, so a re-run task salts alike), and only the matching rows of
     ``right`` are repeated. Works for left, inner, left_semi and left_anti.
 
-    Hot keys are found by a second pass over the key columns of ``left``, so
-    ``left`` should be cheap to read. With ``unique_left`` no key can be hot
-    and the pass is left out.
+    Hot keys are found by a second pass over the key columns of ``left``.
+    ``sketch=False`` leaves it out, for a left side that is unique by key or
+    costly to compute twice; adaptive execution then splits a partition that
+    turns out too large.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(right):
         return left.join(F.broadcast(right), keys, how)
     # Shuffled hash join: with one row per key the partitions of `right` stay
     # small, and the wide rows of `left` need no sort.
-    if unique_left:
+    if not sketch:
         return left.join(right.hint("shuffle_hash"), keys, how)
     hot = hot_keys(left, keys, hot_share)
     spread_by = spread_by or [c for c in left.columns if c not in keys]

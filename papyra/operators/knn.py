@@ -23,7 +23,12 @@ from papyra.session import ship
 UNDEFINED = float(np.finfo(np.float64).min)
 EXCLUDED = float("-inf")
 
+# More queries than this take the grid path.
 MAX_BROADCAST_QUERIES = 16_384
+# Up to this many queries the corpus columns travel with the candidates.
+MAX_CARRYING_QUERIES = 512
+# Rows of (query, ids, score, rank) that may be broadcast.
+MAX_BROADCAST_HITS = 200_000
 BLOCK_ROWS = 20_000
 BLOCK_QUERIES = 4_096
 TILE = 1 << 22
@@ -85,6 +90,11 @@ class Search:
     query_ids: pa.Array | None = None
     by_cell: dict[int, np.ndarray] | None = None
 
+    def asking(self, queries: pa.Table, query_id: str) -> Search:
+        self.queries = matrix(queries.column("_query_vector"))
+        self.query_ids = queries.column(query_id).combine_chunks()
+        return self
+
     def candidates(self, table: pa.Table, queries: np.ndarray, which: np.ndarray, query_ids: pa.Array):
         """Candidate tables: up to ``k`` rows per query and tile."""
         table = table.filter(pc.is_valid(table.column(self.column)))
@@ -257,26 +267,46 @@ def knn(
     asked = queries.where(F.col(query_column).isNotNull()).select(
         F.col(query_id), F.col(query_column).alias("_query_vector")
     )
-    # The limit bounds what reaches the driver; one row more tells "too many".
-    small = asked.limit(max_broadcast_queries + 1).toArrow() if max_broadcast_queries else None
-    if small is not None and small.num_rows <= max_broadcast_queries:
-        schema = result_schema(corpus, queries, query_id, ids, carried)
-        search = Search(k, metric, ids, column, carried, exclude_self)
-        search.queries = matrix(small.column("_query_vector"))
-        search.query_ids = small.column(query_id).combine_chunks()
-        return ranked(scan_search(corpus, search, schema), query_id, ids, k)
-    schema = result_schema(corpus, queries, query_id, ids, [])
-    search = Search(k, metric, ids, column, [], exclude_self)
-    one = F.lit(0).alias("_cell")
-    hits = grid_search(corpus.select("*", one), asked.select("*", one), search, query_id, schema)
-    return with_columns(ranked(hits, query_id, ids, k), corpus, ids, carried)
-
-
-def with_columns(hits: DataFrame, corpus: DataFrame, ids: list[str], columns: list[str]) -> DataFrame:
-    """Corpus columns of the hits, joined afterwards so blocks need not repeat them."""
+    small = few_queries(asked, query_id, max_broadcast_queries)
+    if small is None:
+        schema = result_schema(corpus, queries, query_id, ids, [])
+        search = Search(k, metric, ids, column, [], exclude_self)
+        one = F.lit(0).alias("_cell")
+        hits = grid_search(corpus.select("*", one), asked.select("*", one), search, query_id, schema)
+        return with_columns(ranked(hits, query_id, ids, k), corpus, ids, carried)
+    along = carried if small.num_rows <= MAX_CARRYING_QUERIES else []
+    schema = result_schema(corpus, queries, query_id, ids, along)
+    search = Search(k, metric, ids, column, along, exclude_self).asking(small, query_id)
+    hits = ranked(scan_search(corpus, search, schema), query_id, ids, k)
+    return hits if along == carried else with_columns(hits, corpus, ids, carried, small.num_rows * k)
+
+
+def few_queries(asked: DataFrame, query_id: str, most: int) -> pa.Table | None:
+    """The query table, or None when it has more than ``most`` rows.
+
+    The limit bounds what reaches the driver; one row more tells "too many".
+    """
+    if not most:
+        return None
+    rows = asked.select(query_id, "_query_vector").limit(most + 1).toArrow()
+    return rows if rows.num_rows <= most else None
+
+
+def with_columns(
+    hits: DataFrame, corpus: DataFrame, ids: list[str], columns: list[str], most: int | None = None
+) -> DataFrame:
+    """Corpus columns of ranked hits, fetched once the final cut is made.
+
+    ``most`` is a proven bound on the number of hits: within it the hits are
+    broadcast and the corpus is read in place, beyond it both are shuffled.
+    """
     if not columns:
         return hits
-    return lookup_join(hits, corpus.select(*ids, *columns), ids)
+    order = hits.columns[:-1] + columns + ["rank"]
+    payload = corpus.select(*ids, *columns)
+    if most is not None and most <= MAX_BROADCAST_HITS:
+        return payload.join(F.broadcast(hits), ids).select(*order)
+    return lookup_join(hits, payload, ids, sketch=False).select(*order)
 
 
 def nearest(

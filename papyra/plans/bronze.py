@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from papyra.functions.text import parsed_year
-from papyra.operators.documents import explode_ids, selected_documents
+from papyra.operators.documents import explode_ids
 from papyra.operators.joins import lookup_join
 from papyra.sinks.writers import write_by
 
@@ -25,7 +25,7 @@ def ids_by_year(meta: DataFrame, docs: DataFrame) -> DataFrame:
     A year may hold much of the corpus, so its ids stay rows and are never
     gathered into one set value.
     """
-    return selected_documents(meta.select("year", "sha"), docs, "sha").distinct()
+    return lookup_join(meta.select("year", "sha"), docs.select("sha").distinct(), "sha", "left_semi").distinct()
 
 
 def year_sizes(by_year: DataFrame) -> DataFrame:
@@ -35,4 +35,4 @@ def year_sizes(by_year: DataFrame) -> DataFrame:
 
 def write_by_year(docs: DataFrame, by_year: DataFrame, path: str) -> None:
     """Documents of the listed ids, in one folder per publication year."""
-    write_by(lookup_join(docs, by_year, "sha", "inner"), path, "year")
+    write_by(lookup_join(docs, by_year, "sha", "inner", sketch=False), path, "year")

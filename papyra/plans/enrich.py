@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from papyra.functions.text import issn_key, strip
 from papyra.operators.dedupe import best_per_key
+from papyra.operators.documents import explode_ids
 from papyra.operators.joins import lookup_join
 
 
@@ -17,8 +18,8 @@ def doi_set(meta: DataFrame, column: str = "doi") -> DataFrame:
 
 
 def match_records(records: DataFrame, dois: DataFrame) -> DataFrame:
-    """Bibliographic records whose DOI is in the corpus."""
-    return lookup_join(records.withColumn("DOI", strip("DOI")), dois, "DOI", "left_semi")
+    """Bibliographic records whose DOI is in the corpus; the files are read once."""
+    return lookup_join(records.withColumn("DOI", strip("DOI")), dois, "DOI", "left_semi", sketch=False)
 
 
 def rank_by_issn(records: DataFrame, ranks: DataFrame) -> DataFrame:
@@ -43,7 +44,7 @@ def rank_by_issn(records: DataFrame, ranks: DataFrame) -> DataFrame:
 
 
 def enrich_metadata(meta: DataFrame, doi_rank: DataFrame, flagged: DataFrame) -> DataFrame:
-    """Metadata with rank columns and ``paper_br`` (1 when the sha is flagged).
+    """Metadata by single id with rank columns and ``paper_br`` (1: flagged).
 
     Keys are stripped before both lookup tables are made unique, so neither
     join can multiply rows.
@@ -53,8 +54,7 @@ def enrich_metadata(meta: DataFrame, doi_rank: DataFrame, flagged: DataFrame) ->
         doi_rank.withColumn("DOI", strip("DOI")), ["DOI"], [numeric, F.asc("ISSN_key"), F.asc("ISSN")]
     )
     flags = flagged.select(strip("sha").alias("sha")).distinct().withColumn("paper_br", F.lit(1))
-    base = meta.withColumnsRenamed({"doi": "DOI"})
-    base = base.withColumn("DOI", strip("DOI")).withColumn("sha", strip("sha"))
+    base = explode_ids(meta.withColumnsRenamed({"doi": "DOI"}).withColumn("DOI", strip("DOI")), keep_rows=True)
     enriched = lookup_join(lookup_join(base, ranks, "DOI"), flags, "sha")
     ordered = base.columns + [c for c in ranks.columns if c != "DOI"] + ["paper_br"]
     return enriched.withColumn("paper_br", F.coalesce("paper_br", F.lit(0))).select(*ordered)

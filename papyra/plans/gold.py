@@ -37,7 +37,7 @@ def cited_vectors(texts: DataFrame, citations: DataFrame, recursive: bool = True
     fewer rows are shuffled than after chunking, no id can be hot, and an
     article without citation is never chunked.
     """
-    cited = lookup_join(texts, citations, "cord_uid", "inner", unique_left=True)
+    cited = lookup_join(texts, citations, "cord_uid", "inner", sketch=False)
     cut = chunk_recursive if recursive else chunk_fixed
     chunks = cut(cited, [c for c in cited.columns if c != "text"], **options)
     return embed_terms(chunks.drop("start_at", "end_at"))

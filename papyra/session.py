@@ -17,6 +17,7 @@ def get_spark(app: str = "papyra", master: str | None = None, **conf: str) -> Sp
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
         **conf,
     }
     builder = SparkSession.builder.appName(app)

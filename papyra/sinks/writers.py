@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from papyra.session import scratch_dir
+
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV that ``read_csv`` reads back; an empty text comes back as null."""
@@ -30,6 +32,17 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def hand_off(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it from there.
+
+    For a table that several later steps read: it is computed once, and a lost
+    executor costs a re-read.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    write_parquet(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
 def write_by(df: DataFrame, path: str, column: str, max_rows_per_file: int = 1_000_000) -> None:
     """Parquet folders per value of ``column``.
 

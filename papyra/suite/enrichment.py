@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from papyra.operators.documents import affiliated_ids
 from papyra.operators.quality import enrichment_audit
+from papyra.plans.clean import citation_table, clean_metadata
 from papyra.plans.enrich import doi_set, enrich_metadata, match_records, rank_by_issn
+from papyra.plans.silver import selection
+from papyra.sinks.writers import hand_off
+from papyra.sources.schemas import METADATA_COLUMNS
+from papyra.suite.selection import TOP
 from papyra.suite.tables import ARTICLES_SQL, articles, documents, table
 
 # Rank list: one serial number twice, one without a number for a rank.
@@ -98,6 +103,65 @@ AFFILIATION_SQL = f"""
         lambda l: lower(regexp_replace(string_split(l, ' ')[-1], '[^A-Za-z]', '', 'g')) IN {COUNTRIES})) > 0"""
 
 
+def article_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as raw article metadata: two ids per cell, padded DOIs."""
+    key = F.col("doc_id").cast("string")
+    given = {
+        "sha": F.concat(key, F.lit("; x"), key),
+        "doi": F.concat(F.lit(" 10.5555/"), key, F.lit(" ")),
+        "publish_time": F.when(F.col("lang") == "de", "2019-12-31").when(F.col("lang") == "es", "2020").otherwise("2021-05-01"),
+    }
+    docs = table(spark, sf_dir, "documents")
+    return docs.select(*[given.get(c, F.concat(F.lit(f"{c} "), key)).alias(c) for c in METADATA_COLUMNS])
+
+
+def labelled_serials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels as bibliographic records of two serial numbers each."""
+    return table(spark, sf_dir, "labels").select(
+        F.concat(F.lit("10.5555/"), F.col("doc_id").cast("string")).alias("DOI"),
+        F.array(F.format_string("a-%d", "quality"), F.format_string("b-%d", "toxic")).alias("ISSN"),
+    )
+
+
+def metadata_pipeline(spark, sf_dir):
+    """Match, rank, flag, select, clean and cite in one plan."""
+    meta = article_metadata(spark, sf_dir)
+    serials = labelled_serials(spark, sf_dir)
+    ranks = serials.select(F.explode("ISSN").alias("ISSN")).groupBy("ISSN").agg(
+        F.concat(F.lit("Journal "), F.col("ISSN")).alias("Full Journal Title"),
+        F.count("*").cast("string").alias("Rank"),
+        F.lit("1.0").alias("Journal Impact Factor"),
+    )
+    doi_rank = rank_by_issn(match_records(serials, doi_set(meta)), ranks)
+    flagged = affiliated_ids(articles(documents(spark, sf_dir)), COUNTRIES)
+    enriched_meta = hand_off(enrich_metadata(meta, doi_rank, flagged), "enriched")
+    chosen = selection(enriched_meta, n=TOP)
+    return citation_table(clean_metadata(chosen, require_rank=False)).select(
+        "cord_uid", "title", "doi", "dt_publicacao", "journal_name", "ranking", "paper_br"
+    )
+
+
+PIPELINE_SQL = f"""
+    WITH serials AS (SELECT doc_id, unnest(['a-' || quality, 'b-' || toxic]) AS issn FROM labels),
+    ranks AS (SELECT issn, count(*)::DOUBLE AS rank FROM serials GROUP BY issn),
+    best AS (SELECT doc_id, issn, rank FROM (
+        SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY rank, replace(issn, '-', '')) AS rn
+        FROM serials JOIN ranks USING (issn)) WHERE rn = 1),
+    flagged AS ({AFFILIATION_SQL}),
+    meta AS (SELECT doc_id, lang, unnest([doc_id::VARCHAR, 'x' || doc_id]) AS sha FROM documents WHERE lang <> 'de'),
+    enriched AS (
+        SELECT m.*, issn, rank, (sha IN (SELECT sha FROM flagged))::INT AS paper_br
+        FROM meta m LEFT JOIN best b ON m.doc_id = b.doc_id),
+    chosen AS (
+        SELECT * FROM enriched WHERE paper_br = 1
+        UNION ALL
+        SELECT * FROM (SELECT * FROM enriched WHERE paper_br = 0 AND rank IS NOT NULL ORDER BY rank, sha LIMIT {TOP}))
+    SELECT sha AS cord_uid, 'title ' || doc_id AS title, '10.5555/' || doc_id AS doi,
+           CASE WHEN lang = 'es' THEN '2020' ELSE '2021-05-01' END AS dt_publicacao,
+           'Journal ' || issn AS journal_name, rank AS ranking, paper_br
+    FROM chosen"""
+
+
 SUITE = {
     "doi_semi": (
         doi_semi,
@@ -113,4 +177,5 @@ SUITE = {
                    count(*) FILTER (WHERE paper_br = 1) AS flagged FROM ({ENRICHED_SQL})""",
     ),
     "any_affiliation": (any_affiliation, AFFILIATION_SQL),
+    "metadata_pipeline": (metadata_pipeline, PIPELINE_SQL),
 }

@@ -119,14 +119,17 @@ def test_best_rank_per_doi(spark):
 
 
 def test_padded_keys_match_once(spark):
-    meta = spark.createDataFrame([(" 10.1/x ", " s1\t"), (None, "s2"), ("10.1/q", None)], "doi string, sha string")
+    meta = spark.createDataFrame(
+        [(" 10.1/x ", " s1\t"), (None, "s2; s1"), ("10.1/q", None), ("10.1/r", " ; ")], "doi string, sha string"
+    )
     ranks = spark.createDataFrame(
         [("10.1/x", "1", "1", "A", "7", "1"), (" 10.1/x", "2", "2", "B", "3", "1")],
         "DOI string, ISSN string, ISSN_key string, `Full Journal Title` string, Rank string, `Journal Impact Factor` string",
     )
     flagged = texts(spark, ["s1", " s1"], "sha")
     rows = sorted((str(r.DOI), str(r.sha), r.Rank, r.paper_br) for r in enrich_metadata(meta, ranks, flagged).collect())
-    assert rows == [("10.1/q", "None", None, 0), ("10.1/x", "s1", "3", 1), ("None", "s2", None, 0)]
+    assert rows == [("10.1/q", "None", None, 0), ("10.1/r", "None", None, 0), ("10.1/x", "s1", "3", 1),
+                    ("None", "s1", None, 1), ("None", "s2", None, 0)]
 
 
 def test_match_records(spark):
@@ -183,11 +186,11 @@ def test_hot_keys_are_found(spark, skewed):
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-@pytest.mark.parametrize("unique_left", [False, True])
-def test_lookup_join_equals_plain_join(spark, skewed, no_broadcast, how, unique_left):
+@pytest.mark.parametrize("sketch", [False, True])
+def test_lookup_join_equals_plain_join(spark, skewed, no_broadcast, how, sketch):
     left, right = skewed
     assert not fits_broadcast(right)
-    got = lookup_join(left, right, "k", how, salts=4, unique_left=unique_left)
+    got = lookup_join(left, right, "k", how, salts=4, sketch=sketch)
     want = left.join(right, "k", how)
     assert got.columns == want.columns
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))

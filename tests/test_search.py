@@ -84,6 +84,16 @@ def test_small_blocks_and_tiles(spark, data, monkeypatch):
     check(hits(module.ranked(pairs, "query_id", ["doc", "no"], 7)), want)
 
 
+@pytest.mark.parametrize("most", [10**6, 0])
+def test_columns_fetched_afterwards(spark, data, monkeypatch, most):
+    vectors, ids, queries, corpus, asked = data
+    monkeypatch.setattr(module, "MAX_CARRYING_QUERIES", 1)
+    monkeypatch.setattr(module, "MAX_BROADCAST_HITS", most)
+    got = knn(corpus, asked, 7, ["doc", "no"], "v", columns=["note"])
+    assert got.columns == ["query_id", "doc", "no", "score", "note", "rank"]
+    check(hits(got), brute(vectors, ids, queries, "cosine", 7))
+
+
 def test_fewer_rows_than_k(spark, data):
     vectors, ids, queries, corpus, asked = data
     got = knn(corpus, asked, 500, ["doc", "no"], "v", columns=["note"])
