@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from papyra.operators.joins import lookup_join
 
-def content_hash(columns: list[str]):
+
+def content_hash(columns: list[str]) -> Column:
     """Digest of the row content that tells null and absent values apart."""
     return F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
 
@@ -14,8 +16,8 @@ def content_hash(columns: list[str]):
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Rows that differ, with ``change`` = insert, update or delete.
 
-    One shuffle per side on the key; the old side sends only key and digest.
-    Deleted rows carry the key, other columns null.
+    One shuffle per side on the key and no sort; the old side sends only key
+    and digest. Deleted rows carry the key, other columns null.
     """
     rest = [c for c in new.columns if c not in keys]
     before = old.select(*keys, content_hash(rest).alias("_before"))
@@ -26,7 +28,7 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
         .when(F.col("_before") != F.col("_after"), "update")
     )
     return (
-        after.join(before, keys, "full")
+        after.join(before.hint("shuffle_hash"), keys, "full")
         .withColumn("change", change)
         .where(F.col("change").isNotNull())
         .select(*keys, *rest, "change")
@@ -35,5 +37,5 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
 def apply_changes(table: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """The snapshot after the change set: changed keys replaced, deletes gone."""
-    kept = table.join(changes.select(*keys), keys, "left_anti")
+    kept = lookup_join(table, changes.select(*keys), keys, "left_anti", sketch=False)
     return kept.unionByName(changes.where("change <> 'delete'").drop("change").select(*table.columns))

@@ -233,6 +233,12 @@ def grid_search(
     return left.groupBy(*block).cogroup(right.groupBy(*block)).applyInArrow(pair, schema)
 
 
+def one_cell(df: DataFrame, keys: list[str]) -> DataFrame:
+    """All rows in cell 0, as a hash: a literal would be folded out of the
+    equi-join with the block counts."""
+    return df.withColumn("_cell", F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int"))
+
+
 def ranked(hits: DataFrame, query_id: str, ids: list[str], k: int) -> DataFrame:
     """Final cut: ``rank`` 1..k per query, equal scores in id order."""
     order = Window.partitionBy(query_id).orderBy(F.desc_nulls_last("score"), *ids)
@@ -271,8 +277,7 @@ def knn(
     if small is None:
         schema = result_schema(corpus, queries, query_id, ids, [])
         search = Search(k, metric, ids, column, [], exclude_self)
-        one = F.lit(0).alias("_cell")
-        hits = grid_search(corpus.select("*", one), asked.select("*", one), search, query_id, schema)
+        hits = grid_search(one_cell(corpus, ids), one_cell(asked, [query_id]), search, query_id, schema)
         return with_columns(ranked(hits, query_id, ids, k), corpus, ids, carried)
     along = carried if small.num_rows <= MAX_CARRYING_QUERIES else []
     schema = result_schema(corpus, queries, query_id, ids, along)

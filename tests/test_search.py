@@ -75,10 +75,9 @@ def test_small_blocks_and_tiles(spark, data, monkeypatch):
     want = brute(vectors, ids, queries, "cosine", 7)
     schema = module.result_schema(corpus, asked, "query_id", ["doc", "no"], ["note"])
     search = module.Search(7, "cosine", ["doc", "no"], "v", ["note"], False)
-    one = F.lit(0).alias("_cell")
     pairs = module.grid_search(
-        corpus.select("*", one),
-        asked.select("query_id", F.col("query_vector").alias("_query_vector"), one),
+        module.one_cell(corpus, ["doc", "no"]),
+        module.one_cell(asked.withColumnRenamed("query_vector", "_query_vector"), ["query_id"]),
         search, "query_id", schema, block_rows=30, block_queries=4,
     )
     check(hits(module.ranked(pairs, "query_id", ["doc", "no"], 7)), want)
