@@ -100,7 +100,8 @@ def ivf_search(
         return exact.with_columns(hits, rows, ids, carried)
     along = carried if small.num_rows <= exact.MAX_CARRYING_QUERIES else []
     schema = exact.result_schema(rows, queries, query_id, ids, along)
-    search = exact.Search(k, metric, ids, column, along, exclude_self).asking(small, query_id)
+    search = exact.Search(k, metric, ids, column, along, exclude_self)
+    search = search.asking(*exact.query_block(small, query_id))
     # One row per (query, probed cell) of a bounded number of queries.
     table = probes.toArrow()
     position = {q: i for i, q in enumerate(search.query_ids.to_pylist())}

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +23,9 @@ from papyra.session import ship
 UNDEFINED = float(np.finfo(np.float64).min)
 EXCLUDED = float("-inf")
 
+# More than rounding can raise a score.
+SLACK = 10.0**-SCORE_DIGITS
+
 # More queries than this take the grid path.
 MAX_BROADCAST_QUERIES = 16_384
 # Up to this many queries the corpus columns travel with the candidates.
@@ -34,29 +37,40 @@ BLOCK_QUERIES = 4_096
 TILE = 1 << 22
 
 
+def unit_rows(rows: np.ndarray) -> np.ndarray:
+    """Rows at unit length; a zero row becomes NaN, so its scores are too."""
+    lengths = np.linalg.norm(rows, axis=1, keepdims=True)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(lengths > 0, rows / lengths, np.nan)
+
+
 def score_block(queries: np.ndarray, rows: np.ndarray, metric: str) -> np.ndarray:
-    """Scores of all queries (down) against all rows (across)."""
+    """Scores of all queries (down) against all rows (across).
+
+    For cosine both sides come as ``unit_rows``.
+    """
+    scores = queries @ rows.T
     if metric == "l2":
         squares = (queries**2).sum(1)[:, None] + (rows**2).sum(1)[None, :]
-        scores = -np.sqrt(np.maximum(squares - 2.0 * (queries @ rows.T), 0.0))
-    else:
-        scores = queries @ rows.T
-        if metric == "cosine":
-            lengths = np.linalg.norm(queries, axis=1)[:, None] * np.linalg.norm(rows, axis=1)[None, :]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                scores = np.where(lengths > 0, scores / lengths, UNDEFINED)
-    return np.where(scores == UNDEFINED, UNDEFINED, np.round(scores, SCORE_DIGITS))
-
-
-def best_mask(scores: np.ndarray, k: int) -> np.ndarray:
-    """Marks the ``k`` best columns per row; equal scores go to the left one."""
-    if scores.shape[1] <= k:
-        return scores > EXCLUDED
-    bar = np.partition(scores, -k, axis=1)[:, -k][:, None]
-    above = scores > bar
-    level = scores == bar
+        scores = -np.sqrt(np.maximum(squares - 2.0 * scores, 0.0))
+    return scores
+
+
+def settle(scores: np.ndarray) -> np.ndarray:
+    """Rounded scores, undefined ones below all others."""
+    return np.where(np.isnan(scores), UNDEFINED, np.round(scores, SCORE_DIGITS))
+
+
+def best_mask(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Marks the ``k`` best columns per row (equal scores: the left one), and
+    the score of the k-th, below which no row can be a hit."""
+    if scores.shape[1] < k:
+        return scores > EXCLUDED, np.full(len(scores), EXCLUDED)
+    bar = np.partition(scores, -k, axis=1)[:, -k]
+    above = scores > bar[:, None]
+    level = scores == bar[:, None]
     room = k - above.sum(1, keepdims=True)
-    return (above | (level & (np.cumsum(level, axis=1) <= room))) & (scores > EXCLUDED)
+    return (above | (level & (np.cumsum(level, axis=1) <= room))) & (scores > EXCLUDED), bar
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -90,45 +104,58 @@ class Search:
     query_ids: pa.Array | None = None
     by_cell: dict[int, np.ndarray] | None = None
 
-    def asking(self, queries: pa.Table, query_id: str) -> Search:
-        self.queries = matrix(queries.column("_query_vector"))
-        self.query_ids = queries.column(query_id).combine_chunks()
-        return self
+    def asking(self, vectors: np.ndarray, query_ids: pa.Array) -> Search:
+        """The same search with its queries."""
+        wanted = unit_rows(vectors) if self.metric == "cosine" else vectors
+        return replace(self, queries=wanted, query_ids=query_ids)
 
-    def candidates(self, table: pa.Table, queries: np.ndarray, which: np.ndarray, query_ids: pa.Array):
-        """Candidate tables: up to ``k`` rows per query and tile."""
+    def candidates(self, table: pa.Table, which: np.ndarray, bars: np.ndarray) -> Iterator[pa.Table]:
+        """Candidate tables: up to ``k`` rows per query of ``which`` and tile.
+
+        ``bars`` holds per query a score that k rows seen so far reach; it
+        rises as rows are seen and lets most tiles be passed over.
+        """
         table = table.filter(pc.is_valid(table.column(self.column)))
         if not table.num_rows:
             return
         table = table.take(pc.sort_indices(table.select(self.ids), sort_keys=[(c, "ascending") for c in self.ids]))
         kept = table.select(self.ids + self.carried)
         rows = matrix(table.column(self.column))
+        if self.metric == "cosine":
+            rows = unit_rows(rows)
         own = None
         if self.exclude_self:
-            places = pc.index_in(table.column(self.ids[0]), value_set=query_ids)
+            places = pc.index_in(table.column(self.ids[0]), value_set=self.query_ids)
             own = pc.fill_null(places, -1).to_numpy()
         height = max(1, min(len(which), 1024))
         width = max(self.k, TILE // height)
         for q0 in range(0, len(which), height):
             part = which[q0 : q0 + height]
             for r0 in range(0, len(rows), width):
-                scores = score_block(queries[part], rows[r0 : r0 + width], self.metric)
+                scores = score_block(self.queries[part], rows[r0 : r0 + width], self.metric)
                 if own is not None:
                     scores[part[:, None] == own[None, r0 : r0 + width]] = EXCLUDED
-                q, r = np.nonzero(best_mask(scores, self.k))
+                # NaN compares as false, so undefined scores are asked for.
+                live = ~(scores.max(1) < bars[part] - SLACK)
+                if not live.any():
+                    continue
+                asked, scores = part[live], settle(scores[live])
+                mask, bar = best_mask(scores, self.k)
+                q, r = np.nonzero(mask & (scores >= bars[asked][:, None]))
+                bars[asked] = np.maximum(bars[asked], bar)
                 found = kept.take(pa.array(r0 + r))
-                yield found.append_column("_q", pa.array(part[q].astype(np.int32))).append_column(
+                yield found.append_column("_q", pa.array(asked[q].astype(np.int32))).append_column(
                     "score", pa.array(scores[q, r])
                 )
 
     def merge(self, parts: list[pa.Table]) -> list[pa.Table]:
         return [cut(pa.concat_tables(parts).combine_chunks(), self.k, self.ids)] if parts else []
 
-    def finish(self, best: pa.Table, query_ids: pa.Array, schema: pa.Schema) -> pa.Table:
+    def finish(self, best: pa.Table, schema: pa.Schema) -> pa.Table:
         """Candidates in the result layout, undefined scores as null."""
         score = best.column("score")
         score = pc.if_else(pc.equal(score, UNDEFINED), pa.scalar(None, pa.float64()), score)
-        columns = [query_ids.take(best.column("_q").combine_chunks())]
+        columns = [self.query_ids.take(best.column("_q").combine_chunks())]
         columns += [best.column(c) for c in self.ids] + [score] + [best.column(c) for c in self.carried]
         return pa.table([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
@@ -154,6 +181,7 @@ def scan_search(corpus: DataFrame, search: Search, schema: T.StructType) -> Data
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s: Search = shared.value
         everyone = np.arange(len(s.queries))
+        bars = np.full(len(everyone), EXCLUDED)
         best: list[pa.Table] = []
         held = 0
         limit = 8 * s.k * max(1, len(everyone))
@@ -168,14 +196,14 @@ def scan_search(corpus: DataFrame, search: Search, schema: T.StructType) -> Data
                     if cell in s.by_cell
                 ]
             for rows, which in groups:
-                for found in s.candidates(rows, s.queries, which, s.query_ids):
+                for found in s.candidates(rows, which, bars):
                     best.append(found)
                     held += found.num_rows
                     if held > limit:
                         best = s.merge(best)
                         held = best[0].num_rows
         for table in s.merge(best):
-            yield from s.finish(table, s.query_ids, arrow).to_batches()
+            yield from s.finish(table, arrow).to_batches()
 
     cell = ["_cell"] if search.by_cell is not None else []
     return corpus.select(*search.ids, *search.carried, search.column, *cell).mapInArrow(scan, schema)
@@ -224,10 +252,10 @@ def grid_search(
     def pair(rows: pa.Table, asked: pa.Table) -> pa.Table:
         if not rows.num_rows or not asked.num_rows:
             return arrow.empty_table()
-        query_ids = asked.column("_query_id").combine_chunks()
-        wanted = matrix(asked.column("_query_vector"))
-        best = search.merge(list(search.candidates(rows, wanted, np.arange(len(wanted)), query_ids)))
-        return search.finish(best[0], query_ids, arrow) if best else arrow.empty_table()
+        one = search.asking(*query_block(asked, "_query_id"))
+        everyone = np.arange(len(one.queries))
+        best = one.merge(list(one.candidates(rows, everyone, np.full(len(everyone), EXCLUDED))))
+        return one.finish(best[0], arrow) if best else arrow.empty_table()
 
     block = ["_cell", "_cb", "_qb"]
     return left.groupBy(*block).cogroup(right.groupBy(*block)).applyInArrow(pair, schema)
@@ -281,11 +309,15 @@ def knn(
         return with_columns(ranked(hits, query_id, ids, k), corpus, ids, carried)
     along = carried if small.num_rows <= MAX_CARRYING_QUERIES else []
     schema = result_schema(corpus, queries, query_id, ids, along)
-    search = Search(k, metric, ids, column, along, exclude_self).asking(small, query_id)
+    search = Search(k, metric, ids, column, along, exclude_self).asking(*query_block(small, query_id))
     hits = ranked(scan_search(corpus, search, schema), query_id, ids, k)
     return hits if along == carried else with_columns(hits, corpus, ids, carried, small.num_rows * k)
 
 
+def query_block(table: pa.Table, query_id: str) -> tuple[np.ndarray, pa.Array]:
+    return matrix(table.column("_query_vector")), table.column(query_id).combine_chunks()
+
+
 def few_queries(asked: DataFrame, query_id: str, most: int) -> pa.Table | None:
     """The query table, or None when it has more than ``most`` rows.
 
@@ -326,8 +358,7 @@ def nearest(
     """The ``k`` rows nearest to one vector: ids, score, columns, rank."""
     carried = list(columns or [])
     search = Search(k, metric, ids, column, carried, False)
-    search.queries = np.array([vector], dtype=np.float64)
-    search.query_ids = pa.array([0], pa.int32())
+    search = search.asking(np.array([vector], dtype=np.float64), pa.array([0], pa.int32()))
     one = T.StructType([T.StructField("_one", T.IntegerType())])
     schema = T.StructType(one.fields + result_fields(corpus, ids, carried))
     return ranked(scan_search(corpus, search, schema), "_one", ids, k).drop("_one")

@@ -29,7 +29,10 @@ def get_spark(app: str = "papyra", master: str | None = None, **conf: str) -> Sp
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the Python workers of all executors this package, once."""
+    """Give the Python workers of all executors this package, once.
+
+    The archive is made on the driver, and Spark serves it to the executors.
+    """
     context = spark.sparkContext
     if getattr(context, "_papyra_shipped", False):
         return
@@ -47,6 +50,8 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors see")
         base = tempfile.mkdtemp(prefix="papyra-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/papyra/{label}-{uuid.uuid4().hex}"

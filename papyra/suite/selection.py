@@ -48,6 +48,10 @@ def selected_docs(spark, sf_dir):
     return selected_documents(docs, select_flag_or_topn(spark, sf_dir))
 
 
+def selected_counts(spark, sf_dir):
+    return counts_with_total(selected_docs(spark, sf_dir), "source")
+
+
 def missing_docs(spark, sf_dir):
     found = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("sha"))
     wanted = table(spark, sf_dir, "documents").select(
@@ -173,6 +177,11 @@ SUITE = {
         selected_docs,
         f"SELECT doc_id AS sha, source, n_chars FROM documents WHERE doc_id IN (SELECT sha FROM ({SELECTED_SQL}))",
     ),
+    "selected_counts": (
+        selected_counts,
+        f"""SELECT source, count(*) AS n FROM documents WHERE doc_id IN (SELECT sha FROM ({SELECTED_SQL}))
+            GROUP BY ROLLUP (source)""",
+    ),
     "missing_docs": (
         missing_docs,
         "SELECT doc_id AS sha, lang, source AS source_name FROM documents "

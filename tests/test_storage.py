@@ -63,6 +63,8 @@ def test_pretty_printed_articles_in_folders(spark, tmp_path):
     (tmp_path / "a" / "empty.json").write_text("")
     df = read_articles(spark, str(tmp_path))
     assert rows(well_formed(df).select("paper_id", F.col("abstract.text")[0])) == [("p0", "x"), ("p1", "x")]
+    audit = {r.file.rsplit("/", 1)[1]: (r.good, r.corrupt) for r in file_audit(df).collect()}
+    assert audit == {"d0.json": (1, 0), "d1.json": (1, 0), "bad.json": (0, 1)}
     listed = list_documents(spark, str(tmp_path))
     assert rows(listed.select("sha")) == [("bad",), ("d0",), ("d1",)]
 
