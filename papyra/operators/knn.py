@@ -135,8 +135,8 @@ class Search:
                 scores = score_block(self.queries[part], rows[r0 : r0 + width], self.metric)
                 if own is not None:
                     scores[part[:, None] == own[None, r0 : r0 + width]] = EXCLUDED
-                # NaN compares as false, so undefined scores are asked for.
-                live = ~(scores.max(1) < bars[part] - SLACK)
+                # fmax passes over NaN; a row of nothing else stays live.
+                live = ~(np.fmax.reduce(scores, axis=1) < bars[part] - SLACK)
                 if not live.any():
                     continue
                 asked, scores = part[live], settle(scores[live])

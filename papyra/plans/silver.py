@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from papyra.functions.text import non_empty, prefix_year
 from papyra.operators.documents import explode_ids, select_articles

@@ -10,7 +10,7 @@ from papyra.operators.documents import affiliated_ids, flatten_articles
 from papyra.plans.bronze import write_by_year
 from papyra.plans.enrich import doi_set
 from papyra.session import scratch_dir
-from papyra.sinks.writers import write_by, write_csv, write_jsonl, write_parquet, write_table
+from papyra.sinks.writers import write_csv, write_jsonl, write_parquet, write_table
 from papyra.sources.files import (
     file_audit,
     list_documents,

@@ -2,7 +2,7 @@
 
 import pytest
 
-from oracle import DATA, difference, duck
+from oracle import difference, duck
 from papyra.suite import ORACLES, QUERIES
 
 SF = "0.001"

@@ -8,7 +8,6 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from papyra.operators.chunk import SEPARATORS, chunk_fixed, chunk_recursive, split_spans
 from papyra.operators.context import contexts, prompts
