@@ -48,12 +48,12 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     Executors must all see it, so a local folder is made only where the
     setting is absent, as in a single-machine test.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or getattr(context, "_papyra_scratch", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors see")
-        base = tempfile.mkdtemp(prefix="papyra-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = context._papyra_scratch = tempfile.mkdtemp(prefix="papyra-")
     return f"{base.rstrip('/')}/papyra/{label}-{uuid.uuid4().hex}"
 
 
