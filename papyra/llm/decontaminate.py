@@ -73,6 +73,7 @@ class Index:
     items: list[Item]
     lists: dict[str, tuple[list[int], list[float], float, list[float]]] = field(default_factory=dict)
     longest: int = 1
+    essential: set[str] = field(default_factory=set)
 
     @staticmethod
     def build(rows: list[tuple[int, str]], overlap: float) -> Index:
@@ -91,6 +92,14 @@ class Index:
                 parts[word] = idf * n * (K1 + 1) / (n + K1 * (1 - B + B * len(item.words) / mean))
             spared = sum(math.floor((1 - overlap) * len(s) + 1e-9) for s in (item.question, item.answer))
             least = sum(sorted(parts.values())[: max(len(parts) - spared, 1)])
+            # A passage without any of these lacks more than can be spared. Long
+            # words come first: they are rare, so few passages go on.
+            needed, at_stake = sum(sorted(parts.values())[max(len(parts) - spared, 1) :]), 0.0
+            for word in sorted(parts, key=lambda w: (-len(w), w)):
+                if at_stake > needed * (1 + 1e-9):
+                    break
+                index.essential.add(word)
+                at_stake += parts[word]
             for word, part in parts.items():
                 postings[word].append((place, part / (least * (1 - 1e-9))))
         for word, found in postings.items():
@@ -154,14 +163,21 @@ class Index:
 
 
 class Bounds(dict):
-    """Largest weight that a word as it stands in a text can add in any item."""
+    """Largest weight that a word as it stands in a text can add in any item.
+
+    It is negated where the word is essential: an item reaches the threshold
+    only if one of its essential words is there.
+    """
 
     def __init__(self, index: Index):
         super().__init__()
-        self.lists = index.lists
+        self.lists, self.essential = index.lists, index.essential
 
     def __missing__(self, word: str) -> float:
-        value = sum(self.lists[w][2] for w in WORD.findall(word) if w in self.lists)
+        words = WORD.findall(word)
+        value = sum(self.lists[w][2] for w in words if w in self.lists)
+        if not self.essential.isdisjoint(words):
+            value = -value
         if len(word) <= 64:
             if len(self) > 500_000:
                 self.clear()
@@ -174,19 +190,21 @@ def leaks(text: str, index: Index, bounds: Bounds, overlap: float) -> dict[int,
 
     The text is read in passages that overlap by the longest item, so every
     item that a text holds lies whole in one of them. A passage whose words
-    cannot reach the threshold together has no pivot and is passed over.
+    cannot reach the threshold together, or that holds no item's essential
+    words, has no pivot and is passed over.
     """
     raw = text.lower().split()
     parts = np.fromiter(map(bounds.__getitem__, raw), float, len(raw))
-    sums = np.concatenate(([0.0], np.cumsum(parts)))
-    if not raw or sums[-1] < 1 - 1e-9:
+    essential = parts < 0
+    if not essential.any():
         return {}
+    sums = np.concatenate(([0.0], np.cumsum(np.abs(parts))))
     # A word here may hold several of an item's words, never fewer than one.
     step = max(index.longest, 32)
     found: dict[int, tuple[float, float, float]] = {}
     for low in range(0, max(len(raw) - step, 1), step):
         high = min(low + 2 * step, len(raw))
-        if sums[high] - sums[low] < 1 - 1e-9:
+        if sums[high] - sums[low] < 1 - 1e-9 or not essential[low:high].any():
             continue
         words = WORD.findall(" ".join(raw[low:high]))
         for place, score in index.search(set(words)):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 
@@ -19,7 +20,7 @@ ORDER = 4
 DISCOUNT = 0.75
 SAMPLE_BYTES = 4_000_000
 MAX_LABELS = 500
-CACHED_WORDS = 300_000
+CACHED_WORDS = 1_000_000
 CACHED_LENGTH = 64
 UNKNOWN = "und"
 EDGE = "\x02"
@@ -131,11 +132,11 @@ class LanguageModel:
     models: list[KneserNey] = field(default_factory=list)
     middle: np.ndarray | None = None
     spread: np.ndarray | None = None
+    token: str = ""
 
-    def words(self, words: list[str]) -> np.ndarray:
-        """Per word the log-probability in every language, then the characters counted."""
-        rows = np.zeros((len(words), len(self.names) + 1))
-        bare = [letters(w) for w in words]
+    def words(self, bare: list[str]) -> np.ndarray:
+        """Per word (letters only) the log-probability in every language, then the characters counted."""
+        rows = np.zeros((len(bare), len(self.names) + 1))
         some = [i for i, w in enumerate(bare) if w]
         if not some:
             return rows
@@ -152,6 +153,17 @@ class LanguageModel:
         return rows
 
 
+#: The scorer of the model that this Python worker used last: later tasks go on with its memory.
+LAST: dict[str, Scorer] = {}
+
+
+def scorer(model: LanguageModel) -> Scorer:
+    if model.token not in LAST:
+        LAST.clear()
+        LAST[model.token] = Scorer(model)
+    return LAST[model.token]
+
+
 class Scorer:
     """Cross-entropies of texts; what words cost is remembered, within a bound."""
 
@@ -161,6 +173,7 @@ class Scorer:
 
     def clear(self) -> None:
         self.places: dict[str, int] = {}
+        self.used = 0
         self.rows = np.zeros((1024, len(self.model.names) + 1))
 
     def cost(self, text: str) -> tuple[np.ndarray, float]:
@@ -168,20 +181,23 @@ class Scorer:
         words = text.lower().split()
         if len(self.places) > CACHED_WORDS:
             self.clear()
-        new = list(set(words) - self.places.keys())
+        extra = 0.0
+        new = [w for w in set(words) if w not in self.places]
         if any(len(w) > CACHED_LENGTH for w in new):
-            long = [w for w in words if len(w) > CACHED_LENGTH]
-            extra = self.model.words(long).sum(axis=0)
+            extra = self.model.words([letters(w) for w in words if len(w) > CACHED_LENGTH]).sum(axis=0)
             words = [w for w in words if len(w) <= CACHED_LENGTH]
             new = [w for w in new if len(w) <= CACHED_LENGTH]
-        else:
-            extra = 0.0
         if new:
-            start = len(self.places)
-            while start + len(new) > len(self.rows):
-                self.rows = np.concatenate((self.rows, np.zeros_like(self.rows)))
-            self.rows[start : start + len(new)] = self.model.words(new)
-            self.places.update(zip(new, range(start, start + len(new))))
+            bare = [letters(w) for w in new]
+            fresh = [w for w in set(bare) if w not in self.places]
+            if fresh:
+                start = self.used
+                while start + len(fresh) > len(self.rows):
+                    self.rows = np.concatenate((self.rows, np.zeros_like(self.rows)))
+                self.rows[start : start + len(fresh)] = self.model.words(fresh)
+                self.used += len(fresh)
+                self.places.update(zip(fresh, range(start, self.used)))
+            self.places.update(zip(new, map(self.places.__getitem__, bare)))
         places = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
         total = self.rows[places].sum(axis=0) + extra
         return total[:-1], float(total[-1])
@@ -288,12 +304,13 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     ])
     docs = docs.drop(*[f.name for f in added])
     read = free_name([*docs.columns, *added.names], "_text")
+    model.token = uuid.uuid4().hex
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(columns):
-        scorer = Scorer(shared.value)
+        memory = scorer(shared.value)
         for (texts,) in columns:
-            made = [scorer.judge(text.as_py()) for text in texts]
+            made = [memory.judge(text.as_py()) for text in texts]
             yield [pa.array(column, kind) for column, kind in zip(zip(*made) if made else [()] * 5, (pa.string(), pa.float64(), pa.float64(), pa.float64(), pa.bool_()))]
 
     return with_columns(docs.withColumn(read, F.col("text").cast("string")), [read], added, run)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -18,32 +19,63 @@ CAPACITY = 4096
 END_ID = 1
 GROUP_PIECES = 8_000
 ROUNDS = 4
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_500_000
 CACHED_LENGTH = 64
+#: Marks that may close a word; none begins a contraction.
+MARKS = ".,;:!?()[]{}|&#$%*+=/\\\"-_"
 
 
 class WordIds(dict):
     """Token ids of words as little-endian 32-bit bytes, remembered.
 
     The tokenizer never joins text across a space or line end, so a text's ids
-    are its words' ids in a row. The memory is bounded: long words are never
-    kept, and a full memory starts anew.
+    are its words' ids in a row; nor across the end of a run of letters, so a
+    word's closing marks are looked up on their own. The memory is bounded: long
+    words are never kept, and a full memory starts anew.
     """
 
-    def __init__(self, tokenizer: Tokenizer):
+    def __init__(self, model: str):
         super().__init__()
-        self.tokenizer = tokenizer
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.tokenizer = Tokenizer.from_str(model)
 
     def __missing__(self, word: str) -> bytes:
-        made = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) <= CACHED_LENGTH:
-            self[word] = made
-        return made
-
-    def encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def learn(self, words: set[str]) -> None:
+        """Remember words, asking the tokenizer once for all their new parts."""
+        split = {}
+        for word in words:
+            if len(word) <= CACHED_LENGTH and word not in self:
+                bare = word.rstrip(MARKS)
+                if bare.isalpha():
+                    split[word] = bare.lower() if bare.isascii() else bare, word[len(bare) :]
+                else:
+                    split[word] = word, ""
+        parts = [p for p in {p for pair in split.values() for p in pair} if p not in self]
+        for part, made in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)):
+            self[part] = np.array(made.ids, "<u4").tobytes()
+        for word, (bare, marks) in split.items():
+            self[word] = self[bare] + self[marks]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
         if len(self) > CACHED_WORDS:
             self.clear()
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        words = [text.replace("\n", " ").split(" ") for text in texts]
+        self.learn(set().union(*words))
+        return [b"".join(map(self.__getitem__, w)) for w in words]
+
+
+#: The memory of this Python worker: later tasks with the same tokenizer go on with it.
+LAST: dict[int, WordIds] = {}
+
+
+def word_ids(model: str) -> WordIds:
+    key = zlib.crc32(model.encode())
+    if key not in LAST:
+        LAST.clear()
+        LAST[key] = WordIds(model)
+    return LAST[key]
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -58,11 +90,13 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        memory = WordIds(Tokenizer.from_str(model.value))
+        memory = word_ids(model.value)
         for batch in batches:
             rows, number, starts, lengths, sums = [], [], [], [], []
-            for i, text in enumerate(batch.column("text")):
-                ids = memory.encode(text.as_py() or "") + end
+            texts = batch.column("text")
+            made = (ids for low in range(0, len(texts), 32) for ids in memory.encode([t or "" for t in texts.slice(low, 32).to_pylist()]))
+            for i, ids in enumerate(made):
+                ids += end
                 for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[start : start + 4 * capacity]
                     rows.append(i)
