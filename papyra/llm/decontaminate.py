@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from dataclasses import dataclass, field
@@ -68,12 +69,17 @@ class Index:
     less the largest parts of as many terms as shingles may be missing. So one
     threshold, 1, serves all items, and retrieval loses none that would pass
     the check of the overlap.
+
+    An item's gates are sets of its words, apart from each other, that each
+    weigh more than a passage may lack.
     """
 
     items: list[Item]
     lists: dict[str, tuple[list[int], list[float], float, list[float]]] = field(default_factory=dict)
     longest: int = 1
-    essential: set[str] = field(default_factory=set)
+    token: str = field(default_factory=lambda: uuid.uuid4().hex)
+    essential: dict[str, list[int]] = field(default_factory=dict)
+    gates: list[list[frozenset[str]]] = field(default_factory=list)
 
     @staticmethod
     def build(rows: list[tuple[int, str]], overlap: float) -> Index:
@@ -92,14 +98,19 @@ class Index:
                 parts[word] = idf * n * (K1 + 1) / (n + K1 * (1 - B + B * len(item.words) / mean))
             spared = sum(math.floor((1 - overlap) * len(s) + 1e-9) for s in (item.question, item.answer))
             least = sum(sorted(parts.values())[: max(len(parts) - spared, 1)])
-            # A passage without any of these lacks more than can be spared. Long
-            # words come first: they are rare, so few passages go on.
-            needed, at_stake = sum(sorted(parts.values())[max(len(parts) - spared, 1) :]), 0.0
+            # A passage that lacks all of a gate lacks more than can be spared.
+            # Long words come first: they are rare, so few passages go on.
+            needed = sum(sorted(parts.values())[max(len(parts) - spared, 1) :]) * (1 + 1e-9)
+            gates, gate, at_stake = [], set(), 0.0
             for word in sorted(parts, key=lambda w: (-len(w), w)):
-                if at_stake > needed * (1 + 1e-9):
-                    break
-                index.essential.add(word)
+                gate.add(word)
                 at_stake += parts[word]
+                if at_stake > needed:
+                    gates.append(frozenset(gate))
+                    gate, at_stake = set(), 0.0
+            for word in gates[0]:
+                index.essential.setdefault(word, []).append(place)
+            index.gates.append(gates[1:])
             for word, part in parts.items():
                 postings[word].append((place, part / (least * (1 - 1e-9))))
         for word, found in postings.items():
@@ -108,6 +119,14 @@ class Index:
             index.lists[word] = places, weights, max(weights), tops
         return index
 
+    def reachable(self, words: set[str]) -> bool:
+        """Whether some item has a word of each of its gates in ``words``."""
+        for word in words:
+            for place in self.essential.get(word, ()):
+                if not any(words.isdisjoint(gate) for gate in self.gates[place]):
+                    return True
+        return False
+
     def search(self, words: set[str]) -> list[tuple[int, float]]:
         """Items whose score for the query reaches 1: ``(place, score)``.
 
@@ -165,8 +184,8 @@ class Index:
 class Bounds(dict):
     """Largest weight that a word as it stands in a text can add in any item.
 
-    It is negated where the word is essential: an item reaches the threshold
-    only if one of its essential words is there.
+    It is negated where the word is essential, in the first gate of an item: an
+    item reaches the threshold only if a word of each of its gates is there.
     """
 
     def __init__(self, index: Index):
@@ -174,24 +193,37 @@ class Bounds(dict):
         self.lists, self.essential = index.lists, index.essential
 
     def __missing__(self, word: str) -> float:
-        words = WORD.findall(word)
-        value = sum(self.lists[w][2] for w in words if w in self.lists)
-        if not self.essential.isdisjoint(words):
-            value = -value
+        words = [w for w in WORD.findall(word) if w in self.lists]
+        value = 0.0
+        if words:
+            value = sum(self.lists[w][2] for w in words)
+            if any(w in self.essential for w in words):
+                value = -value
         if len(word) <= 64:
-            if len(self) > 500_000:
+            if len(self) > 1_000_000:
                 self.clear()
             self[word] = value
         return value
 
 
+#: What this Python worker remembers of the index that it used last.
+LAST: dict[str, Bounds] = {}
+
+
+def bounds_of(index: Index) -> Bounds:
+    if index.token not in LAST:
+        LAST.clear()
+        LAST[index.token] = Bounds(index)
+    return LAST[index.token]
+
+
 def leaks(text: str, index: Index, bounds: Bounds, overlap: float) -> dict[int, tuple[float, float, float]]:
     """``place: (score, question overlap, answer overlap)`` of items in a text.
 
     The text is read in passages that overlap by the longest item, so every
     item that a text holds lies whole in one of them. A passage whose words
-    cannot reach the threshold together, or that holds no item's essential
-    words, has no pivot and is passed over.
+    cannot reach the threshold together, or that misses a gate of every item,
+    has no pivot and is passed over.
     """
     raw = text.lower().split()
     parts = np.fromiter(map(bounds.__getitem__, raw), float, len(raw))
@@ -207,7 +239,10 @@ def leaks(text: str, index: Index, bounds: Bounds, overlap: float) -> dict[int,
         if sums[high] - sums[low] < 1 - 1e-9 or not essential[low:high].any():
             continue
         words = WORD.findall(" ".join(raw[low:high]))
-        for place, score in index.search(set(words)):
+        query = set(words)
+        if not index.reachable(query):
+            continue
+        for place, score in index.search(query):
             question, answer = index.items[place].overlap(words)
             if question >= overlap and answer >= overlap and score > found.get(place, (0.0,))[0]:
                 found[place] = score, question, answer
@@ -244,7 +279,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, overlap: float = OVERLAP
 
         def run(batches, shared=shared):
             index = shared.value
-            bounds = Bounds(index)
+            bounds = bounds_of(index)
             for batch in batches:
                 rows = []
                 for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
@@ -268,7 +303,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, overlap: float = OVERLAP,
 
         def run(columns, shared=shared):
             index = shared.value
-            bounds = Bounds(index)
+            bounds = bounds_of(index)
             for (texts,) in columns:
                 yield [pa.array([bool(leaks(t.as_py() or "", index, bounds, overlap)) for t in texts], pa.bool_())]
 
