@@ -79,3 +79,17 @@ def record_batch(**columns) -> pa.RecordBatch:
 def longs(column: pa.Array) -> np.ndarray:
     """A null-free long column as numpy."""
     return column.to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+
+
+_HELD: dict[str, object] = {}
+
+
+def remembered(key: str, make: Callable[[], object]):
+    """What this Python worker keeps between tasks: one memory, that of the last key.
+
+    Stages that run in one worker do not pile up their memories.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]

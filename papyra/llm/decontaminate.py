@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from papyra.llm.common import arrow_map, free_name, with_columns
+from papyra.llm.common import arrow_map, free_name, remembered, with_columns
 
 WORD = re.compile(r"\w+")
 SHINGLE = 5
@@ -24,6 +24,7 @@ K1, B = 1.2, 0.75
 BLOCK = 4
 #: Bytes of test text that one index may hold; more items make further indexes.
 INDEX_BYTES = 8_000_000
+CACHED_WORDS = 800_000
 
 
 def shingles(words: list[str]) -> set[tuple[str, ...]]:
@@ -199,24 +200,11 @@ class Bounds(dict):
             value = sum(self.lists[w][2] for w in words)
             if any(w in self.essential for w in words):
                 value = -value
-        if len(word) <= 64:
-            if len(self) > 1_000_000:
-                self.clear()
+        if len(word) <= 64 and len(self) < CACHED_WORDS:
             self[word] = value
         return value
 
 
-#: What this Python worker remembers of the index that it used last.
-LAST: dict[str, Bounds] = {}
-
-
-def bounds_of(index: Index) -> Bounds:
-    if index.token not in LAST:
-        LAST.clear()
-        LAST[index.token] = Bounds(index)
-    return LAST[index.token]
-
-
 def leaks(text: str, index: Index, bounds: Bounds, overlap: float) -> dict[int, tuple[float, float, float]]:
     """``place: (score, question overlap, answer overlap)`` of items in a text.
 
@@ -279,7 +267,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, overlap: float = OVERLAP
 
         def run(batches, shared=shared):
             index = shared.value
-            bounds = bounds_of(index)
+            bounds = remembered(f"bounds {index.token}", lambda: Bounds(index))
             for batch in batches:
                 rows = []
                 for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
@@ -303,7 +291,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, overlap: float = OVERLAP,
 
         def run(columns, shared=shared):
             index = shared.value
-            bounds = bounds_of(index)
+            bounds = remembered(f"bounds {index.token}", lambda: Bounds(index))
             for (texts,) in columns:
                 yield [pa.array([bool(leaks(t.as_py() or "", index, bounds, overlap)) for t in texts], pa.bool_())]
 

@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from papyra.llm.common import arrow_map, free_name, record_batch, stored, with_columns
+from papyra.llm.common import arrow_map, free_name, record_batch, remembered, stored, with_columns
 
 ORDER = 4
 DISCOUNT = 0.75
 SAMPLE_BYTES = 4_000_000
 MAX_LABELS = 500
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 800_000
 CACHED_LENGTH = 64
 UNKNOWN = "und"
 EDGE = "\x02"
@@ -153,25 +153,11 @@ class LanguageModel:
         return rows
 
 
-#: The scorer of the model that this Python worker used last: later tasks go on with its memory.
-LAST: dict[str, Scorer] = {}
-
-
-def scorer(model: LanguageModel) -> Scorer:
-    if model.token not in LAST:
-        LAST.clear()
-        LAST[model.token] = Scorer(model)
-    return LAST[model.token]
-
-
 class Scorer:
     """Cross-entropies of texts; what words cost is remembered, within a bound."""
 
     def __init__(self, model: LanguageModel):
         self.model = model
-        self.clear()
-
-    def clear(self) -> None:
         self.places: dict[str, int] = {}
         self.used = 0
         self.rows = np.zeros((1024, len(self.model.names) + 1))
@@ -179,9 +165,7 @@ class Scorer:
     def cost(self, text: str) -> tuple[np.ndarray, float]:
         """Log-probability in every language and the number of characters."""
         words = text.lower().split()
-        if len(self.places) > CACHED_WORDS:
-            self.clear()
-        extra = 0.0
+        extra, full = 0.0, len(self.places) >= CACHED_WORDS
         new = [w for w in set(words) if w not in self.places]
         if any(len(w) > CACHED_LENGTH for w in new):
             extra = self.model.words([letters(w) for w in words if len(w) > CACHED_LENGTH]).sum(axis=0)
@@ -200,6 +184,10 @@ class Scorer:
             self.places.update(zip(new, map(self.places.__getitem__, bare)))
         places = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
         total = self.rows[places].sum(axis=0) + extra
+        if full and new:  # no room to remember them
+            for word in {*new, *fresh}:
+                self.places.pop(word, None)
+            self.used -= len(fresh)
         return total[:-1], float(total[-1])
 
     def judge(self, text: str | None) -> tuple[str, float, float | None, float, bool]:
@@ -308,7 +296,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(columns):
-        memory = scorer(shared.value)
+        memory = remembered(f"languages {shared.value.token}", lambda: Scorer(shared.value))
         for (texts,) in columns:
             made = [memory.judge(text.as_py()) for text in texts]
             yield [pa.array(column, kind) for column, kind in zip(zip(*made) if made else [()] * 5, (pa.string(), pa.float64(), pa.float64(), pa.float64(), pa.bool_()))]

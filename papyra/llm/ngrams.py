@@ -53,7 +53,7 @@ def unpacked_sorted(blob: bytes) -> np.ndarray:
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= CACHED_LENGTH:
+        if len(word) <= CACHED_LENGTH and len(self) < CACHED_WORDS:
             self[word] = value
         return value
 
@@ -98,8 +98,6 @@ def blocks(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
 
         for batch in batches:
             for doc_id, kind, text in zip(batch.column("doc_id").to_pylist(), batch.column("kind").to_pylist(), batch.column("text")):
-                if len(hashes) > CACHED_WORDS:
-                    hashes.clear()
                 tokens = text.as_buffer().to_pybytes().lower().split()
                 ids, lengths, parts = held[kind]
                 ids.append(doc_id)

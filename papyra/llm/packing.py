@@ -12,14 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from papyra.llm.common import arrow_map, stored
+from papyra.llm.common import arrow_map, remembered, stored
 from papyra.session import ship
 
 CAPACITY = 4096
 END_ID = 1
 GROUP_PIECES = 8_000
 ROUNDS = 4
-CACHED_WORDS = 1_500_000
+CACHED_WORDS = 800_000
 CACHED_LENGTH = 64
 #: Marks that may close a word; none begins a contraction.
 MARKS = ".,;:!?()[]{}|&#$%*+=/\\\"-_"
@@ -31,16 +31,18 @@ class WordIds(dict):
     The tokenizer never joins text across a space or line end, so a text's ids
     are its words' ids in a row; nor across the end of a run of letters, so a
     word's closing marks are looked up on their own. The memory is bounded: long
-    words are never kept, and a full memory starts anew.
+    words are never kept, and once it is full, new words stay for their batch.
     """
 
     def __init__(self, model: str):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(model)
+        self.passing: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        made = self.passing.get(word)
+        return made if made is not None else np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, words: set[str]) -> None:
         """Remember words, asking the tokenizer once for all their new parts."""
@@ -53,31 +55,19 @@ class WordIds(dict):
                 else:
                     split[word] = word, ""
         parts = [p for p in {p for pair in split.values() for p in pair} if p not in self]
+        self.passing = {}
+        kept = self if len(self) < CACHED_WORDS else self.passing
         for part, made in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)):
-            self[part] = np.array(made.ids, "<u4").tobytes()
+            kept[part] = np.array(made.ids, "<u4").tobytes()
         for word, (bare, marks) in split.items():
-            self[word] = self[bare] + self[marks]
+            kept[word] = self[bare] + self[marks]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self) > CACHED_WORDS:
-            self.clear()
         words = [text.replace("\n", " ").split(" ") for text in texts]
         self.learn(set().union(*words))
         return [b"".join(map(self.__getitem__, w)) for w in words]
 
 
-#: The memory of this Python worker: later tasks with the same tokenizer go on with it.
-LAST: dict[int, WordIds] = {}
-
-
-def word_ids(model: str) -> WordIds:
-    key = zlib.crc32(model.encode())
-    if key not in LAST:
-        LAST.clear()
-        LAST[key] = WordIds(model)
-    return LAST[key]
-
-
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32)`` of every document.
 
@@ -90,7 +80,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        memory = word_ids(model.value)
+        memory = remembered(f"tokens {zlib.crc32(model.value.encode())}", lambda: WordIds(model.value))
         for batch in batches:
             rows, number, starts, lengths, sums = [], [], [], [], []
             texts = batch.column("text")

@@ -83,9 +83,7 @@ class Memory(dict):
 
     def __missing__(self, word: str) -> float:
         value = self.ratios.get(letters(word), 0.0)
-        if len(word) <= CACHED_LENGTH:
-            if len(self) > CACHED_WORDS // 4:
-                self.clear()
+        if len(word) <= CACHED_LENGTH and len(self) < CACHED_WORDS // 2:
             self[word] = value
         return value
 
