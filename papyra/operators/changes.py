@@ -8,9 +8,17 @@ from pyspark.sql import functions as F
 from papyra.operators.joins import lookup_join
 
 
+#: Timestamps keep their microseconds.
+DIGEST_FORMAT = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def content_hash(columns: list[str]) -> Column:
     """Digest of the row content that tells null and absent values apart."""
-    return F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+    return F.md5(F.to_json(F.struct(*columns), DIGEST_FORMAT))
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:

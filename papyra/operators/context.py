@@ -10,14 +10,6 @@ from papyra.functions.text import year_label
 # Labels of a citation block and the line that ends it.
 RULE = "-" * 25
 
-INSTRUCTIONS = (
-    "You help researchers to read the scientific literature.\n"
-    "Rules:\n"
-    "1. Use nothing but the context below.\n"
-    '2. Close with a "REFERENCES" section: Title, Authors, Journal (Year) and DOI of each paper used.\n'
-    "3. Say that the information is not sufficient when the context does not hold the answer."
-)
-
 
 def or_na(c: str) -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit("N/A"))
@@ -48,9 +40,9 @@ def contexts(hits: DataFrame, query_id: str = "query_id") -> DataFrame:
 def prompts(
     questions: DataFrame,
     context: DataFrame,
+    instructions: str,
     query_id: str = "query_id",
     question: str = "question",
-    instructions: str = INSTRUCTIONS,
 ) -> DataFrame:
     """Instructions, context and question as one text per question."""
     text = F.concat(

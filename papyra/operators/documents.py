@@ -22,16 +22,23 @@ def explode_ids(df: DataFrame, column: str = "sha", keep_rows: bool = False) ->
 def select_articles(
     meta: DataFrame, n: int = 10_000, key: str = "sha", rank: str = "rank", flag: str = "paper_br"
 ) -> DataFrame:
-    """Flagged articles plus the ``n`` best-ranked of the others, one row per id."""
+    """Flagged articles plus the ``n`` best-ranked of the others, one row per id.
+
+    Rows of one id and flag are made one first, so a repeated id takes one of the
+    ``n`` places: the best-ranked stays, and all other columns settle ties. Of an
+    id that is chosen both ways the flagged row stays.
+    """
     typed = meta.withColumn(rank, F.col(rank).try_cast("double")).withColumn(flag, F.col(flag).try_cast("int"))
     is_flagged = F.col(flag) == 1
     eligible = typed.where(is_flagged | ((F.col(flag) == 0) & F.col(rank).isNotNull()))
-    # Only id and rank take part in the sort, at most n rows of them come out,
-    # and one more scan marks the wide rows they stand for.
-    best = top_n(eligible.where(F.col(flag) == 0).select(key, rank), n, [F.asc(rank), F.asc(key)])
-    marked = eligible.join(best.distinct().withColumn("_best", F.lit(True)), [key, rank], "left")
+    ties = [F.asc(c) for c in meta.columns if c not in (key, rank, flag)]
+    single = best_per_key(eligible, [key, flag], [F.asc_nulls_last(rank), *ties])
+    # Only id and rank take part in the sort, and at most n of them come out.
+    best = top_n(single.where(F.col(flag) == 0).select(F.col(key).alias("_id"), rank), n, [F.asc(rank), F.asc("_id")])
+    best = best.select("_id", F.lit(True).alias("_best"))
+    marked = single.join(best, F.col(key).eqNullSafe(F.col("_id")), "left")
     chosen = marked.where(is_flagged | F.col("_best")).select(*meta.columns)
-    return best_per_key(chosen, [key], [F.desc(flag), F.asc_nulls_last(rank)])
+    return best_per_key(chosen, [key], [F.desc(flag)])
 
 
 def selected_documents(docs: DataFrame, selected: DataFrame, key: str = "sha") -> DataFrame:

@@ -28,21 +28,21 @@ def ivf_build(
     cells: int,
     column: str = "chunk_text_vector",
     metric: str = "cosine",
-    train_rows: int = 1_000_000,
+    train_share: float | None = None,
     seed: int = 7,
 ) -> None:
     """Write ``path/centroids`` and ``path/rows`` (partitioned by cell).
 
-    ``train_rows`` bounds the k-means input only; every corpus row is
-    assigned to a cell and stored. The corpus is read three times (count,
-    training, assignment), so it should be a stored table.
+    Cells are trained on all rows, or on a sampled share if ``train_share`` is
+    given. Every row with a vector is assigned to a cell and stored; rows
+    without one are not. The corpus is read twice (training, assignment), so it
+    should be a stored table.
     """
     corpus = corpus.where(F.col(column).isNotNull())
     place = unit(F.col(column)) if metric == "cosine" else F.col(column).cast("array<double>")
     train = corpus.select(array_to_vector(place).alias("features"))
-    share = train_rows / max(1, corpus.count())
-    if share < 1.0:
-        train = train.sample(share, seed=seed)
+    if train_share is not None:
+        train = train.sample(train_share, seed=seed)
     train = train.persist()
     model = KMeans(k=cells, seed=seed, maxIter=10, featuresCol="features", predictionCol="cell").fit(train)
     train.unpersist()

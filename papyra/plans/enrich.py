@@ -50,8 +50,9 @@ def enrich_metadata(meta: DataFrame, doi_rank: DataFrame, flagged: DataFrame) ->
     join can multiply rows.
     """
     numeric = F.asc_nulls_last(F.col("Rank").try_cast("double"))
+    rest = [F.asc(c) for c in doi_rank.columns if c not in ("DOI", "Rank", "ISSN_key", "ISSN")]
     ranks = best_per_key(
-        doi_rank.withColumn("DOI", strip("DOI")), ["DOI"], [numeric, F.asc("ISSN_key"), F.asc("ISSN")]
+        doi_rank.withColumn("DOI", strip("DOI")), ["DOI"], [numeric, F.asc("ISSN_key"), F.asc("ISSN"), *rest]
     )
     flags = flagged.select(strip("sha").alias("sha")).distinct().withColumn("paper_br", F.lit(1))
     base = explode_ids(meta.withColumnsRenamed({"doi": "DOI"}).withColumn("DOI", strip("DOI")), keep_rows=True)

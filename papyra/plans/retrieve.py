@@ -21,6 +21,6 @@ def question_hits(
     return knn(gold, asked, k, ["cord_uid", "chunk_no"], columns=columns or CITED)
 
 
-def question_prompts(gold: DataFrame, questions: DataFrame, k: int = HITS) -> DataFrame:
-    """One citable prompt per question."""
-    return prompts(questions, contexts(question_hits(gold, questions, k)))
+def question_prompts(gold: DataFrame, questions: DataFrame, instructions: str, k: int = HITS) -> DataFrame:
+    """One citable prompt per question, headed by the caller's ``instructions``."""
+    return prompts(questions, contexts(question_hits(gold, questions, k)), instructions)

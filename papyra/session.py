@@ -51,7 +51,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or getattr(context, "_papyra_scratch", None)
     if not base:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors see")
         base = context._papyra_scratch = tempfile.mkdtemp(prefix="papyra-")
     return f"{base.rstrip('/')}/papyra/{label}-{uuid.uuid4().hex}"

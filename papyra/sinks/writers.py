@@ -60,7 +60,7 @@ def write_by(df: DataFrame, path: str, column: str, max_rows_per_file: int = 1_0
 
 def write_table(df: DataFrame, name: str, path: str | None = None) -> None:
     """Overwrite a table; its schema becomes that of ``df``."""
-    writer = df.write.format("parquet").mode("overwrite").option("overwriteSchema", True)
+    writer = df.write.format("parquet").mode("overwrite")
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from papyra.plans.enrich import match_records
-from papyra.sources.schemas import RECORD
+from papyra.sinks.writers import hand_off
+from papyra.sources.files import whole_records
+from papyra.sources.schemas import CORRUPT, RECORD
 
 
 def match_records_incremental(
@@ -25,15 +27,19 @@ def match_records_incremental(
     row twice.
     """
 
+    dois = hand_off(dois, "dois")  # once, not in every batch
+
     def write(batch: DataFrame, batch_id: int) -> None:
         match_records(batch, dois).write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
 
     stream = (
-        spark.readStream.schema(schema)
-        .option("mode", "DROPMALFORMED")
+        spark.readStream.schema(f"{schema}, {CORRUPT} string")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files)
         .json(in_dir)
+        .transform(whole_records)
         .withColumn("file", F.col("_metadata.file_path"))
     )
     query = (

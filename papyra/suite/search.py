@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from papyra.operators.context import INSTRUCTIONS, RULE, contexts, hits_json
+from papyra.operators.context import RULE, contexts, hits_json
 from papyra.operators.ivf import ivf_build, ivf_search
 from papyra.operators.knn import knn, nearest, nearest_expr
 from papyra.plans.gold import cited_vectors
@@ -17,6 +17,10 @@ K = 5
 CELLS = 16
 
 
+#: Heads the prompts of these queries.
+INSTRUCTIONS = "Answer from the context."
+
+
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
 
@@ -162,7 +166,7 @@ def rag_context(spark, sf_dir):
 
 
 def rag_prompt(spark, sf_dir):
-    return question_prompts(searchable(spark, sf_dir), questions(spark, sf_dir))
+    return question_prompts(searchable(spark, sf_dir), questions(spark, sf_dir), INSTRUCTIONS)
 
 
 PROMPT_SQL = f"""

@@ -211,3 +211,15 @@ def test_best_per_key_takes_the_first(spark):
     df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("b", None, "z")], "k string, n int, v string")
     got = {r.k: r.v for r in best_per_key(df, ["k"], [F.asc_nulls_last("n")]).collect()}
     assert got == {"a": "y", "b": "z"}
+
+
+def test_repeated_ids_take_one_place(spark):
+    from papyra.operators.documents import select_articles
+
+    meta = spark.createDataFrame(
+        [("a", 1.0, 0, "y"), ("a", 1.0, 0, "x"), ("b", 2.0, 0, "z"), ("c", 3.0, 0, "w"), ("d", None, 1, "v")],
+        "sha string, rank double, paper_br int, title string",
+    )
+    for parts in (1, 3):
+        chosen = select_articles(meta.repartition(parts), n=2).select("sha", "title").collect()
+        assert sorted(map(tuple, chosen)) == [("a", "x"), ("b", "z"), ("d", "v")]

@@ -137,3 +137,24 @@ def test_refresh_applies_each_change_once(spark, tmp_path):
     assert rows(current(spark, index, ["id"])) == want
     compact(spark, index, ["id"], str(tmp_path / "new"))
     assert rows(spark.read.parquet(str(tmp_path / "new" / "base"))) == want
+
+
+def test_records_are_the_same_whatever_is_selected(spark, tmp_path):
+    from papyra.sources.files import read_records, rejected_records
+
+    good = '{"DOI": "10.1/a", "ISSN": ["1"], "title": ["t"]}'
+    scalar = '{"DOI": "10.1/b", "ISSN": "1"}'
+    (tmp_path / "r.json").write_text(f"{good}\n{scalar}\n{{broken\n")
+    rows = read_records(spark, str(tmp_path))
+    assert rows.count() == 1
+    assert [r.DOI for r in rows.select("DOI").collect()] == ["10.1/a"]
+    assert len(rows.collect()) == 1
+    assert rejected_records(spark, str(tmp_path)).count() == 2
+
+
+def test_diff_sees_microseconds(spark):
+    from papyra.operators.changes import snapshot_diff
+
+    row = lambda text: spark.sql(f"SELECT 1 AS id, timestamp '{text}' AS at")
+    changed = snapshot_diff(row("2024-01-01 00:00:00.000001"), row("2024-01-01 00:00:00.000002"), ["id"])
+    assert [r.change for r in changed.collect()] == ["update"]

@@ -174,6 +174,6 @@ def test_prompt(spark):
     assert text.startswith("SOURCE: T1\nAUTHORS: N/A\nJOURNAL: J (N/A)\nDOI: d1\nCONTENT: first\n---")
     assert text.index("T1") < text.index("T2") and "J (2020)" in text
     asked = spark.createDataFrame([(1, "why?"), (2, "none?")], "query_id int, question string")
-    made = {r.query_id: r.prompt for r in prompts(asked, context).collect()}
+    made = {r.query_id: r.prompt for r in prompts(asked, context, "Read.").collect()}
     assert text in made[1] and made[1].endswith("QUESTION: why?\n\nANSWER:")
     assert "none?" in made[2]
