@@ -1,9 +1,10 @@
-"""Removal of passages that repeat across documents, by hashed paragraphs."""
+"""Removal of passages that repeat across documents, by hashed units and word windows."""
 
 from __future__ import annotations
 
 import re
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -15,6 +16,10 @@ from papyra.llm.common import arrow_map, free_name, stored, utf8, with_columns
 #: A unit ends at a line end, or where a sentence ends before white space.
 UNIT = re.compile(rb"[^\n]+?(?:[.!?]+(?=\s)|(?=\n)|\Z)")
 MIN_WORDS = 30
+#: Of each so many neighbouring words the one with the least hash begins a window.
+REACH = 10
+SPACES = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 def units(text: bytes):
@@ -25,19 +30,67 @@ def units(text: bytes):
             yield found.start(), found.end(), key
 
 
-def document_units(docs: DataFrame) -> DataFrame:
-    """``(doc_id, text_hash, unit, start, stop, words, h1, h2)``; offsets in bytes of UTF-8."""
+def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Byte offsets at which the words of a text start and stop."""
+    inside = np.concatenate(([False], ~SPACES[np.frombuffer(text, np.uint8)], [False]))
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    return edges[::2], edges[1::2]
+
+
+def anchors(lower: bytes, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Words that have the least hash of some ``REACH`` words in a row.
+
+    The choice depends on the words around only, so texts that share a run of
+    words share the anchors inside it.
+    """
+    data = np.frombuffer(lower, np.uint8).astype(np.uint64) + np.uint64(1)
+    sizes = stops - starts
+    back = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    powers = np.cumprod(np.full(int(sizes.max()), MULTIPLIER))
+    hashes = np.add.reduceat(data[np.repeat(starts, sizes) + back] * powers[back], np.cumsum(sizes) - sizes)
+    hashes = (hashes ^ (hashes >> np.uint64(31))) * MULTIPLIER
+    hashes ^= hashes >> np.uint64(29)
+    windows = np.lib.stride_tricks.sliding_window_view(hashes, REACH)
+    return np.unique(np.arange(len(windows)) + REACH - 1 - windows[:, ::-1].argmin(axis=1))
+
+
+def windows(text: bytes, size: int):
+    """``(word, start, stop, key)`` of the runs of ``size`` words that begin at anchors."""
+    starts, stops = word_places(text)
+    if starts.size < max(size, REACH):
+        return
+    lower = text.lower()
+    words = lower.split()
+    first = anchors(lower, starts, stops)
+    for word in first[first + size <= starts.size].tolist():
+        yield word, int(starts[word]), int(stops[word + size - 1]), b" ".join(words[word : word + size])
+
+
+def document_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``(doc_id, text_hash, unit, word, start, stop, words, h1, h2)``; offsets in bytes of UTF-8.
+
+    ``word`` is the place of the first word. Rows with a null ``unit`` are windows.
+    """
 
     def run(batches):
-        schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("unit", pa.int32()), ("start", pa.int32()),
+        schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("unit", pa.int32()), ("word", pa.int32()), ("start", pa.int32()),
                             ("stop", pa.int32()), ("words", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64())])
+
+        def row(key, *values):
+            digest = xxhash.xxh3_128_digest(key)
+            return *values, int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)
+
         for batch in batches:
             rows = []
             for doc_id, text_hash, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "text"))):
+                word = 0
                 for unit, (start, stop, key) in enumerate(units(text)):
-                    digest = xxhash.xxh3_128_digest(key)
-                    rows.append((doc_id, text_hash, unit, start, stop, key.count(b" ") + 1,
-                                 int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)))
+                    words = key.count(b" ") + 1
+                    rows.append(row(key, doc_id, text_hash, unit, word, start, stop, words))
+                    word += words
+                for word, start, stop, key in windows(text, min_words):
+                    # A unit's key holds no line end, so the two kinds do not meet.
+                    rows.append(row(b"\n" + key, doc_id, text_hash, None, word, start, stop, min_words))
                 if len(rows) > 50_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
                     rows = []
@@ -45,62 +98,88 @@ def document_units(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), utf8(F.col("text")).alias("text"))
-    return arrow_map(columns, run, "doc_id long, text_hash long, unit int, start int, stop int, words int, h1 long, h2 long")
+    return arrow_map(columns, run, "doc_id long, text_hash long, unit int, word int, start int, stop int, words int, h1 long, h2 long")
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Spans to remove: ``(doc_id, text_hash, start, stop, words, units, keeper_doc_id, keeper_unit)``.
-
-    Lines are cut into sentences, so that a passage is found inside longer
-    lines too; white space and the case of A-Z do not count. All units with one
-    digest but the earliest (by ``doc_id``, then place) are repeats. Neighbouring
-    repeats form a span, and a span of at least ``min_words`` words is removed.
-    ``start`` and ``stop`` are byte offsets into the original text, and the
-    keeper is where the span's first unit stays.
-
-    Null and empty texts have no units. Rows with a null ``doc_id`` rank last.
-    Rows equal in id and text are one document. A unit repeated inside one
-    document stays once, at its first place.
+    """Spans to remove: ``(doc_id, text_hash, start, stop, words, units, keeper_doc_id, keeper_word)``.
+
+    White space and the case of A-Z do not count. Two kinds of pieces are
+    hashed. Units are the sentences of lines; neighbouring repeated units of at
+    least ``min_words`` words together are removed. Windows are runs of
+    ``min_words`` words that begin at anchors, wherever sentences end; each
+    repeated one is removed. Of the pieces with one digest all but the earliest
+    (by ``doc_id``, then place) are repeats. What overlaps is one span.
+
+    So every run of at least ``min_words + 2 * REACH - 2`` words that an earlier
+    document holds is found, less at most ``2 * REACH - 2`` words at its start
+    and ``REACH - 1`` at its end. ``start`` and ``stop`` are byte offsets into
+    the original text, ``units`` counts the repeated pieces, and the keeper is
+    where the span's first piece stays.
+
+    Null and empty texts have no pieces. Rows with a null ``doc_id`` rank last.
+    Rows equal in id and text are one document. A unit or window repeated inside
+    one document stays once, at its first place.
     """
-    all_units = stored(document_units(docs), "units")
-    rank = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash", "unit")
+    all_units = stored(document_units(docs, min_words), "units")
+    rank = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash", "word")
     # Most digests occur once: they leave before anything but digests is grouped.
     twice = all_units.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
     shared = stored(all_units.join(twice, ["h1", "h2"]), "shared")
     keeper = shared.groupBy("h1", "h2").agg(F.min(rank).alias("keeper"))
+    # A window that overlaps its keeper, as in a text with a short period, stays.
+    beside = (
+        F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("text_hash") == F.col("keeper.text_hash"))
+        & (F.col("word") < F.col("keeper.word") + F.col("words"))
+    )
     repeats = (
         shared.join(keeper, ["h1", "h2"])
-        .filter(~rank.eqNullSafe(F.col("keeper")))
-        .select("doc_id", "text_hash", "unit", "start", "stop", "words",
-                F.col("keeper.doc_id").alias("keeper_doc_id"), F.col("keeper.unit").alias("keeper_unit"))
+        .filter(~beside)
+        .select("doc_id", "text_hash", "unit", "word", "start", "stop", "words",
+                F.col("keeper.doc_id").alias("keeper_doc_id"), F.col("keeper.word").alias("keeper_word"))
     )
     return merged_spans(repeats, min_words)
 
 
+def spans(items: list[dict], min_words: int) -> list[list]:
+    """``[word, end word, start, stop, pieces, keeper_doc_id, keeper_word]`` of one document."""
+    found, run = [], None
+    for u in sorted((u for u in items if u["unit"] is not None), key=lambda u: u["unit"]):
+        if run is not None and u["unit"] == run[-1] + 1:
+            run[1], run[3], run[4], run[-1] = u["word"] + u["words"], u["stop"], run[4] + 1, u["unit"]
+            continue
+        found.append(run)
+        run = [u["word"], u["word"] + u["words"], u["start"], u["stop"], 1, u["keeper_doc_id"], u["keeper_word"], u["unit"]]
+    found.append(run)
+    found = [r[:-1] for r in found if r is not None and r[1] - r[0] >= min_words]
+    found += [[u["word"], u["word"] + u["words"], u["start"], u["stop"], 1, u["keeper_doc_id"], u["keeper_word"]] for u in items if u["unit"] is None]
+    merged: list[list] = []
+    for span in sorted(found, key=lambda r: (r[0], r[1])):
+        if merged and span[0] <= merged[-1][1]:
+            last = merged[-1]
+            last[1], last[2], last[3], last[4] = max(last[1], span[1]), min(last[2], span[2]), max(last[3], span[3]), last[4] + span[4]
+        else:
+            merged.append(span)
+    return merged
+
+
 def merged_spans(repeats: DataFrame, min_words: int) -> DataFrame:
-    """Runs of consecutive units of a document, as one row each."""
-    parts = repeats.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set(F.struct("unit", "start", "stop", "words", "keeper_doc_id", "keeper_unit"))).alias("parts"))
+    """Overlapping and neighbouring repeats of a document, as one row each."""
+    parts = repeats.groupBy("doc_id", "text_hash").agg(
+        F.collect_set(F.struct("unit", "word", "start", "stop", "words", "keeper_doc_id", "keeper_word")).alias("parts"))
 
     def run(batches):
         schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("words", pa.int64()),
-                            ("units", pa.int64()), ("keeper_doc_id", pa.int64()), ("keeper_unit", pa.int32())])
+                            ("units", pa.int64()), ("keeper_doc_id", pa.int64()), ("keeper_word", pa.int32())])
         for batch in batches:
             rows = []
             for doc_id, text_hash, items in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "parts"))):
-                span = None
-                for u in items:
-                    if span is not None and u["unit"] == span[-1] + 1:
-                        span[3:6], span[-1] = [u["stop"], span[4] + u["words"], span[5] + 1], u["unit"]
-                        continue
-                    if span is not None and span[4] >= min_words:
-                        rows.append(span[:-1])
-                    span = [doc_id, text_hash, u["start"], u["stop"], u["words"], 1, u["keeper_doc_id"], u["keeper_unit"], u["unit"]]
-                if span is not None and span[4] >= min_words:
-                    rows.append(span[:-1])
+                for word, end, start, stop, pieces, keeper, place in spans(items, min_words):
+                    rows.append((doc_id, text_hash, start, stop, end - word, pieces, keeper, place))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    return arrow_map(parts, run, "doc_id long, text_hash long, start int, stop int, words long, units long, keeper_doc_id long, keeper_unit int")
+    return arrow_map(parts, run, "doc_id long, text_hash long, start int, stop int, words long, units long, keeper_doc_id long, keeper_word int")
 
 
 def without_passages(docs: DataFrame, spans: DataFrame) -> DataFrame:

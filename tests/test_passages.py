@@ -1,0 +1,44 @@
+import random
+
+from papyra.llm.passages import repeated_passages, without_passages
+
+WORDS = [f"word{i}" for i in range(5000)]
+
+
+def line(seed, n):
+    return " ".join(random.Random(seed).choices(WORDS, k=n))
+
+
+def covered(spans, doc_id):
+    return sum(s["words"] for s in spans if s["doc_id"] == doc_id)
+
+
+def test_run_inside_longer_lines(spark):
+    """A shared run that holds no whole sentence or line."""
+    run = line(1, 60)
+    rows = [(i, f"{line(10 * i, 40)} {run} {line(10 * i + 1, 40)}") for i in range(1, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = repeated_passages(docs).collect()
+    assert covered(spans, 1) == 0
+    for i in range(2, 9):
+        assert 60 - 27 <= covered(spans, i) <= 60
+    for s in spans:
+        cut = dict(rows)[s["doc_id"]].encode()[s["start"] : s["stop"]].decode()
+        assert cut in run and len(cut.split()) == s["words"] and s["keeper_doc_id"] < s["doc_id"]
+
+
+def test_run_of_few_whole_sentences(spark):
+    """Whole sentences of 20 words between halves of others: under 30 words in whole units."""
+    first, whole, last = line(2, 15), line(3, 20), line(4, 15)
+    run = f"{first}. {whole}. {last}"
+    docs = spark.createDataFrame([(1, f"{line(5, 9)} {run} {line(6, 9)}."), (2, f"{line(7, 9)} {run} {line(8, 9)}.")], "doc_id long, text string")
+    assert covered(repeated_passages(docs).collect(), 2) >= 30
+
+
+def test_whole_lines_as_before_and_no_loss(spark):
+    block = f"{line(20, 20)}.\n{line(21, 20)}."
+    docs = spark.createDataFrame([(1, f"One.\n{block}\nTwo."), (2, f"Three.\n{block}\nFour."), (3, "same " * 100)], "doc_id long, text string")
+    spans = repeated_passages(docs)
+    left = {r["doc_id"]: r["text"] for r in without_passages(docs, spans).collect()}
+    assert left[1].count("word") == 40 and left[2].split() == ["Three.", "Four."]
+    assert len(left[3].split()) >= 30
