@@ -20,6 +20,9 @@ ORDER = 4
 DISCOUNT = 0.75
 SAMPLE_BYTES = 4_000_000
 MAX_LABELS = 500
+#: Rows of a label to expect in a sample, counted ones and spare ones, if it has them.
+FEW = 4
+CHANCES = 1 << 40
 CACHED_WORDS = 300_000
 CACHED_LENGTH = 64
 UNKNOWN = "und"
@@ -208,17 +211,29 @@ class Scorer:
 def sampled(rows: DataFrame, label: str, limit: int) -> DataFrame:
     """About ``limit`` bytes of text per label, whole rows chosen by hash, written out.
 
-    At most ``MAX_LABELS`` labels, those with most text, are learned: that and
-    ``limit`` bound the sample, and with it the model that is broadcast.
+    A column ``spare`` is added, true for the quarter of the texts that is not
+    to be counted. However long its texts are, each label keeps about ``FEW``
+    rows or more of either kind, never none of a kind that it has; the texts of
+    a label that has spare ones only are all to be counted. More labels than
+    ``MAX_LABELS`` are an error: that and ``limit`` bound the model.
     """
-    sizes = rows.groupBy(label).agg(F.sum(F.octet_length("text")).alias("size"))
-    largest = sizes.orderBy(F.desc("size"), label).limit(MAX_LABELS).collect()
+    spare = F.pmod(F.xxhash64(F.lit("spare"), "text"), F.lit(4)) == 0
+    chance = F.pmod(F.xxhash64("text", "doc_id"), F.lit(CHANCES))
+    parts = rows.groupBy(label, spare.alias("spare")).agg(
+        F.sum(F.octet_length("text")).alias("size"), F.count("*").alias("n"), F.min(chance).alias("least"))
+    parts = parts.limit(2 * MAX_LABELS + 1).collect()
+    sizes = Counter()
+    for r in parts:
+        sizes[r[label]] += r["size"]
+    if len(sizes) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} different values of {label}: one model cannot hold them, train on parts of them")
+    counted = {r[label] for r in parts if not r["spare"]}
+    share = lambda r: min(1.0, max(limit / max(sizes[r[label]], 1), FEW / r["n"]))
+    shares = [(r[label], r["spare"], r["spare"] and r[label] in counted, max(int(CHANCES * share(r)), r["least"] + 1)) for r in parts]
     kind = rows.schema[label].dataType.simpleString()
-    shares = [(r[label], int(1_000_000 * min(1.0, limit / max(r["size"], 1)))) for r in largest]
-    shares = rows.sparkSession.createDataFrame(shares, f"_label {kind}, _share long")
-    chance = F.pmod(F.xxhash64("text", "doc_id"), F.lit(1_000_000))
-    chosen = rows.join(F.broadcast(shares), F.col(label) == F.col("_label")).filter(chance < F.col("_share"))
-    return stored(chosen.drop("_label", "_share"), "sample")
+    shares = rows.sparkSession.createDataFrame(shares, f"_label {kind}, _part boolean, spare boolean, _share long")
+    chosen = rows.join(F.broadcast(shares), (F.col(label) == F.col("_label")) & (spare == F.col("_part"))).filter(chance < F.col("_share"))
+    return stored(chosen.drop("_label", "_part", "_share"), "sample")
 
 
 def gram_counts(sample: DataFrame, order: int) -> DataFrame:
@@ -245,18 +260,17 @@ def gram_counts(sample: DataFrame, order: int) -> DataFrame:
 def train(labelled: DataFrame, order: int = ORDER, sample_bytes: int = SAMPLE_BYTES) -> LanguageModel:
     """Models of all languages of ``labelled (doc_id, text, lang)``.
 
-    The models are fitted on a sample of at most about ``sample_bytes`` bytes of
-    whole texts per language, so what reaches the driver and is broadcast does
+    The models are fitted on a sample of about ``sample_bytes`` bytes of whole
+    texts per language, and at least one text of each that holds a letter, so what reaches the driver and is broadcast does
     not grow with the corpus. A quarter of the sample is left out of the counts
     and calibrates the rejection: a text is rejected when its cross-entropy lies
     further over its language's mean than ``MARGIN`` times the distance that the
     share ``TAIL`` of those texts keeps, given its length.
     """
-    rows = labelled.filter("text IS NOT NULL AND lang IS NOT NULL").select(F.col("doc_id").cast("string").alias("doc_id"), "text", "lang")
+    rows = labelled.filter("text IS NOT NULL AND lang IS NOT NULL").filter(F.col("text").rlike(r"\p{L}")).select(F.col("doc_id").cast("string").alias("doc_id"), "text", "lang")
     sample = sampled(rows, "lang", sample_bytes)
-    spare = F.pmod(F.xxhash64(F.lit("spare"), "text"), F.lit(4)) == 0
     grams: dict[str, dict[str, int]] = defaultdict(dict)
-    counted = gram_counts(sample.filter(~spare), order).toArrow()
+    counted = gram_counts(sample.filter("NOT spare"), order).toArrow()
     for lang, gram, n in zip(*(counted.column(c).to_pylist() for c in ("lang", "gram", "n"))):
         grams[lang][gram] = n
     model = LanguageModel(order)
@@ -265,7 +279,7 @@ def train(labelled: DataFrame, order: int = ORDER, sample_bytes: int = SAMPLE_BY
         model.models.append(KneserNey.fit(grams[lang], order))
     if not model.names:
         return model
-    judged = predict(sample.filter(spare), model).filter("cross_entropy IS NOT NULL AND lang_pred = lang")
+    judged = predict(sample.filter("spare"), model).filter("cross_entropy IS NOT NULL AND lang_pred = lang")
     judged = judged.select("lang", "cross_entropy", "n_letters").toArrow().to_pandas()
     model.middle, model.spread = np.zeros(len(model.names)), np.full(len(model.names), np.inf)
     for i, lang in enumerate(model.names):
