@@ -50,14 +50,16 @@ class Item:
         if len(tail) < SHINGLE:
             self.answer = set()
 
-    def overlap(self, words: list[str]) -> tuple[float, float]:
-        """Shares of the question's and the answer's shingles that ``words`` hold."""
+    def overlap(self, words: list[str]) -> tuple[float, float, float]:
+        """Shares of the whole item's, the question's and the answer's shingles that ``words`` hold."""
         by_size: dict[int, set] = {}
         for part in (self.question, self.answer):
             for size in {len(s) for s in part}:
                 by_size.setdefault(size, {tuple(words[i : i + size]) for i in range(len(words) - size + 1)})
-        share = lambda part: sum(s in by_size[len(s)] for s in part) / len(part) if part else 1.0
-        return share(self.question), share(self.answer)
+        held = lambda part: sum(s in by_size[len(s)] for s in part)
+        question, answer = held(self.question), held(self.answer)
+        share = lambda n, part: n / len(part) if part else 1.0
+        return (question + answer) / len(self.question | self.answer), share(question, self.question), share(answer, self.answer)
 
 
 @dataclass
@@ -97,7 +99,7 @@ class Index:
             for word, n in Counter(item.words).items():
                 idf = math.log(1 + (len(items) - seen[word] + 0.5) / (seen[word] + 0.5))
                 parts[word] = idf * n * (K1 + 1) / (n + K1 * (1 - B + B * len(item.words) / mean))
-            spared = sum(math.floor((1 - overlap) * len(s) + 1e-9) for s in (item.question, item.answer))
+            spared = math.floor((1 - overlap) * len(item.question | item.answer) + 1e-9)
             least = sum(sorted(parts.values())[: max(len(parts) - spared, 1)])
             # A passage that lacks all of a gate lacks more than can be spared.
             # Long words come first: they are rare, so few passages go on.
@@ -231,8 +233,8 @@ def leaks(text: str, index: Index, bounds: Bounds, overlap: float) -> dict[int,
         if not index.reachable(query):
             continue
         for place, score in index.search(query):
-            question, answer = index.items[place].overlap(words)
-            if question >= overlap and answer >= overlap and score > found.get(place, (0.0,))[0]:
+            whole, question, answer = index.items[place].overlap(words)
+            if whole >= overlap and score > found.get(place, (0.0,))[0]:
                 found[place] = score, question, answer
     return found
 
@@ -253,7 +255,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, overlap: float = OVERLAP
 
     One row per document and test item that the document holds: BM25 score (1
     is the threshold) and the shares of five-word shingles of the item's first
-    and second half, both at least ``overlap``. Case and punctuation do not
+    and second half. The passage holds at least ``overlap`` of the whole item's
+    shingles; the shares of the halves are reported only. Case and punctuation do not
     count; items shorter than a shingle must occur whole. Null and empty texts
     and items match nothing; repeated rows are reported one by one.
 
