@@ -24,13 +24,13 @@ from papyra.llm.common import arrow_map, record_batch, stored, utf8
 LONGEST = 5
 MIN_COUNT = 100
 TOP = 2000
-#: Pairs are counted by hash in this many cells; the broadcast is one bit a cell (8 MB).
-CELL_BITS = 26
+#: Phrases are counted by hash in this many cells; a broadcast is one bit a cell (32 MB).
+CELL_BITS = 28
 #: Size of one of Spark's bitmaps.
 BITMAP_BYTES = 4096
-#: Words, and phrases, that a task holds before it hands its counts on.
-HELD_PAIRS = 1 << 22
-HELD_WORDS = 1 << 20
+#: What a task holds before it hands its counts on, and of word hashes.
+HELD_CELLS = 1 << 22
+HELD_GRAMS = 1 << 18
 HELD_MEMORY = 1 << 19
 #: Doublings of the path compaction: a path has at most 2 to this power edges.
 DOUBLINGS = 4
@@ -60,47 +60,87 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def pair_cells(hashes: np.ndarray, lang: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Cell of each word and its successor, and which of them lie in one piece."""
-    left, right = hashes[:-1], hashes[1:]
-    mixed = (left ^ np.uint64(xxhash.xxh3_64_intdigest(lang))) * np.uint64(0x9E3779B97F4A7C15)
-    mixed = (mixed ^ (mixed >> np.uint64(29)) ^ right) * np.uint64(0xBF58476D1CE4E5B9)
-    return (mixed >> np.uint64(64 - CELL_BITS)).astype(np.int64), (left != 0) & (right != 0)
+def gram_hashes(hashes: np.ndarray, lang: bytes, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Per length from 2 on: hash of the phrase at each word, and whether it lies in one piece."""
+    mixed = (hashes ^ np.uint64(xxhash.xxh3_64_intdigest(lang))) * np.uint64(0x9E3779B97F4A7C15)
+    whole = hashes != 0
+    for k in range(2, longest + 1):
+        mixed = ((mixed[:-1] ^ (mixed[:-1] >> np.uint64(29))) + hashes[k - 1 :]) * np.uint64(0xBF58476D1CE4E5B9)
+        whole = whole[:-1] & (hashes[k - 1 :] != 0)
+        yield k, (mixed >> np.uint64(64 - CELL_BITS)).astype(np.int64), whole
+
+
+def is_set(bits: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    return (bits[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1 == 1
+
+
+def frequent_lengths(hashes: np.ndarray, lang: bytes, longest: int, pairs: np.ndarray, more: np.ndarray | None) -> np.ndarray:
+    """How many words the longest phrase at each word may have, to occur often.
+
+    Without ``more``, only neighbours are looked up.
+    """
+    size = len(hashes)
+    length = np.minimum(hashes, 1).astype(np.int64)
+    linked = None
+    for k, cells, whole in gram_hashes(hashes, lang, longest):
+        room = size - k + 1
+        if room <= 0:
+            break
+        if k == 2:
+            linked = whole & is_set(pairs, cells)
+            open_ = linked
+        else:
+            open_ = open_[:room] & linked[k - 2 :]
+            if more is not None:
+                open_ = open_ & is_set(more, cells)
+        length[:room][open_] = k
+    # What follows a phrase's first word is as frequent as the phrase.
+    for _ in range(longest - 2):
+        np.minimum(length[:-1], length[1:] + 1, out=length[:-1])
+    return length
 
 
 def texts_by_language(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).cast("binary").alias("lang"), utf8(F.col("text")).alias("text"))
 
 
-def pair_counts(texts: DataFrame) -> DataFrame:
-    """``(cell, n)`` counts of neighbouring words by hash, combined within tasks."""
+def frequent_cells(texts: DataFrame, min_count: int, longest: int, pairs=None) -> np.ndarray:
+    """Bit per cell: may a phrase in it occur ``min_count`` times?
+
+    Phrases of two words are counted by hash; given the bits of those,
+    ``pairs``, the longer ones made of frequent pairs. A cell counts all
+    phrases that share it, so no frequent one is missed; a rare one in a
+    frequent cell only costs work later. Counts are combined within tasks.
+    What reaches the driver is bounded by the number of cells, whatever the
+    corpus.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory, held, size = WordHashes(), [], 0
+
+        def counted() -> pa.RecordBatch:
+            cell, n = np.unique(np.concatenate(held), return_counts=True)
+            return record_batch(cell=cell, n=n.astype(np.int64))
+
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                cells, joined = pair_cells(memory.of(marked_words(text)), lang)
-                held.append(cells[joined].astype(np.int32))
-                size += len(held[-1])
-                if size >= HELD_PAIRS:
-                    cell, n = np.unique(np.concatenate(held), return_counts=True)
-                    yield record_batch(cell=cell, n=n.astype(np.int64))
+                hashes = memory.of(marked_words(text))
+                if len(hashes) < 2:
+                    continue
+                if pairs is not None:
+                    length = frequent_lengths(hashes, lang, longest, pairs.value, None)
+                for k, cells, whole in gram_hashes(hashes, lang, 2 if pairs is None else longest):
+                    if pairs is None or k > 2:
+                        held.append(cells[whole if pairs is None else length[: len(cells)] >= k].astype(np.int32))
+                        size += len(held[-1])
+                if size >= HELD_CELLS:
+                    yield counted()
                     held, size = [], 0
         if size:
-            cell, n = np.unique(np.concatenate(held), return_counts=True)
-            yield record_batch(cell=cell, n=n.astype(np.int64))
-
-    return arrow_map(texts, run, "cell int, n long")
-
-
-def frequent_cells(texts: DataFrame, min_count: int) -> np.ndarray:
-    """Bit per cell: may a pair in it occur ``min_count`` times?
+            yield counted()
 
-    A cell counts all pairs that share it, so no frequent pair is missed;
-    a rare pair in a frequent cell only costs work later. What reaches the
-    driver is bounded by the number of cells, whatever the corpus.
-    """
-    often = pair_counts(texts).groupBy("cell").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
+    counts = arrow_map(texts, run, "cell int, n long")
+    often = counts.groupBy("cell").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
     # Spark's bitmaps count from 1: bit 0 of bitmap 1 is cell 0.
     place = F.col("cell").cast("long") + 1
     rows = often.groupBy(F.bitmap_bucket_number(place).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
@@ -110,67 +150,54 @@ def frequent_cells(texts: DataFrame, min_count: int) -> np.ndarray:
     return bits.reshape(-1)
 
 
-def is_set(bits: np.ndarray, cells: np.ndarray) -> np.ndarray:
-    return (bits[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1 == 1
-
-
 def longest_grams(texts: DataFrame, min_count: int, longest: int) -> DataFrame:
     """``(lang, gram, words, n)``: the phrase that each word starts, counted.
 
-    It has ``longest`` words, or fewer at the end of its piece. A pair that
-    cannot occur ``min_count`` times ends a piece too: no phrase that occurs
-    so often holds such a pair, so the counts of frequent phrases stay exact.
+    It has ``longest`` words, or fewer where its piece ends. A phrase that
+    cannot occur ``min_count`` times ends a piece too, at its last word: none
+    that occurs so often holds it, so the counts of frequent phrases, and of
+    all words, stay exact.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(frequent_cells(texts, min_count))
-
-    def flush(runs: dict[bytes, Counter], single: dict[bytes, Counter]) -> Iterator[pa.RecordBatch]:
-        for lang in set(runs) | set(single):
-            grams: Counter = Counter()
-            for run, times in runs.get(lang, {}).items():
-                for i in range(len(run)):
-                    grams[run[i : i + longest]] += times
-            for word, times in single.get(lang, {}).items():
-                grams[(word,)] += times
+    context = texts.sparkSession.sparkContext
+    pairs = context.broadcast(frequent_cells(texts, min_count, longest))
+    more = context.broadcast(frequent_cells(texts, min_count, longest, pairs))
+
+    def flush(held: dict[bytes, Counter]) -> Iterator[pa.RecordBatch]:
+        for lang, grams in held.items():
             keys = list(grams)
             for low in range(0, len(keys), 50_000):
                 part = keys[low : low + 50_000]
                 yield record_batch(
                     lang=pa.array([lang] * len(part), pa.binary()).cast(pa.string()),
-                    gram=pa.array([b" ".join(k) for k in part], pa.binary()).cast(pa.string()),
-                    words=pa.array([len(k) for k in part], pa.int32()),
+                    gram=pa.array(part, pa.binary()).cast(pa.string()),
+                    words=pa.array([k.count(b" ") + 1 for k in part], pa.int32()),
                     n=pa.array([grams[k] for k in part], pa.int64()),
                 )
-        runs.clear()
-        single.clear()
+        held.clear()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, memory = shared.value, WordHashes()
-        runs: dict[bytes, Counter] = {}
-        single: dict[bytes, Counter] = {}
-        held = 0
+        memory, held, size = WordHashes(), {}, 0
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 words = marked_words(text)
                 if not words:
                     continue
-                hashes = memory.of(words)
-                cells, joined = pair_cells(hashes, lang)
-                linked = joined & is_set(bits, cells)
-                edge = np.concatenate([[False], linked, [False]])
-                alone = np.flatnonzero(~edge[:-1] & ~edge[1:] & (hashes != 0))
-                single.setdefault(lang, Counter()).update(map(words.__getitem__, alone.tolist()))
-                starts = np.flatnonzero(~edge[:-1] & edge[1:])
-                stops = np.flatnonzero(edge[:-1] & ~edge[1:]) + 1
-                runs.setdefault(lang, Counter()).update(tuple(words[a:b]) for a, b in zip(starts.tolist(), stops.tolist()))
-                held += len(words)
-                if held >= HELD_WORDS:
-                    yield from flush(runs, single)
-                    held = 0
-        yield from flush(runs, single)
+                length = frequent_lengths(memory.of(words), lang, longest, pairs.value, more.value)
+                grams = held.setdefault(lang, Counter())
+                before = len(grams)
+                grams.update(map(words.__getitem__, np.flatnonzero(length == 1).tolist()))
+                at = np.flatnonzero(length > 1)
+                grams.update(b" ".join(words[a:b]) for a, b in zip(at.tolist(), (at + length[at]).tolist()))
+                size += len(grams) - before
+                if size >= HELD_GRAMS:
+                    yield from flush(held)
+                    size = 0
+        yield from flush(held)
 
     counted = arrow_map(texts, run, "lang string, gram string, words int, n long")
     made = stored(counted.groupBy("lang", "gram", "words").agg(F.sum("n").alias("n")), "grams")
-    shared.unpersist()
+    pairs.unpersist()
+    more.unpersist()
     return made
 
 

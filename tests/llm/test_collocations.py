@@ -56,12 +56,21 @@ def test_phrases_equal_brute_force(spark):
         assert sorted(map(tuple, got)) == plain(docs, least, top) and len(got) > 20
 
 
-def test_small_memories_and_crowded_cells_change_nothing(spark):
-    """Every pair shares a cell with frequent ones, and counts leave a task in small parts."""
-    docs = corpus(2)
-    frame = spark.createDataFrame([(t, l) for t, l in docs], "text string, lang string").repartition(2)
-    want = [tuple(r) for r in collocations.collocations(frame, min_count=12).collect()]
-    assert sorted(want) == plain(docs, 12, 2000)
+def test_only_true_prefixes_are_kept():
+    """Rare phrases end a piece; frequent ones stay whole, within pieces."""
+    words = collocations.marked_words(b"a b c d. a b c d, a b x")
+    hashes = collocations.WordHashes().of(words)
+    bits = [np.zeros((1 << collocations.CELL_BITS) // 8, np.uint8) for _ in range(2)]
+    count = Counter()
+    for k, cells, whole in collocations.gram_hashes(hashes, b"en", 5):
+        count.update((k, int(c)) for c in cells[whole])
+    for (k, cell), n in count.items():
+        if n >= 2:
+            bits[k > 2][cell >> 3] |= 1 << (cell & 7)
+    lengths = collocations.frequent_lengths(hashes, b"en", 5, *bits)
+    assert lengths.tolist() == [4, 3, 2, 1, 0, 4, 3, 2, 1, 0, 2, 1, 1]
+    everything = np.full((1 << collocations.CELL_BITS) // 8, 255, np.uint8)
+    assert collocations.frequent_lengths(hashes, b"en", 5, everything, everything).tolist() == [4, 3, 2, 1, 0, 4, 3, 2, 1, 0, 3, 2, 1]
 
 
 def test_counts_of_all_frequent_phrases(spark):
