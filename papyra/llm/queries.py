@@ -94,22 +94,22 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP9_SQL = r"""
-    WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-    l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS place FROM d),
+    WITH d AS (SELECT row_number() OVER () AS id, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    l AS (SELECT id, doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS place FROM d),
     k AS (
-        SELECT doc_id, line, place,
+        SELECT id, doc_id, line, place,
                translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
         FROM l),
     r AS (
         SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20
-        GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+        GROUP BY key HAVING count(DISTINCT doc_id) + count(DISTINCT doc_id IS NULL) FILTER (doc_id IS NULL) >= 3),
     s AS (
-        SELECT k.doc_id, k.line, k.place, coalesce(k.doc_id < r.keeper, false) AS dropped
+        SELECT k.id, k.doc_id, k.line, k.place, r.keeper IS NOT NULL AND coalesce(k.doc_id < r.keeper, true) AS dropped
         FROM k LEFT JOIN r USING (key))
     SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
            sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
-    FROM s GROUP BY doc_id"""
+    FROM s GROUP BY id, doc_id"""
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
