@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import numpy as np
+import pyarrow as pa
 
 from papyra.functions import vectors
 from papyra.operators import knn as exact
@@ -74,41 +75,61 @@ def ivf_search(
     pruned as partitions and not read.
     """
     rows = spark.read.parquet(f"{path}/rows").withColumnRenamed("cell", "_cell")
-    carried = list(columns or [])
+    centroids = spark.read.parquet(f"{path}/centroids")
+    return search_cells(rows, centroids, queries, k, nprobe, ids, column, query_id, query_column, metric, columns, exclude_self, max_broadcast_queries)
+
+
+def search_cells(
+    rows: DataFrame,
+    centroids: DataFrame,
+    queries: DataFrame,
+    k: int,
+    nprobe: int,
+    ids: list[str],
+    column: str,
+    query_id: str,
+    query_column: str,
+    metric: str,
+    columns: list[str] | None,
+    exclude_self: bool,
+    max_broadcast_queries: int,
+) -> DataFrame:
+    """Hits among ``rows (_cell, ...)`` in the ``nprobe`` nearest ``centroids (cell, center)``.
+
+    Queries are routed by position, so repeated and null ids are answered row by row.
+    """
+    spark = rows.sparkSession
+    rows, tie = exact.tied(rows, list(columns or []))
+    search = exact.Search(k, metric, ids + tie, column, list(columns or []), exclude_self)
+    schema = exact.result_schema(rows, queries, query_id, search.ids, search.carried)
     point = unit(F.col(query_column)) if metric == "cosine" else F.col(query_column).cast("array<double>")
     asked = queries.where(F.col(query_column).isNotNull()).select(
         F.col(query_id), F.col(query_column).alias("_query_vector"), point.alias("_point")
     )
+    small = exact.few_queries(asked, query_id, max_broadcast_queries)
+    if small is None:
+        asked = exact.numbered(asked)
+        points = asked.select(F.col("_q").alias("_asked"), "_point")
+    else:
+        places = small.select(["_point"]).append_column("_asked", pa.array(np.arange(small.num_rows), pa.int64()))
+        points = spark.createDataFrame(places, "_point array<double>, _asked long") if small.num_rows else asked.select("_point", F.lit(0).cast("long").alias("_asked"))
     probes = exact.knn(
-        spark.read.parquet(f"{path}/centroids"),
-        asked,
+        centroids,
+        points,
         nprobe,
         ids=["cell"],
         column="center",
-        query_id=query_id,
+        query_id="_asked",
         query_column="_point",
         metric="l2",
-        columns=[],
         max_broadcast_queries=max_broadcast_queries,
-    ).select(query_id, "cell")
-    small = exact.few_queries(asked, query_id, max_broadcast_queries)
+    ).select(F.col("_asked").alias("_q"), F.col("cell").alias("_cell"))
     if small is None:
-        schema = exact.result_schema(rows, queries, query_id, ids, [])
-        search = exact.Search(k, metric, ids, column, [], exclude_self)
-        routed = asked.join(probes.withColumnRenamed("cell", "_cell"), query_id)
-        hits = exact.ranked(exact.grid_search(rows, routed, search, query_id, schema), query_id, ids, k)
-        return exact.with_columns(hits, rows, ids, carried)
-    along = carried if small.num_rows <= exact.MAX_CARRYING_QUERIES else []
-    schema = exact.result_schema(rows, queries, query_id, ids, along)
-    search = exact.Search(k, metric, ids, column, along, exclude_self)
-    search = search.asking(*exact.query_block(small, query_id))
-    # One row per (query, probed cell) of a bounded number of queries.
-    table = probes.toArrow()
-    position = {q: i for i, q in enumerate(search.query_ids.to_pylist())}
-    places: dict[int, list[int]] = {}
-    for q, cell in zip(table.column(query_id).to_pylist(), table.column("cell").to_pylist()):
-        places.setdefault(cell, []).append(position[q])
-    search.by_cell = {cell: np.array(sorted(p)) for cell, p in places.items()}
-    probed = rows.where(F.col("_cell").isin(sorted(places)))
-    hits = exact.ranked(exact.scan_search(probed, search, schema), query_id, ids, k)
-    return hits if along == carried else exact.with_columns(hits, probed, ids, carried, small.num_rows * k)
+        hits = exact.grid_search(rows, asked.join(probes, "_q"), search, query_id, schema)
+    else:
+        search = search.asking(*exact.query_block(small, query_id))
+        # One row per (query, probed cell) of a bounded number of queries.
+        table = probes.toArrow().to_pandas()
+        search.by_cell = {int(cell): np.sort(q.to_numpy()) for cell, q in table.groupby("_cell")["_q"]}
+        hits = exact.scan_search(rows.where(F.col("_cell").isin(sorted(search.by_cell))), search, schema)
+    return exact.finished(exact.ranked(hits, search.ids, k), query_id, ids, search.carried)

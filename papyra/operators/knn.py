@@ -15,8 +15,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from papyra.functions import vectors
 from papyra.functions.vectors import METRICS, SCORE_DIGITS
-from papyra.operators.joins import lookup_join
 from papyra.session import ship
+from papyra.sinks.writers import hand_off
 
 # Scores below every real one: an undefined score is still a (last) hit, a
 # self match is none.
@@ -28,10 +28,9 @@ SLACK = 10.0**-SCORE_DIGITS
 
 # More queries than this take the grid path.
 MAX_BROADCAST_QUERIES = 16_384
-# Up to this many queries the corpus columns travel with the candidates.
-MAX_CARRYING_QUERIES = 512
-# Rows of (query, ids, score, rank) that may be broadcast.
-MAX_BROADCAST_HITS = 200_000
+# A corpus of more partitions is searched in two phases: one row in PILOT first.
+MAX_BARE_PARTITIONS = 16
+PILOT = 64
 BLOCK_ROWS = 20_000
 BLOCK_QUERIES = 4_096
 TILE = 1 << 22
@@ -92,7 +91,12 @@ def cut(table: pa.Table, k: int, ids: list[str]) -> pa.Table:
 
 @dataclass
 class Search:
-    """What a task needs to score its rows; small, shipped once per executor."""
+    """What a task needs to score its rows; small, shipped once per executor.
+
+    ``ids`` settle equal scores; the last of them is a digest of the carried
+    columns, so that rows with the same id have an order too. Queries are told
+    apart by position, never by id.
+    """
 
     k: int
     metric: str
@@ -102,12 +106,19 @@ class Search:
     exclude_self: bool
     queries: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     query_ids: pa.Array | None = None
+    positions: pa.Array | None = None
+    bars: np.ndarray | None = None
     by_cell: dict[int, np.ndarray] | None = None
 
-    def asking(self, vectors: np.ndarray, query_ids: pa.Array) -> Search:
-        """The same search with its queries."""
+    def asking(self, vectors: np.ndarray, query_ids: pa.Array, positions: pa.Array | None = None, bars: np.ndarray | None = None) -> Search:
+        """The same search with its queries, and scores that their hits must reach."""
         wanted = unit_rows(vectors) if self.metric == "cosine" else vectors
-        return replace(self, queries=wanted, query_ids=query_ids)
+        if positions is None:
+            positions = pa.array(np.arange(len(wanted)), pa.int64())
+        return replace(self, queries=wanted, query_ids=query_ids, positions=positions, bars=bars)
+
+    def first_bars(self) -> np.ndarray:
+        return np.full(len(self.queries), EXCLUDED) if self.bars is None else self.bars.copy()
 
     def candidates(self, table: pa.Table, which: np.ndarray, bars: np.ndarray) -> Iterator[pa.Table]:
         """Candidate tables: up to ``k`` rows per query of ``which`` and tile.
@@ -125,8 +136,9 @@ class Search:
             rows = unit_rows(rows)
         own = None
         if self.exclude_self:
-            places = pc.index_in(table.column(self.ids[0]), value_set=self.query_ids)
-            own = pc.fill_null(places, -1).to_numpy()
+            kinds = pc.unique(self.query_ids.drop_null())
+            own = pc.fill_null(pc.index_in(table.column(self.ids[0]), value_set=kinds), -1).to_numpy()
+            asking = pc.fill_null(pc.index_in(self.query_ids, value_set=kinds), -2).to_numpy(zero_copy_only=False)
         height = max(1, min(len(which), 1024))
         width = max(self.k, TILE // height)
         for q0 in range(0, len(which), height):
@@ -134,7 +146,7 @@ class Search:
             for r0 in range(0, len(rows), width):
                 scores = score_block(self.queries[part], rows[r0 : r0 + width], self.metric)
                 if own is not None:
-                    scores[part[:, None] == own[None, r0 : r0 + width]] = EXCLUDED
+                    scores[asking[part][:, None] == own[None, r0 : r0 + width]] = EXCLUDED
                 # fmax passes over NaN; a row of nothing else stays live.
                 live = ~(np.fmax.reduce(scores, axis=1) < bars[part] - SLACK)
                 if not live.any():
@@ -155,13 +167,15 @@ class Search:
         """Candidates in the result layout, undefined scores as null."""
         score = best.column("score")
         score = pc.if_else(pc.equal(score, UNDEFINED), pa.scalar(None, pa.float64()), score)
-        columns = [self.query_ids.take(best.column("_q").combine_chunks())]
+        which = best.column("_q").combine_chunks()
+        columns = [self.positions.take(which), self.query_ids.take(which)]
         columns += [best.column(c) for c in self.ids] + [score] + [best.column(c) for c in self.carried]
         return pa.table([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
 def result_schema(corpus: DataFrame, queries: DataFrame, query_id: str, ids: list[str], carried: list[str]):
-    return T.StructType([queries.schema[query_id]] + result_fields(corpus, ids, carried))
+    position = T.StructField("_q", T.LongType())
+    return T.StructType([position, queries.schema[query_id]] + result_fields(corpus, ids, carried))
 
 
 def result_fields(corpus: DataFrame, ids: list[str], carried: list[str]) -> list[T.StructField]:
@@ -181,7 +195,7 @@ def scan_search(corpus: DataFrame, search: Search, schema: T.StructType) -> Data
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s: Search = shared.value
         everyone = np.arange(len(s.queries))
-        bars = np.full(len(everyone), EXCLUDED)
+        bars = s.first_bars()
         best: list[pa.Table] = []
         held = 0
         limit = 8 * s.k * max(1, len(everyone))
@@ -220,6 +234,8 @@ def grid_search(
 ) -> DataFrame:
     """Search with a query table of any size; both sides carry ``_cell``.
 
+    Queries have a position ``_q`` and may have a ``_bar``, both their own.
+
     Within a cell both sides are hashed into blocks of bounded size and each
     (corpus block, query block) pair is scored in one task, which returns k
     rows per query. A hot cell simply has more blocks.
@@ -237,14 +253,15 @@ def grid_search(
     left = (
         corpus.select(*search.ids, *search.carried, search.column, "_cell")
         .join(sizes, "_cell")
-        .withColumn("_cb", F.pmod(F.xxhash64(*search.ids), F.col("_nc")).cast("int"))
+        .withColumn("_cb", F.pmod(F.xxhash64(*search.ids, search.column), F.col("_nc")).cast("int"))
         .withColumn("_qb", up_to("_nq"))
         .drop("_nc", "_nq")
     )
+    bar = F.coalesce("_bar", F.lit(EXCLUDED)) if "_bar" in queries.columns else F.lit(EXCLUDED)
     right = (
-        queries.select(F.col(query_id).alias("_query_id"), F.col("_query_vector"), "_cell")
+        queries.select("_q", F.col(query_id).alias("_query_id"), F.col("_query_vector"), bar.alias("_bar"), "_cell")
         .join(sizes, "_cell")
-        .withColumn("_qb", F.pmod(F.xxhash64("_query_id"), F.col("_nq")).cast("int"))
+        .withColumn("_qb", F.pmod(F.xxhash64("_q"), F.col("_nq")).cast("int"))
         .withColumn("_cb", up_to("_nc"))
         .drop("_nc", "_nq")
     )
@@ -252,9 +269,9 @@ def grid_search(
     def pair(rows: pa.Table, asked: pa.Table) -> pa.Table:
         if not rows.num_rows or not asked.num_rows:
             return arrow.empty_table()
-        one = search.asking(*query_block(asked, "_query_id"))
-        everyone = np.arange(len(one.queries))
-        best = one.merge(list(one.candidates(rows, everyone, np.full(len(everyone), EXCLUDED))))
+        bars = asked.column("_bar").to_numpy()
+        one = search.asking(*query_block(asked, "_query_id"), asked.column("_q").combine_chunks(), bars)
+        best = one.merge(list(one.candidates(rows, np.arange(len(bars)), one.first_bars())))
         return one.finish(best[0], arrow) if best else arrow.empty_table()
 
     block = ["_cell", "_cb", "_qb"]
@@ -267,12 +284,24 @@ def one_cell(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.withColumn("_cell", F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int"))
 
 
-def ranked(hits: DataFrame, query_id: str, ids: list[str], k: int) -> DataFrame:
-    """Final cut: ``rank`` 1..k per query, equal scores in id order."""
-    order = Window.partitionBy(query_id).orderBy(F.desc_nulls_last("score"), *ids)
+def ranked(hits: DataFrame, ids: list[str], k: int) -> DataFrame:
+    """Final cut: ``rank`` 1..k per query, equal scores in id order, null ids last."""
+    order = Window.partitionBy("_q").orderBy(F.desc_nulls_last("score"), *[F.asc_nulls_last(c) for c in ids])
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def tied(corpus: DataFrame, columns: list[str]) -> tuple[DataFrame, list[str]]:
+    """``corpus`` with a digest of the carried columns that settles ties of one id."""
+    return (corpus.withColumn("_tie", F.xxhash64(*columns)), ["_tie"]) if columns else (corpus, [])
+
+
+def pilot_share(corpus: DataFrame, ids: list[str]) -> DataFrame | None:
+    """A share of the corpus by hash, or None where few partitions make it pointless."""
+    if corpus.rdd.getNumPartitions() <= MAX_BARE_PARTITIONS:
+        return None
+    return corpus.where(F.pmod(F.xxhash64(F.lit(PILOT), *ids), F.lit(PILOT)) == 0)
+
+
 def knn(
     corpus: DataFrame,
     queries: DataFrame,
@@ -290,28 +319,64 @@ def knn(
 
     Up to ``max_broadcast_queries`` queries are shipped to the executors and
     the corpus is scored in place; a larger query table takes the grid path.
-    ``columns`` of the hits are returned along. ``exclude_self`` drops the row
-    whose (single) id equals the query id.
+    Both give the same rows. Every query row is answered on its own and every
+    corpus row may be hit, whether their ids are repeated or null. ``columns``
+    of the hits are returned along; they travel with the candidates, so a hit
+    has the columns of its own row. On a corpus of many partitions a search of
+    a share of the rows finds a score that each query's hits must reach; then
+    only rows that can win leave a partition. ``exclude_self`` drops rows whose
+    (single) id equals the query id.
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
     if exclude_self and len(ids) != 1:
         raise ValueError("exclude_self needs a single id column")
-    carried = list(columns or [])
+    corpus, tie = tied(corpus, list(columns or []))
+    search = Search(k, metric, ids + tie, column, list(columns or []), exclude_self)
     asked = queries.where(F.col(query_column).isNotNull()).select(
         F.col(query_id), F.col(query_column).alias("_query_vector")
     )
+    schema = result_schema(corpus, queries, query_id, search.ids, search.carried)
+    share = pilot_share(corpus, ids)
+    bare = replace(search, ids=ids, carried=[])
+    bare_schema = result_schema(corpus, queries, query_id, ids, [])
     small = few_queries(asked, query_id, max_broadcast_queries)
     if small is None:
-        schema = result_schema(corpus, queries, query_id, ids, [])
-        search = Search(k, metric, ids, column, [], exclude_self)
-        hits = grid_search(one_cell(corpus, ids), one_cell(asked, [query_id]), search, query_id, schema)
-        return with_columns(ranked(hits, query_id, ids, k), corpus, ids, carried)
-    along = carried if small.num_rows <= MAX_CARRYING_QUERIES else []
-    schema = result_schema(corpus, queries, query_id, ids, along)
-    search = Search(k, metric, ids, column, along, exclude_self).asking(*query_block(small, query_id))
-    hits = ranked(scan_search(corpus, search, schema), query_id, ids, k)
-    return hits if along == carried else with_columns(hits, corpus, ids, carried, small.num_rows * k)
+        asked = numbered(asked)
+        if share is not None:
+            first = grid_search(one_cell(share, ids), one_cell(asked, ["_q"]), bare, query_id, bare_schema)
+            asked = hand_off(asked.join(reached(first, ids, k), "_q", "left"), "queries")
+        hits = grid_search(one_cell(corpus, ids), one_cell(asked, ["_q"]), search, query_id, schema)
+    else:
+        block = query_block(small, query_id)
+        bars = None
+        if share is not None:
+            bars = collected_bars(scan_search(share, bare.asking(*block), bare_schema), ids, k, small.num_rows)
+        hits = scan_search(corpus, search.asking(*block, bars=bars), schema)
+    return finished(ranked(hits, search.ids, k), query_id, ids, search.carried)
+
+
+def finished(hits: DataFrame, query_id: str, ids: list[str], carried: list[str]) -> DataFrame:
+    return hits.select(query_id, *ids, "score", *carried, "rank")
+
+
+def numbered(asked: DataFrame) -> DataFrame:
+    """Queries with a position of their own, written once so that it stays."""
+    return hand_off(asked.withColumn("_q", F.monotonically_increasing_id()), "queries")
+
+
+def reached(hits: DataFrame, ids: list[str], k: int) -> DataFrame:
+    """``(_q, _bar)``: the score of each query's k-th hit, where it is defined."""
+    last = ranked(hits, ids, k).where((F.col("rank") == k) & F.col("score").isNotNull())
+    return last.select("_q", F.col("score").alias("_bar"))
+
+
+def collected_bars(hits: DataFrame, ids: list[str], k: int, queries: int) -> np.ndarray:
+    """The same as an array; one number per query of a bounded block."""
+    bars = np.full(queries, EXCLUDED)
+    table = reached(hits, ids, k).toArrow()
+    bars[table.column("_q").to_numpy()] = table.column("_bar").to_numpy()
+    return bars
 
 
 def query_block(table: pa.Table, query_id: str) -> tuple[np.ndarray, pa.Array]:
@@ -325,27 +390,10 @@ def few_queries(asked: DataFrame, query_id: str, most: int) -> pa.Table | None:
     """
     if not most:
         return None
-    rows = asked.select(query_id, "_query_vector").limit(most + 1).toArrow()
+    rows = asked.limit(most + 1).toArrow()
     return rows if rows.num_rows <= most else None
 
 
-def with_columns(
-    hits: DataFrame, corpus: DataFrame, ids: list[str], columns: list[str], most: int | None = None
-) -> DataFrame:
-    """Corpus columns of ranked hits, fetched once the final cut is made.
-
-    ``most`` is a proven bound on the number of hits: within it the hits are
-    broadcast and the corpus is read in place, beyond it both are shuffled.
-    """
-    if not columns:
-        return hits
-    order = hits.columns[:-1] + columns + ["rank"]
-    payload = corpus.select(*ids, *columns)
-    if most is not None and most <= MAX_BROADCAST_HITS:
-        return payload.join(F.broadcast(hits), ids).select(*order)
-    return lookup_join(hits, payload, ids, sketch=False).select(*order)
-
-
 def nearest(
     corpus: DataFrame,
     vector: list[float],
@@ -356,12 +404,17 @@ def nearest(
     columns: list[str] | None = None,
 ) -> DataFrame:
     """The ``k`` rows nearest to one vector: ids, score, columns, rank."""
-    carried = list(columns or [])
-    search = Search(k, metric, ids, column, carried, False)
-    search = search.asking(np.array([vector], dtype=np.float64), pa.array([0], pa.int32()))
-    one = T.StructType([T.StructField("_one", T.IntegerType())])
-    schema = T.StructType(one.fields + result_fields(corpus, ids, carried))
-    return ranked(scan_search(corpus, search, schema), "_one", ids, k).drop("_one")
+    corpus, tie = tied(corpus, list(columns or []))
+    search = Search(k, metric, ids + tie, column, list(columns or []), False)
+    block = np.array([vector], dtype=np.float64), pa.array([0], pa.int32())
+    one = [T.StructField("_q", T.LongType()), T.StructField("_one", T.IntegerType())]
+    bars, share = None, pilot_share(corpus, ids)
+    if share is not None:
+        bare = replace(search, ids=ids, carried=[]).asking(*block)
+        bars = collected_bars(scan_search(share, bare, T.StructType(one + result_fields(corpus, ids, []))), ids, k, 1)
+    hits = scan_search(corpus, search.asking(*block, bars=bars), T.StructType(one + result_fields(corpus, search.ids, search.carried)))
+    order = [F.desc_nulls_last("score"), *[F.asc_nulls_last(c) for c in search.ids]]
+    return finished(ranked(hits.orderBy(*order).limit(k), search.ids, k), "_one", ids, search.carried).drop("_one")
 
 
 def nearest_expr(
@@ -378,4 +431,4 @@ def nearest_expr(
     scored = corpus.where(F.col(column).isNotNull()).select(
         *ids, vectors.score(F.col(column), query, metric).alias("score"), *(columns or [])
     )
-    return scored.orderBy(F.desc_nulls_last("score"), *ids).limit(k)
+    return scored.orderBy(F.desc_nulls_last("score"), *[F.asc_nulls_last(c) for c in ids]).limit(k)
