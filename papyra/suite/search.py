@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from papyra.operators.context import RULE, contexts, hits_json
+from papyra.operators import ivf_refresh as live
 from papyra.operators.ivf import ivf_build, ivf_search
 from papyra.operators.knn import knn, nearest, nearest_expr
 from papyra.plans.gold import cited_vectors
@@ -111,6 +112,34 @@ def ivf_recall(spark, sf_dir):
     )
 
 
+def ivf_refresh(spark, sf_dir):
+    """An index built without some labels, brought up to date in two batches.
+
+    The first adds label 0 and deletes label 1, and is compacted; the second
+    turns the vectors of label 2 round and brings label 1 back.
+    """
+    corpus = vectors(spark, sf_dir)
+    path = scratch_dir(spark, "live")
+    live.build(corpus.where("label <> 0"), path, CELLS, "embedding")
+    change = lambda label, kind: corpus.where(F.col("label") == label).withColumn("change", F.lit(kind))
+    live.refresh(spark, path, change(0, "insert").unionByName(change(1, "delete")), ["vec_id"], "embedding", batch=0)
+    live.compact(spark, path, ["vec_id"], "embedding")
+    turned = change(2, "update").withColumn("embedding", F.transform("embedding", lambda x: -x))
+    live.refresh(spark, path, turned.unionByName(change(1, "insert")), ["vec_id"], "embedding", batch=1)
+    return live.search(spark, path, as_queries(corpus), K, 4 * CELLS, ["vec_id"], "embedding", columns=["label"], exclude_self=True)
+
+
+IVF_REFRESH_SQL = f"""
+    WITH now AS (
+        SELECT vec_id, label, CASE WHEN label = 2 THEN list_transform(embedding, lambda x: -x) ELSE embedding END::DOUBLE[] AS v
+        FROM embeddings)
+    SELECT query_id, vec_id, label, score, rank FROM (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM (
+            SELECT q.vec_id AS query_id, c.vec_id, c.label, round(list_cosine_similarity(q.embedding::DOUBLE[], c.v), 6) AS score
+            FROM embeddings q JOIN now c ON q.vec_id <> c.vec_id))
+    WHERE rank <= {K}"""
+
+
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("query_id"), F.col("text").alias("question")
@@ -189,6 +218,7 @@ SUITE = {
         ivf_recall,
         f"SELECT count(*) * {K} AS true_neighbours, true AS enough_found FROM embeddings",
     ),
+    "ivf_refresh": (ivf_refresh, IVF_REFRESH_SQL),
     "rag_hits": (rag_hits, f"WITH {HITS_SQL} SELECT query_id, cord_uid, chunk_no, score, title, rank FROM cited"),
     "rag_hits_json": (
         rag_hits_json,
