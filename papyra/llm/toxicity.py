@@ -1,10 +1,16 @@
-"""Toxicity by class-conditional Kneser-Ney models with a shared backoff."""
+"""Toxicity by class-conditional Kneser-Ney models with a shared backoff.
+
+Each class has a model of word pairs that backs off to its own model of words,
+by the different words they follow, and that to one shared by both classes.
+Counts up to a discount are left to the backoff, so a rare expression, which
+one class may hold by chance, costs the same under both models.
+"""
 
 from __future__ import annotations
 
 import math
 from collections import defaultdict
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -13,119 +19,192 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from papyra.llm.common import arrow_map, free_name, stored, with_columns
+from papyra.llm.common import arrow_map, free_name, record_batch, stored, with_columns
 from papyra.llm.language import CACHED_LENGTH, CACHED_WORDS, letters, sampled
 
 SAMPLE_ROWS = 6_000
 SAMPLE_BYTES = 16_000_000
-#: Discounts tried, in distinct contexts of the larger class.
-DISCOUNTS = (0.75, 1.5, 3.0, 6.0, 12.0, 24.0, 48.0)
-#: Log-ratios up to this are left to the shared model.
-MARGIN = 1.0
+#: Discounts tried, in counts of the larger class.
+DISCOUNTS = (0.75, 1.5, 3.0, 6.0, 12.0, 24.0, 48.0, 96.0, 192.0, 384.0)
 SHARED_DISCOUNT = 0.75
+#: Words of the passages that a text is judged by.
+WINDOW = 12
+#: How fast the score rises with the evidence.
+STEEPNESS = 6.0
 THRESHOLD = 0.3
-FLOOR = 1e-5
+#: Stands before the first word of a text.
+START = ""
 
 
 def bare_words(text: str) -> list[str]:
     return [w for w in map(letters, text.lower().split()) if w]
 
 
-def contexts(sample: DataFrame) -> DataFrame:
-    """``(word, ordinary, toxic)``: different words seen before each word, per class."""
+def pair_counts(sample: DataFrame) -> DataFrame:
+    """``(before, word, ordinary, toxic)``: neighbouring words of the texts of each class.
+
+    A pair counts once for every different pair of words around it, so that
+    copies of a text, or of a passage, count as one.
+    """
 
     def run(batches):
         for batch in batches:
-            seen: dict[tuple[int, str], set[int]] = defaultdict(set)
+            seen: dict[int, set] = defaultdict(set)
             for label, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist()):
-                before = 0
-                for word in bare_words(text):
-                    seen[label, word].add(before)
-                    before = xxhash.xxh64_intdigest(word) >> 1
-            labels, words, befores = [], [], []
-            for (label, word), found in seen.items():
-                labels += [label] * len(found)
-                words += [word] * len(found)
-                befores += found
-            yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), pa.array(words, pa.string()), pa.array(befores, pa.int64())],
-                                             names=["toxic", "word", "before"])
-
-    pairs = arrow_map(sample.select("toxic", "text"), run, "toxic int, word string, before long").distinct()
+                words = bare_words(text)
+                seen[label].update(zip([START, START, *words], [START, *words], words, [*words[1:], START]))
+            for label, found in seen.items():
+                rows = list(found)
+                around = [xxhash.xxh64_intdigest(f"{r[0]} {r[3]}") >> 1 for r in rows]
+                yield record_batch(toxic=pa.array([label] * len(rows), pa.int32()), before=pa.array([r[1] for r in rows], pa.string()),
+                                   word=pa.array([r[2] for r in rows], pa.string()), around=pa.array(around, pa.int64()))
+
+    pairs = arrow_map(sample.select("toxic", "text"), run, "toxic int, before string, word string, around long").distinct()
     n = lambda label: F.sum((F.col("toxic") == label).cast("long"))
-    return pairs.groupBy("word").agg(n(0).alias("ordinary"), n(1).alias("toxic"))
+    return pairs.groupBy("before", "word").agg(n(0).alias("ordinary"), n(1).alias("toxic"))
+
+
+@dataclass
+class Counts:
+    """Pairs of the sample; words by number, 0 is the start of a text."""
+
+    words: list[str]
+    before: np.ndarray
+    word: np.ndarray
+    pairs: np.ndarray
+
+    @staticmethod
+    def of(table: pa.Table) -> Counts:
+        before, word = table.column("before").to_pylist(), table.column("word").to_pylist()
+        number = {START: 0}
+        for w in sorted({*before, *word} - {START}):
+            number[w] = len(number)
+        pairs = np.array([table.column(c).to_numpy() for c in ("ordinary", "toxic")], float)
+        return Counts(list(number), np.array([number[w] for w in before], np.int64), np.array([number[w] for w in word], np.int64), pairs)
+
+
+def discounted(counts: np.ndarray, group: np.ndarray, groups: int, discount: float) -> tuple[np.ndarray, np.ndarray]:
+    """Per class the shares of counts above the discount, and per group what is left to the backoff.
+
+    The discount shrinks with the smaller class. Where both classes keep
+    something of a group they leave the same share, the larger of the two, so
+    that neither gains by its size alone.
+    """
+    totals = np.array([np.bincount(group, c, groups) for c in counts])
+    scaled = discount * totals / np.maximum(totals.max(0), 1e-300)
+    own = np.maximum(counts - scaled[:, group], 0.0)
+    kept = np.array([np.bincount(group, o, groups) for o in own])
+    left = 1 - kept / np.maximum(totals, 1e-300)
+    left = np.where((kept > 0).all(0), left.max(0), left)
+    shares = own * ((1 - left) / np.maximum(kept, 1e-300))[:, group]
+    return shares, left
 
 
 @dataclass
 class ToxicModel:
-    """Log-ratios over the margin, and the evidence at which the score is one half."""
+    """Log-likelihood ratios, toxic over ordinary, in the smallest form that gives them.
 
-    ratios: dict[str, float]
-    half: float = 0.01
+    ``word`` is the ratio of a word whose pair is in neither class's model,
+    ``context`` what a preceding word adds to that, ``pair`` the whole ratio of
+    a pair that is. All others are 0: both models back off alike.
+    """
 
-    def evidence(self, text: str, memory: dict[str, float] | None = None) -> float:
-        """Toxic over ordinary log-likelihood per word, beyond what both share."""
-        words = text.lower().split()
-        if not words:
+    numbers: dict[str, int] = field(default_factory=dict)
+    word: np.ndarray = field(default_factory=lambda: np.zeros(1))
+    context: np.ndarray = field(default_factory=lambda: np.zeros(1))
+    pairs: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    pair: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    cut: float = 1.0
+
+    @staticmethod
+    def fit(counts: Counts, discount: float) -> ToxicModel:
+        size = len(counts.words)
+        present = counts.pairs > 0
+        if not present.any(1).all():
+            return ToxicModel()
+        # Different words before each word, per class and in either.
+        follows = np.array([np.bincount(counts.word, p, size) for p in present])
+        either = np.bincount(counts.word, minlength=size).astype(float)
+        kinds = int((either > 0).sum())
+        shared = (np.maximum(either - SHARED_DISCOUNT, 0) + SHARED_DISCOUNT * kinds / (kinds + 1)) / either.sum()
+        shares, left = discounted(follows, np.zeros(size, np.int64), 1, discount)
+        single = shares + left * shared
+        shares, left = discounted(counts.pairs, counts.before, size, discount)
+        double = shares + left[:, counts.before] * single[:, counts.word]
+        with np.errstate(divide="ignore"):
+            word = np.log(single[1] / single[0])
+            context = np.log(left[1] / left[0])
+            pair = np.log(double[1] / double[0])
+        kept = (shares > 0).any(0)
+        told = (np.abs(word) > 1e-12) | (np.abs(context) > 1e-12)
+        told[counts.before[kept]] = told[counts.word[kept]] = told[0] = True
+        number = np.full(size, -1)
+        number[told] = np.arange(told.sum())
+        codes = number[counts.before[kept]] * int(told.sum()) + number[counts.word[kept]]
+        order = np.argsort(codes)
+        names = {counts.words[i]: int(number[i]) for i in np.flatnonzero(told)}
+        # One more place stands for all words that are not told apart.
+        return ToxicModel(names, np.append(word[told], 0.0), np.append(context[told], 0.0), codes[order], pair[kept][order])
+
+    def ratios(self, numbers: np.ndarray) -> np.ndarray:
+        """Log-ratio of every word of a text, given the one before it."""
+        before = np.concatenate([[self.numbers.get(START, -1)], numbers[:-1]])
+        ratios = self.word[numbers] + self.context[before]
+        if self.pairs.size:
+            codes = np.where((before >= 0) & (numbers >= 0), before * (len(self.word) - 1) + numbers, -1)
+            at = np.minimum(np.searchsorted(self.pairs, codes), self.pairs.size - 1)
+            ratios = np.where(self.pairs[at] == codes, self.pair[at], ratios)
+        return ratios
+
+    def evidence(self, text: str, memory: dict[str, int] | None = None) -> float:
+        """Length-normalised toxic less ordinary log-likelihood of the most toxic passage.
+
+        Passages are all runs of ``WINDOW`` words, or the whole of a shorter
+        text. Every word counts in its passages, for either class. No words: 0.
+        """
+        find = (memory if memory is not None else Memory(self)).__getitem__
+        numbers = np.fromiter((n for n in map(find, text.lower().split()) if n != SKIP), np.int64)
+        if not numbers.size:
             return 0.0
-        ratio = (memory if memory is not None else Memory(self)).__getitem__
-        return math.fsum(map(ratio, words)) / len(words)
+        sums = np.concatenate([[0.0], np.cumsum(self.ratios(numbers))])
+        width = min(WINDOW, numbers.size)
+        return float((sums[width:] - sums[:-width]).max() / width)
 
     def score(self, evidence: float) -> float:
-        return evidence / (evidence + self.half)
+        return 1 / (1 + math.exp(min(700.0, STEEPNESS * (self.cut - evidence) - math.log(THRESHOLD / (1 - THRESHOLD)))))
+
+
+#: Number of a token without letters, which is no word.
+SKIP = -2
 
 
 class Memory(dict):
-    """Log-ratios of words as they stand in texts."""
+    """Numbers of words as they stand in texts; -1 for those not told apart."""
 
     def __init__(self, model: ToxicModel):
         super().__init__()
-        self.ratios = model.ratios
+        self.numbers = model.numbers
 
-    def __missing__(self, word: str) -> float:
-        value = self.ratios.get(letters(word), 0.0)
+    def __missing__(self, word: str) -> int:
+        bare = letters(word)
+        value = self.numbers.get(bare, -1) if bare else SKIP
         if len(word) <= CACHED_LENGTH and len(self) < CACHED_WORDS // 2:
             self[word] = value
         return value
 
 
-def log_ratios(words: list[str], ordinary: np.ndarray, toxic: np.ndarray, discount: float) -> dict[str, float]:
-    """Toxic over ordinary log-probabilities that exceed the margin.
-
-    A class gives a word its contexts less the discount; what the discounts
-    leave goes to both classes by the shared continuation counts, so a word too
-    rare to be discounted scores alike in both. The discount is in proportion to
-    the class, and both classes leave the same share to the backoff: the larger
-    class does not win for its size.
-    """
-    sizes = np.array([ordinary.sum(), toxic.sum()], float)
-    if not sizes.all():
-        return {}
-    scaled = discount * sizes / sizes.max()
-    own = [np.maximum(c - d, 0.0) for c, d in zip((ordinary, toxic), scaled)]
-    kept = [o.sum() for o in own]
-    if not all(kept):
-        return {}
-    left = 1 - min(k / s for k, s in zip(kept, sizes))
-    both = ordinary + toxic
-    shared = (np.maximum(both - SHARED_DISCOUNT, 0) + SHARED_DISCOUNT / (1 + 1 / len(words))) / both.sum()
-    p, q = ((1 - left) * o / k + left * shared for o, k in zip(own, kept))
-    ratio = np.log(q / p) - MARGIN
-    return {words[i]: float(ratio[i]) for i in np.flatnonzero(ratio > 0)}
-
-
 def best_cut(values: np.ndarray, truth: np.ndarray) -> tuple[float, float, float]:
-    """``(area under the ROC curve, best F1, the value in the gap where F1 is best)``."""
+    """``(area under the ROC curve, best F1, the middle of the gap where F1 is best)``."""
     order = np.argsort(-values, kind="stable")
     v, y = values[order], truth[order]
     ends = np.append(np.flatnonzero(np.diff(v)), v.size - 1)
     hits, found = np.cumsum(y)[ends], ends + 1
     f1 = 2 * hits / (found + y.sum())
     best = int(f1.argmax())
-    below = v[ends[best] + 1] if ends[best] + 1 < v.size else 0.0
-    cut = math.sqrt(max(v[ends[best]], FLOOR) * max(below, FLOOR))
+    below = v[ends[best] + 1] if ends[best] + 1 < v.size else v[ends[best]] - 1.0
     misses = found - hits
     area = np.trapezoid(np.append(0, hits) / max(y.sum(), 1), np.append(0, misses) / max((1 - y).sum(), 1))
-    return float(area), float(f1[best]), cut
+    return float(area), float(f1[best]), float((v[ends[best]] + below) / 2)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> ToxicModel:
@@ -136,7 +215,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sa
     class: the chosen ids, which are broadcast, and the model do not grow with
     the corpus. A quarter of the sample is left out of the counts; it chooses
     the discount and the evidence that a score of ``THRESHOLD`` stands for. An
-    id with both labels counts as toxic; other labels are left out.
+    id with both labels counts as toxic; other labels and null texts are left
+    out. Without texts of both classes every score is the same.
     """
     marked = labels.filter("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy(F.col("doc_id").cast("string").alias("id")).agg(F.max("toxic").cast("int").alias("toxic"))
     sizes = dict(marked.groupBy("toxic").count().collect())
@@ -147,32 +227,30 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sa
     rows = stored(texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).drop("id"), "labelled")
     sample = sampled(rows, "toxic", sample_bytes)
     spare = F.pmod(F.xxhash64(F.lit("spare"), "text"), F.lit(4)) == 0
-    counts = contexts(sample.filter(~spare)).toArrow()
-    words = counts.column("word").to_pylist()
-    ordinary, toxic = (counts.column(c).to_numpy().astype(float) for c in ("ordinary", "toxic"))
-    model = ToxicModel({})
-    if not words:
+    counts = Counts.of(pair_counts(sample.filter(~spare)).toArrow())
+    model = ToxicModel()
+    if not counts.pairs.size:
         return model
     trial = sample.filter(spare).select("text", "toxic").toArrow()
     texts, truth = trial.column("text").to_pylist(), np.array(trial.column("toxic").to_pylist(), float)
     best = (0.0, 0.0)
     for discount in DISCOUNTS:
-        tried = ToxicModel(log_ratios(words, ordinary, toxic, discount))
+        tried = ToxicModel.fit(counts, discount)
         if not truth.size or not truth.any():
-            model = tried
-            break
+            return tried
         memory = Memory(tried)
         area, f1, cut = best_cut(np.array([tried.evidence(t, memory) for t in texts]), truth)
         if (round(f1, 3), area) > best:
             best, model = (round(f1, 3), area), tried
-            model.half = cut * (1 - THRESHOLD) / THRESHOLD
+            model.cut = cut
     return model
 
 
 def score(docs: DataFrame, model: ToxicModel) -> DataFrame:
     """``docs`` with ``score`` (0 to 1, higher: likelier toxic) and ``predicted``.
 
-    Null and empty texts score 0. Columns with these names are replaced.
+    Null and empty texts have no evidence, which scores as low as text that
+    speaks for neither class. Columns with these names are replaced.
     """
     added = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     docs = docs.drop(*added.names)

@@ -120,17 +120,6 @@ def test_bounds_hold_for_every_packing():
         assert (np.bincount(bins, lengths) <= 100).all() and (offsets + lengths <= 100).all()
 
 
-def test_toxicity(spark, docs, none):
-    train = spark.createDataFrame([(i, f"plain words number {i % 7} here" + (" vile" if i % 3 == 0 else "")) for i in range(300)], "doc_id long, text string")
-    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)] + [(None, 1), (5, None)], "doc_id long, toxic int")
-    model = toxicity.train(train, labels)
-    assert model.ratios
-    rows = toxicity.score(docs, model).collect()
-    assert len(rows) == len(ROWS) and all(0 <= r.score <= 1 for r in rows)
-    assert toxicity.score(none, model).collect() == []
-    assert toxicity.score(docs, toxicity.train(none, labels)).count() == len(ROWS)
-
-
 def test_graph_equals_brute_force(spark):
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(40, 16))
