@@ -34,7 +34,7 @@ def select_articles(
     ties = [F.asc(c) for c in meta.columns if c not in (key, rank, flag)]
     single = best_per_key(eligible, [key, flag], [F.asc_nulls_last(rank), *ties])
     # Only id and rank take part in the sort, and at most n of them come out.
-    best = top_n(single.where(F.col(flag) == 0).select(F.col(key).alias("_id"), rank), n, [F.asc(rank), F.asc("_id")])
+    best = top_n(single.where(F.col(flag) == 0).select(F.col(key).alias("_id"), rank), n, [F.asc(rank), F.asc("_id")], F.col(rank))
     best = best.select("_id", F.lit(True).alias("_best"))
     marked = single.join(best, F.col(key).eqNullSafe(F.col("_id")), "left")
     chosen = marked.where(is_flagged | F.col("_best")).select(*meta.columns)

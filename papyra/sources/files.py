@@ -31,9 +31,12 @@ def read_csv(
     return reader.schema(schema).csv(path)
 
 
-def read_metadata(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """Article metadata, every column a string; ``columns`` narrows the scan."""
-    df = read_csv(spark, path, METADATA)
+def read_metadata(spark: SparkSession, path: str, columns: list[str] | None = None, multi_line: bool = True) -> DataFrame:
+    """Article metadata, every column a string; ``columns`` narrows the scan.
+
+    Without ``multi_line`` a large file is split, if no cell holds a line break.
+    """
+    df = read_csv(spark, path, METADATA, multi_line=multi_line)
     return df.select(*columns) if columns else df
 
 

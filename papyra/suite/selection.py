@@ -119,6 +119,13 @@ def silver_selection(spark, sf_dir):
     return selection(part_metadata(spark, sf_dir), n=TOP).select("sha", F.col("Rank").alias("rank"), "paper_br")
 
 
+def silver_with_abstract(spark, sf_dir):
+    """Flagged articles have blank abstracts here, so only ranked ones are chosen."""
+    blank = F.when(F.col("paper_br") == "1", F.lit(" \t\n")).otherwise(F.col("abstract"))
+    meta = part_metadata(spark, sf_dir).withColumn("abstract", blank)
+    return selection(meta, n=TOP, require_abstract=True).select("sha", F.col("Rank").alias("rank"), "paper_br")
+
+
 def order_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.concat_ws("; ", "o_orderkey", "o_custkey").alias("sha"),
@@ -210,6 +217,12 @@ SUITE = {
         UNION ALL
         SELECT * FROM (SELECT * FROM m WHERE paper_br = 0 AND rank IS NOT NULL ORDER BY rank, sha LIMIT {TOP})""",
     ),
+    "silver_with_abstract": (
+        silver_with_abstract,
+        f"""SELECT sha, rank, paper_br FROM (SELECT {', '.join(_part_column(c) for c in CONTRACT)} FROM part)
+            WHERE substr(publish_time, 1, 4)::INT >= 2020 AND paper_br = 0 AND rank IS NOT NULL
+            ORDER BY rank, sha LIMIT {TOP}""",
+    ),
     "year_filter": (year_filter, YEAR_FILTER_SQL),
     "year_ids": (year_ids, BY_YEAR_SQL),
     "year_sets": (year_sets, f"SELECT year, count(*) AS n FROM ({BY_YEAR_SQL}) GROUP BY year"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from papyra.functions.text import file_stem
 from papyra.operators.changes import apply_changes, snapshot_diff
 from papyra.operators.documents import affiliated_ids, flatten_articles
 from papyra.plans.bronze import write_by_year
@@ -16,13 +17,17 @@ from papyra.sources.files import (
     list_documents,
     read_articles,
     read_csv,
+    read_ids,
     read_json,
+    read_metadata,
     read_parquet,
+    read_ranks,
     read_records,
     read_table,
     well_formed,
+    whole_records,
 )
-from papyra.sources.schemas import CORRUPT, RECORD
+from papyra.sources.schemas import CORRUPT, METADATA_COLUMNS, RECORD
 from papyra.streaming.records import match_records_incremental, matched_records, matches_per_file
 from papyra.streaming.refresh import current, refresh
 from papyra.suite.enrichment import AFFILIATION_SQL, COUNTRIES
@@ -49,6 +54,42 @@ def csv_tolerant(spark, sf_dir):
     return back.select("p_partkey", "p_size", F.col(CORRUPT).isNotNull().alias("corrupt"))
 
 
+def stored_metadata(spark: SparkSession, sf_dir: str) -> str:
+    """Documents as a metadata file: quotes, commas and line breaks in its cells."""
+    given = {
+        "sha": F.concat_ws("; ", F.col("doc_id").cast("string"), F.concat(F.lit("x"), F.col("doc_id").cast("string"))),
+        "publish_time": F.concat(F.lit("2021-0"), (F.length("lang") % 9 + 1).cast("string"), F.lit("-01")),
+        "title": F.concat(F.lit('a "title", of '), F.col("source")),
+        "abstract": F.col("text"),
+        "journal": F.when(F.col("lang") != "de", F.col("lang")),
+    }
+    docs = table(spark, sf_dir, "documents")
+    path = scratch_dir(spark, "metadata")
+    write_csv(docs.select(*[given.get(c, F.lit(c)).alias(c) for c in METADATA_COLUMNS]), path)
+    return path
+
+
+def csv_two_columns(spark, sf_dir):
+    return read_metadata(spark, stored_metadata(spark, sf_dir), columns=["sha", "publish_time"])
+
+
+def csv_all_strings(spark, sf_dir):
+    """A number stays the text it is; every column comes back, in order."""
+    meta = read_metadata(spark, stored_metadata(spark, sf_dir))
+    return meta.select("sha", "title", F.md5("abstract").alias("digest"), "journal", "s2_id", F.lit(len(meta.columns)).alias("width"))
+
+
+def csv_ranks_of_ids(spark, sf_dir):
+    """A rank list and an id list, read by their own schemas and joined."""
+    parts = table(spark, sf_dir, "part")
+    ranks, ids = scratch_dir(spark, "ranks"), scratch_dir(spark, "ids")
+    write_csv(parts.select(F.col("p_partkey").cast("string").alias("ISSN"), F.col("p_name").alias("Full Journal Title"),
+                           F.col("p_size").cast("string").alias("Rank"), F.col("p_brand").alias("Journal Impact Factor")), ranks)
+    write_csv(table(spark, sf_dir, "lineitem").select(F.col("l_partkey").cast("string").alias("sha")).distinct(), ids)
+    return read_ranks(spark, ranks).join(read_ids(spark, ids), F.col("ISSN") == F.col("sha"), "left_semi").select(
+        "ISSN", F.col("Full Journal Title").alias("title"), F.col("Rank").alias("rank"), F.col("Journal Impact Factor").alias("impact"))
+
+
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as bibliographic records; sign-ups have no serial number."""
     return table(spark, sf_dir, "events").select(
@@ -98,6 +139,48 @@ def nested_json_affiliation(spark, sf_dir):
     return affiliated_ids(stored_articles(spark, sf_dir), COUNTRIES)
 
 
+#: Documents in one stored file.
+PER_FILE = 64
+
+
+def stored_files(spark: SparkSession, sf_dir: str) -> str:
+    """Articles in files of several, spread over many lines; Spanish files are cut short."""
+    made = articles(documents(spark, sf_dir), keep=("doc_id", "lang"))
+    text = F.to_json(F.struct("paper_id", "metadata", "abstract", "body_text"), {"pretty": "true"})
+    files = made.groupBy("lang", F.floor(F.col("doc_id") / PER_FILE).alias("file")).agg(F.concat_ws(",\n", F.collect_list(text)).alias("objects"))
+    whole = F.concat(F.lit("[\n"), "objects", F.lit("\n]\n"))
+    cut = F.substring(whole, F.lit(1), F.length(whole) - F.lit(20))
+    path = scratch_dir(spark, "files")
+    rows = files.select("lang", F.when(F.col("lang") == "es", cut).otherwise(whole).alias("value"))
+    rows.write.partitionBy("lang").option("maxRecordsPerFile", 1).option("lineSep", "\n").text(path)
+    return path
+
+
+def articles_of_files(spark, sf_dir):
+    """Whole files of the default layout, at any depth; malformed files are left out."""
+    return flatten_articles(whole_records(read_articles(spark, stored_files(spark, sf_dir))))
+
+
+def affiliation_of_files(spark, sf_dir):
+    return affiliated_ids(whole_records(read_articles(spark, stored_files(spark, sf_dir))), COUNTRIES)
+
+
+def malformed_files(spark, sf_dir):
+    """Malformed files counted by folder, the others by document."""
+    audit = file_audit(read_articles(spark, stored_files(spark, sf_dir)))
+    lang = F.regexp_extract("file", "lang=([^/]*)/", 1).alias("lang")
+    return audit.groupBy(lang).agg(F.sum("good").alias("good"), F.sum("corrupt").alias("corrupt"))
+
+
+def id_listing(spark, sf_dir):
+    """Ids from names alone: one folder, named like a document, per supplier."""
+    path = scratch_dir(spark, "named")
+    name = F.concat(F.col("s_suppkey").cast("string"), F.lit(".json"))
+    write_jsonl(table(spark, sf_dir, "supplier").select(name.alias("name"), "s_nationkey"), path, by=["name"])
+    folder = F.regexp_replace("file", "/[^/]*$", "")
+    return list_documents(spark, path).select(F.regexp_replace(file_stem(folder), "^name=", "").alias("sha")).distinct()
+
+
 def doc_listing(spark, sf_dir):
     """Folders named by source, listed back to ids from the paths alone."""
     path = scratch_dir(spark, "listing")
@@ -106,7 +189,7 @@ def doc_listing(spark, sf_dir):
 
 
 def year_archive(spark, sf_dir):
-    """Line items of the listed orders, stored by year; one year read back."""
+    """Line items of the listed orders, stored by year and read back."""
     by_year = document_ids_by_year(spark, sf_dir)
     docs = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("sha"), "l_partkey", "l_linenumber"
@@ -114,7 +197,7 @@ def year_archive(spark, sf_dir):
     path = scratch_dir(spark, "years")
     # Order and customer ids share the id column, so an id may have two years.
     write_by_year(docs, by_year, path)
-    return read_parquet(spark, path).where("year >= 2000").select("year", "sha", "l_partkey", "l_linenumber")
+    return read_parquet(spark, path).select("year", "sha", "l_partkey", "l_linenumber")
 
 
 def table_roundtrip(spark, sf_dir):
@@ -213,6 +296,20 @@ SUITE = {
         """SELECT p_partkey, CASE WHEN p_type <> 'ECONOMY' THEN p_size END AS p_size, p_type = 'ECONOMY' AS corrupt
            FROM part""",
     ),
+    "csv_two_columns": (
+        csv_two_columns,
+        """SELECT doc_id || '; x' || doc_id AS sha, '2021-0' || (length(lang) % 9 + 1) || '-01' AS publish_time FROM documents""",
+    ),
+    "csv_all_strings": (
+        csv_all_strings,
+        f"""SELECT doc_id || '; x' || doc_id AS sha, 'a "title", of ' || source AS title, md5(text) AS digest,
+                   CASE WHEN lang <> 'de' THEN lang END AS journal, 's2_id' AS s2_id, {len(METADATA_COLUMNS)}::INT AS width FROM documents""",
+    ),
+    "csv_ranks_of_ids": (
+        csv_ranks_of_ids,
+        """SELECT p_partkey::VARCHAR AS "ISSN", p_name AS title, p_size::VARCHAR AS rank, p_brand AS impact
+           FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem)""",
+    ),
     "jsonl_gz_roundtrip": (
         jsonl_gz_roundtrip,
         f"""SELECT "DOI", "ISSN", count(*) AS n FROM (SELECT "DOI", unnest("ISSN") AS "ISSN" FROM ({RECORDS_SQL}))
@@ -225,11 +322,23 @@ SUITE = {
     ),
     "nested_json_scan": (nested_json_scan, FLAT_SQL),
     "nested_json_affiliation": (nested_json_affiliation, AFFILIATION_SQL),
+    "articles_of_files": (articles_of_files, f"{FLAT_SQL} WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE lang = 'es')"),
+    "affiliation_of_files": (
+        affiliation_of_files,
+        f"SELECT * FROM ({AFFILIATION_SQL}) WHERE sha NOT IN (SELECT doc_id::VARCHAR FROM documents WHERE lang = 'es')",
+    ),
+    "malformed_files": (
+        malformed_files,
+        f"""SELECT lang, CASE WHEN lang <> 'es' THEN count(*) ELSE 0 END::BIGINT AS good,
+                   CASE WHEN lang = 'es' THEN count(DISTINCT doc_id // {PER_FILE}) ELSE 0 END::BIGINT AS corrupt
+            FROM documents GROUP BY lang""",
+    ),
+    "id_listing": (id_listing, "SELECT DISTINCT s_suppkey::VARCHAR AS sha FROM supplier"),
     "doc_listing": (doc_listing, "SELECT DISTINCT source FROM documents"),
     "year_archive": (
         year_archive,
         f"""SELECT year, sha, l_partkey, l_linenumber FROM ({BY_YEAR_SQL})
-            JOIN lineitem ON l_orderkey::VARCHAR = sha WHERE year >= 2000""",
+            JOIN lineitem ON l_orderkey::VARCHAR = sha""",
     ),
     "table_roundtrip": (table_roundtrip, "SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders"),
     "incremental_append": (
