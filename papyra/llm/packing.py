@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -21,51 +24,99 @@ GROUP_PIECES = 8_000
 ROUNDS = 4
 CACHED_WORDS = 300_000
 CACHED_LENGTH = 64
+#: Runs of letters in one call of the tokenizer, and bytes of text in one of ours.
+RUNS = 256
+PART_BYTES = 1 << 20
 #: Marks that may close a word; none begins a contraction.
 MARKS = ".,;:!?()[]{}|&#$%*+=/\\\"-_"
 
 
-class WordIds(dict):
-    """Token ids of words as little-endian 32-bit bytes, remembered.
+class WordIds:
+    """Token ids of texts as little-endian 32-bit bytes; what words give is remembered.
 
-    The tokenizer never joins text across a space or line end, so a text's ids
-    are its words' ids in a row; nor across the end of a run of letters, so a
-    word's closing marks are looked up on their own. The memory is bounded: long
-    words are never kept, and once it is full, new words stay for their batch.
+    A tokenizer that marks word ends never joins text across a space or line
+    end, so a text's ids are its words' ids in a row; nor across the end of a
+    run of letters, so a word's closing marks are looked up on their own. New
+    runs of letters are handed over many at a time, and told apart by the ids
+    that end a word. The memory is bounded: long words are never kept, and once
+    it is full, new words stay for their batch. Any other tokenizer gets whole
+    texts.
     """
 
     def __init__(self, model: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(model)
-        self.passing: dict[str, bytes] = {}
-
-    def __missing__(self, word: str) -> bytes:
-        made = self.passing.get(word)
-        return made if made is not None else np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def learn(self, words: set[str]) -> None:
-        """Remember words, asking the tokenizer once for all their new parts."""
-        split = {}
+        self.known: dict[str, bytes] = {}
+        suffix = json.loads(model)["model"].get("end_of_word_suffix")
+        self.by_word = bool(suffix)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.closes[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+
+    def plain(self, parts: list[str]) -> list[bytes]:
+        return [np.array(made.ids, "<u4").tobytes() for made in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+
+    def letter_runs(self, runs: list[str]) -> list[bytes]:
+        """Ids of runs of letters, which are one word each to the tokenizer."""
+        found: list[bytes] = []
+        chunks = [runs[low : low + RUNS] for low in range(0, len(runs), RUNS)]
+        for chunk, made in zip(chunks, self.tokenizer.encode_batch_fast([" ".join(c) for c in chunks], add_special_tokens=False)):
+            ids = np.array(made.ids, "<u4")
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != len(chunk):  # some letter does not stay in its word
+                found += self.plain(chunk)
+                continue
+            raw, places = ids.tobytes(), [0, *(4 * ends).tolist()]
+            found += [raw[i:j] for i, j in zip(places, places[1:])]
+        return found
+
+    def learn(self, words: set[str]) -> dict[str, bytes]:
+        """Remember new words; returns those that there is no room for."""
+        known, passing, split, runs, others = self.known, {}, {}, set(), set()
         for word in words:
-            if len(word) <= CACHED_LENGTH and word not in self:
-                bare = word.rstrip(MARKS)
-                if bare.isalpha():
-                    split[word] = bare.lower() if bare.isascii() else bare, word[len(bare) :]
-                else:
-                    split[word] = word, ""
-        parts = [p for p in {p for pair in split.values() for p in pair} if p not in self]
-        self.passing = {}
-        kept = self if len(self) < CACHED_WORDS else self.passing
-        for part, made in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)):
-            kept[part] = np.array(made.ids, "<u4").tobytes()
+            bare = word.rstrip(MARKS)
+            if len(word) <= CACHED_LENGTH and bare.isalpha():
+                marks = word[len(bare) :]
+                if bare.isascii():
+                    bare = bare.lower()
+                split[word] = bare, marks
+                if bare not in known:
+                    runs.add(bare)
+                if marks and marks not in known:
+                    others.add(marks)
+            else:
+                others.add(word)
+        kept = known if len(known) < CACHED_WORDS else passing
+        made = {**dict(zip(runs, self.letter_runs(list(runs)))), **dict(zip(others, self.plain(list(others))))}
+        for part, ids in made.items():
+            (kept if len(part) <= CACHED_LENGTH else passing)[part] = ids
+        find = lambda w: known[w] if w in known else made[w]
         for word, (bare, marks) in split.items():
-            kept[word] = self[bare] + self[marks]
+            kept[word] = find(bare) + (find(marks) if marks else b"")
+        return passing
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.by_word:
+            return self.plain(texts)
         words = [text.replace("\n", " ").split(" ") for text in texts]
-        self.learn(set().union(*words))
-        return [b"".join(map(self.__getitem__, w)) for w in words]
+        unseen = set().union(*words).difference(self.known)
+        passing = self.learn(unseen) if unseen else {}
+        if not passing:
+            return [b"".join(map(self.known.__getitem__, w)) for w in words]
+        known = self.known.get
+        return [b"".join([ids if (ids := known(x)) is not None else passing[x] for x in w]) for w in words]
+
+
+def in_parts(texts: pa.Array) -> Iterator[pa.Array]:
+    """A column in slices of bounded bytes, one text at least."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    low = 0
+    while low < len(texts):
+        before = sizes[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(sizes, before + PART_BYTES, side="right")))
+        yield texts.slice(low, high - low)
+        low = high
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -73,6 +124,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
 
     The tokenizer's file is read on the driver and broadcast; its size does
     not depend on the corpus. A null text is empty and holds ``end_id`` only.
+    Tokenizers that do not mark word ends get whole texts, which is slower.
     """
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as file:
@@ -84,7 +136,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
         for batch in batches:
             rows, number, starts, lengths, sums = [], [], [], [], []
             texts = batch.column("text")
-            made = (ids for low in range(0, len(texts), 32) for ids in memory.encode([t or "" for t in texts.slice(low, 32).to_pylist()]))
+            made = (ids for part in in_parts(texts) for ids in memory.encode([t or "" for t in part.to_pylist()]))
             for i, ids in enumerate(made):
                 ids += end
                 for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
@@ -201,7 +253,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
     Best-fit decreasing packs each part. A part whose bin count equals its
     lower bound is certified. The others release their bins with gaps, and
     every part its emptiest one; the released pieces are dealt to new parts
-    and packed again, until that saves no bin.
+    and packed again, until that saves no bin or ``rounds`` rounds are done.
     """
     rows = stored(pieces(docs, tokenizer_path, capacity, end_id), "pieces")
     columns = rows.columns

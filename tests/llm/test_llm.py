@@ -108,6 +108,22 @@ def test_packing(spark, docs, none):
 def test_word_memory_equals_the_tokenizer():
     memory = packing.WordIds(open(TOKENIZER, encoding="utf-8").read())
     texts = ["Idiot's don't <|endoftext|> x", "İSTANBUL ΟΔΟΣ. ΟΔΟΣ", "é́ é,  x\x1cz\x85w", "a.b,c... 12,34%½", "中文 字,。 it'll_we've!", "\t\n\r\n x  y"]
+    texts += ["ÀÉ İİ ŉ ǅ ﬁne ßẞ straße ªº ʰ ต ไทย नमस्ते हिन्दी", " ".join(f"Wort{chr(97 + i % 26)}{chr(97 + i // 26)}," for i in range(600)), "l" * 300 + " x"]
+    want = [np.array(memory.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert memory.encode(texts) == want and memory.encode(texts) == want
+
+
+def test_word_memory_when_full(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_WORDS", 3)
+    memory = packing.WordIds(open(TOKENIZER, encoding="utf-8").read())
+    for texts in (["a few words, to fill it"], ["other words. to find", "few, (rare) words!"], [""]):
+        assert memory.encode(texts) == [np.array(memory.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert len(memory.known) < 20
+
+
+def test_other_tokenizers_get_whole_texts():
+    memory = packing.WordIds(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read())
+    texts = ["Two words,  and\nmore", "", "İ ΟΔΟΣ"]
     assert memory.encode(texts) == [np.array(memory.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
 
 
