@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from papyra.llm.common import arrow_map, free_name, remembered, with_columns
+from papyra.llm.common import arrow_map, free_name, record_batch, remembered, with_columns
 
 WORD = re.compile(r"\w+")
 SHINGLE = 5
@@ -24,6 +24,8 @@ K1, B = 1.2, 0.75
 BLOCK = 4
 #: Bytes of test text that one index may hold; more items make further indexes.
 INDEX_BYTES = 8_000_000
+#: Documents in which the words of items are counted, to tell rare from common.
+SAMPLE_ROWS = 1_000
 CACHED_WORDS = 300_000
 
 
@@ -74,7 +76,8 @@ class Index:
     the check of the overlap.
 
     An item's gates are sets of its words, apart from each other, that each
-    weigh more than a passage may lack.
+    weigh more than a passage may lack. They are made from the rarest words on,
+    by the document counts ``seldom``.
     """
 
     items: list[Item]
@@ -85,9 +88,9 @@ class Index:
     gates: list[list[frozenset[str]]] = field(default_factory=list)
 
     @staticmethod
-    def build(rows: list[tuple[int, str]], overlap: float) -> Index:
+    def build(rows: list[tuple[int, str]], overlap: float, seldom: dict[str, int] | None = None) -> Index:
         items = [Item(i, w) for i, text in rows if (w := WORD.findall((text or "").lower()))]
-        index = Index(items)
+        index, seldom = Index(items), seldom or {}
         if not items:
             return index
         index.longest = max(max(len(x.words) for x in items), max(len((text or "").split()) for _, text in rows))
@@ -102,10 +105,10 @@ class Index:
             spared = math.floor((1 - overlap) * len(item.question | item.answer) + 1e-9)
             least = sum(sorted(parts.values())[: max(len(parts) - spared, 1)])
             # A passage that lacks all of a gate lacks more than can be spared.
-            # Long words come first: they are rare, so few passages go on.
+            # Rare words come first, so that few passages go on.
             needed = sum(sorted(parts.values())[max(len(parts) - spared, 1) :]) * (1 + 1e-9)
             gates, gate, at_stake = [], set(), 0.0
-            for word in sorted(parts, key=lambda w: (-len(w), w)):
+            for word in sorted(parts, key=lambda w: (seldom.get(w, 0), -len(w), w)):
                 gate.add(word)
                 at_stake += parts[word]
                 if at_stake > needed:
@@ -124,8 +127,8 @@ class Index:
 
     def reachable(self, words: set[str]) -> bool:
         """Whether some item has a word of each of its gates in ``words``."""
-        for word in words:
-            for place in self.essential.get(word, ()):
+        for word in words & self.essential.keys():
+            for place in self.essential[word]:
                 if not any(words.isdisjoint(gate) for gate in self.gates[place]):
                     return True
         return False
@@ -213,9 +216,13 @@ def leaks(text: str, index: Index, bounds: Bounds, overlap: float) -> dict[int,
     The text is read in passages that overlap by the longest item, so every
     item that a text holds lies whole in one of them. A passage whose words
     cannot reach the threshold together, or that misses a gate of every item,
-    has no pivot and is passed over.
+    has no pivot and is passed over; so is, before that, a whole text that
+    misses a gate of every item.
     """
-    raw = text.lower().split()
+    text = text.lower()
+    if not index.reachable(set(WORD.findall(text))):
+        return {}
+    raw = text.split()
     parts = np.fromiter(map(bounds.__getitem__, raw), float, len(raw))
     essential = parts < 0
     if not essential.any():
@@ -239,7 +246,28 @@ def leaks(text: str, index: Index, bounds: Bounds, overlap: float) -> dict[int,
     return found
 
 
-def indexes(benchmark: DataFrame, overlap: float, index_bytes: int = INDEX_BYTES):
+def frequencies(docs: DataFrame, items: list[tuple[int, str]]) -> dict[str, int]:
+    """Some documents that hold each word of the items: which words to ask for first.
+
+    Counted in ``SAMPLE_ROWS`` documents at most. Any numbers give the same
+    results; good ones let more passages be passed over.
+    """
+    wanted = docs.sparkSession.sparkContext.broadcast({w for _, text in items for w in WORD.findall((text or "").lower())})
+
+    def run(batches):
+        seen = Counter()
+        for batch in batches:
+            for text in batch.column("text"):
+                seen.update(wanted.value.intersection(WORD.findall((text.as_py() or "").lower())))
+        yield record_batch(word=pa.array(list(seen), pa.string()), n=pa.array(list(seen.values()), pa.int64()))
+
+    rows = arrow_map(docs.select(F.col("text").cast("string").alias("text")).limit(SAMPLE_ROWS), run, "word string, n long")
+    found = {r.word: r.n for r in rows.groupBy("word").agg(F.sum("n").alias("n")).collect()}
+    wanted.unpersist()
+    return found
+
+
+def indexes(docs: DataFrame, benchmark: DataFrame, overlap: float, index_bytes: int = INDEX_BYTES):
     """Indexes over all items, each of a bounded size, made one at a time."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -247,7 +275,8 @@ def indexes(benchmark: DataFrame, overlap: float, index_bytes: int = INDEX_BYTES
     shard = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(shards, 1)))
     for k in range(max(shards, 1)):
         part = rows.filter(shard == k) if shards > 1 else rows
-        yield Index.build(sorted(((r[0], r[1]) for r in part.toLocalIterator()), key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")), overlap)
+        items = sorted(((r[0], r[1]) for r in part.toLocalIterator()), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+        yield Index.build(items, overlap, frequencies(docs, items))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, overlap: float = OVERLAP, index_bytes: int = INDEX_BYTES) -> DataFrame:
@@ -265,7 +294,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, overlap: float = OVERLAP
     """
     columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     result = None
-    for index in indexes(benchmark, overlap, index_bytes):
+    for index in indexes(docs, benchmark, overlap, index_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches, shared=shared):
@@ -288,7 +317,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, overlap: float = OVERLAP
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, overlap: float = OVERLAP, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """``docs`` without those that hold a test item; columns unchanged."""
-    for index in indexes(benchmark, overlap, index_bytes):
+    for index in indexes(docs, benchmark, overlap, index_bytes):
         read, flag = free_name(docs.columns, "_text"), free_name(docs.columns, "_leak")
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
