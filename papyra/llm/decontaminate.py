@@ -255,14 +255,13 @@ def frequencies(docs: DataFrame, items: list[tuple[int, str]]) -> dict[str, int]
     wanted = docs.sparkSession.sparkContext.broadcast({w for _, text in items for w in WORD.findall((text or "").lower())})
 
     def run(batches):
-        seen = Counter()
         for batch in batches:
-            for text in batch.column("text"):
-                seen.update(wanted.value.intersection(WORD.findall((text.as_py() or "").lower())))
-        yield record_batch(word=pa.array(list(seen), pa.string()), n=pa.array(list(seen.values()), pa.int64()))
+            held = [list(wanted.value.intersection(WORD.findall((text.as_py() or "").lower()))) for text in batch.column("text")]
+            yield record_batch(words=pa.array(held, pa.list_(pa.string())))
 
-    rows = arrow_map(docs.select(F.col("text").cast("string").alias("text")).limit(SAMPLE_ROWS), run, "word string, n long")
-    found = {r.word: r.n for r in rows.groupBy("word").agg(F.sum("n").alias("n")).collect()}
+    rows = arrow_map(docs.select(F.col("text").cast("string").alias("text")), run, "words array<string>")
+    # Spark reads partitions one after the other until it has the rows asked for.
+    found = Counter(w for row in rows.limit(SAMPLE_ROWS).collect() for w in row.words)
     wanted.unpersist()
     return found
 
