@@ -25,6 +25,9 @@ ALPHA = 1.2
 BEAM = 24
 AUDIT_ROWS = 256
 RECALL = 0.98
+FLOOR = 0.9
+#: Sampled nodes that must have lost links before low recall is an error.
+EVIDENCE = 8
 #: Single precision may differ from double by this much.
 SLACK = 1e-4
 PAIRS = 1 << 17
@@ -291,15 +294,13 @@ def spanning(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def search(threshold: float):
-    """Links of one pair of tiles of a cell: per node their number, and edges that span them."""
+    """Links of one pair of tiles of a cell, as edges that span them."""
 
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("node")
-        nodes, copies = rows.column("node").to_numpy(), rows.column("n").to_numpy()
+        nodes = rows.column("node").to_numpy()
         exact = matrix(rows.column("vec"))
         v = exact.astype(np.float32)
-        tile, cell = rows.column("tile").to_numpy(), rows.column("cell")[0].as_py()
-        lo, hi = rows.column("lo")[0].as_py(), rows.column("hi")[0].as_py()
         m = len(nodes)
         own = rows.column("neighbours").to_pylist()
         sizes = np.array([len(x) for x in own])
@@ -317,60 +318,96 @@ def search(threshold: float):
         linked = np.zeros((m, m), bool)
         linked[i, j] = linked[j, i] = True
         a, b = spanning(linked)
-        # A pair counts in one place: its tiles' own unit of the first cell that holds both.
-        counts = (np.minimum(tile[i], tile[j]) == lo) & (np.maximum(tile[i], tile[j]) == hi)
-        i, j = i[counts], j[counts]
-        cells = rows.column("cells").to_pylist()
-        width = max(len(c) for c in cells)
-        none = np.iinfo(np.int64).max
-        held = np.full((m, width), none, np.int64)
-        for k, c in enumerate(cells):
-            held[k, : len(c)] = c
-        first = np.full(i.size, none, np.int64)
-        for s in range(0, i.size, PAIRS):
-            x, y = held[i[s : s + PAIRS]], held[j[s : s + PAIRS]]
-            common = (x[:, :, None] == y[:, None, :]).any(axis=2)
-            first[s : s + PAIRS] = np.where(common, x, none).min(axis=1)
-        i, j = i[first == cell], j[first == cell]
-        links = np.bincount(i, copies[j], m) + np.bincount(j, copies[i], m)
-        some = np.flatnonzero(links)
-        return pa.table({"a": pa.array(np.concatenate((nodes[a], nodes[some]))),
-                         "b": pa.array([*nodes[b].tolist(), *[None] * some.size], pa.int64()),
-                         "links": pa.array([*[None] * a.size, *links[some].astype(np.int64).tolist()], pa.int64())})
+        return pa.table({"a": pa.array(nodes[a]), "b": pa.array(nodes[b])})
 
     return run
 
 
-def found_links(nodes: DataFrame, threshold: float, cap: int, probes: int) -> DataFrame:
-    """``(a, b, null)`` spanning edges and ``(a, null, links)`` counts of links."""
+def in_tiles(shards: DataFrame) -> DataFrame:
+    """Each row of ``shards`` once for every pair ``(lo, hi)`` of tiles that its tile is in."""
+    rows = shards.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+    return rows.withColumns({"lo": F.least("tile", "other"), "hi": F.greatest("tile", "other")}).drop("other", "tiles")
+
+
+def found_links(nodes: DataFrame, threshold: float, cap: int, probes: int) -> tuple[DataFrame, DataFrame]:
+    """``(a, b)`` edges that span the links found, and the shards they were found in."""
     ship(nodes.sparkSession)
     cells = stored(overlapping_cells(nodes.select("space", "node", "vec"), cap, probes), "overlapping")
     sizes = cells.groupBy("cell").agg(F.count("*").alias("size"))
     tiles = F.ceil(F.col("size") / cap)
     tiled = cells.join(sizes, "cell").withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")))
-    tiled = stored(tiled.select("cell", "tile", "tiles", "node", "vec"), "shards")
-    built = tiled.select("cell", "tile", "node", "vec").groupBy("cell", "tile").applyInArrow(
+    shards = stored(tiled.select("cell", "tile", "tiles", "node", "vec"), "shards")
+    built = shards.select("cell", "tile", "node", "vec").groupBy("cell", "tile").applyInArrow(
         build, "cell long, tile long, node long, neighbours array<long>, medoid boolean")
     built = stored(built, "lists")
-    united = built.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("neighbours"))).alias("neighbours"), F.sort_array(F.collect_set("cell")).alias("cells"))
+    united = built.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("neighbours"))).alias("neighbours"))
     starts = built.filter("medoid").select("cell", "tile", "node", "medoid")
-    rows = (
-        tiled.join(united, "node")
-        .join(nodes.select("node", "n"), "node")
-        .join(starts, ["cell", "tile", "node"], "left")
-        .withColumn("medoid", F.coalesce("medoid", F.lit(False)))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
-        .withColumns({"lo": F.least("tile", "other"), "hi": F.greatest("tile", "other")})
-        .drop("other", "tiles")
-    )
-    return stored(rows.groupBy("cell", "lo", "hi").applyInArrow(search(threshold), "a long, b long, links long"), "links")
-
-
-def audit(nodes: DataFrame, counts: DataFrame, threshold: float, rows: int = AUDIT_ROWS) -> float:
-    """Share of the links of ``rows`` sampled nodes that were found, against brute force."""
-    queries = nodes.orderBy(F.xxhash64("node", F.lit("audit")), "node").limit(rows).select("space", "node", "vec").toArrow()
-    if not len(queries):
-        return 1.0
+    rows = in_tiles(shards.join(united, "node").join(starts, ["cell", "tile", "node"], "left").withColumn("medoid", F.coalesce("medoid", F.lit(False))))
+    return stored(rows.groupBy("cell", "lo", "hi").applyInArrow(search(threshold), "a long, b long"), "links"), shards
+
+
+def counted(threshold: float):
+    """``(node, links)`` of one pair of tiles of a cell: rows linked within one component.
+
+    A pair held by several cells counts in the first of them.
+    """
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("root", "ascending"), ("node", "ascending")])
+        cell, lo, hi = (rows.column(c)[0].as_py() for c in ("cell", "lo", "hi"))
+        exact = matrix(rows.column("vec"))
+        v = exact.astype(np.float32)
+        m, copies, tile, root = len(v), *(rows.column(c).to_numpy() for c in ("n", "tile", "root"))
+        cells = rows.column("cells").to_pylist()
+        none = np.iinfo(np.int64).max
+        held = np.full((m, max(len(c) for c in cells)), none, np.int64)
+        for k, c in enumerate(cells):
+            held[k, : len(c)] = c
+        links = np.zeros(m)
+        starts = np.flatnonzero(np.concatenate(([True], root[1:] != root[:-1])))
+        for low, high in zip(starts, np.append(starts[1:], m)):
+            group = np.arange(low, high)
+            left, right = group[tile[group] == lo], group[tile[group] == hi]
+            for at in range(0, left.size, 128):
+                part = left[at : at + 128]
+                sims = v[part] @ v[right].T
+                i, j = np.nonzero(sims >= threshold - SLACK)
+                near = sims[i, j]
+                i, j = part[i], right[j]
+                if lo == hi:
+                    near, i, j = near[i < j], i[i < j], j[i < j]
+                close = np.flatnonzero(near < threshold + SLACK)
+                sure = np.ones(i.size, bool)
+                sure[close] = np.einsum("pd,pd->p", exact[i[close]], exact[j[close]]) >= threshold
+                i, j = i[sure], j[sure]
+                x, y = held[i], held[j]
+                first = np.full(i.size, none)
+                for k in range(y.shape[1]):
+                    common = (x == y[:, k : k + 1]).any(axis=1)
+                    first = np.minimum(first, np.where(common, y[:, k], none))
+                i, j = i[first == cell], j[first == cell]
+                links += np.bincount(i, copies[j], m) + np.bincount(j, copies[i], m)
+        some = np.flatnonzero(links)
+        return pa.table({"node": rows.column("node").take(pa.array(some)), "links": pa.array(links[some].astype(np.int64))})
+
+    return run
+
+
+def link_counts(nodes: DataFrame, shards: DataFrame, rooted: DataFrame, threshold: float) -> DataFrame:
+    """``(node, links)``: rows of other nodes linked with each node.
+
+    Every pair of a component that some cell holds is verified, so a link counts
+    whichever cell's search met it.
+    """
+    homes = shards.groupBy("node").agg(F.sort_array(F.collect_set("cell")).alias("cells"))
+    known = stored(nodes.select("node", "n").join(rooted, "node").join(homes, "node"), "known")
+    rows = in_tiles(shards.join(known, "node"))
+    parts = rows.groupBy("cell", "lo", "hi").applyInArrow(counted(threshold), "node long, links long")
+    return stored(parts.groupBy("node").agg(F.sum("links").alias("links")), "counts")
+
+
+def true_links(nodes: DataFrame, queries: pa.Table, threshold: float) -> dict[int, int]:
+    """Links of the ``queries (space, node, vec)`` by brute force over all nodes."""
     spaces, ids = queries.column("space").to_numpy(), queries.column("node").to_numpy()
     shared = nodes.sparkSession.sparkContext.broadcast({int(s): (ids[spaces == s], matrix(queries.filter(pa.array(spaces == s)).column("vec"))) for s in set(spaces)})
 
@@ -388,13 +425,48 @@ def audit(nodes: DataFrame, counts: DataFrame, threshold: float, rows: int = AUD
                         found[q] = found.get(q, 0) + total
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], names=["node", "true"])
 
-    true = arrow_map(nodes.select("space", "node", "vec", "n"), run, "node long, true long").groupBy("node").agg(F.sum("true").alias("true"))
-    both = true.join(counts, "node", "left").agg(F.sum("true"), F.sum(F.coalesce("links", F.lit(0)))).first()
-    return both[1] / both[0] if both[0] else 1.0
+    rows = arrow_map(nodes.select("space", "node", "vec", "n"), run, "node long, true long").groupBy("node").agg(F.sum("true").alias("true")).collect()
+    shared.unpersist()
+    return {r.node: r.true for r in rows}
+
+
+def audit(nodes: DataFrame, counts: DataFrame, rooted: DataFrame, threshold: float, cap: int, rows: int = AUDIT_ROWS) -> tuple[float, float, int]:
+    """Recall of small and of large components, and the sampled nodes that lost links.
+
+    Recall is the mean, over nodes that have links, of the share of their links
+    that was found. ``rows`` nodes are sampled from components of more than
+    ``cap`` nodes, as many from smaller ones, and four times as many from the
+    nodes without a link; those of them that have links by brute force count as
+    nodes of small components of which nothing was found.
+    """
+    sizes = rooted.groupBy("root").agg(F.count("*").alias("size"))
+    kinds = rooted.join(sizes, "root").select("node", F.when(F.col("size") > cap, "large").otherwise("small").alias("kind"))
+    marked = nodes.select("space", "node", "vec").join(kinds, "node", "left").join(counts, "node", "left").withColumns(
+        {"kind": F.coalesce("kind", F.lit("none")), "links": F.coalesce("links", F.lit(0))})
+    marked = stored(marked, "audited")
+    totals = {r.kind: r["count"] for r in marked.groupBy("kind").count().collect()}
+    wanted = {"large": rows, "small": rows, "none": 4 * rows}
+    drawn = [marked.filter(F.col("kind") == k).orderBy(F.xxhash64("node", F.lit("audit")), "node").limit(wanted[k]).toArrow() for k in totals]
+    if not drawn:
+        return 1.0, 1.0, 0
+    queries = pa.concat_tables(drawn)
+    true = true_links(nodes, queries.select(["space", "node", "vec"]), threshold)
+    shares: dict[str, list[float]] = {k: [] for k in wanted}
+    tried = dict.fromkeys(wanted, 0)
+    for node, kind, links in zip(*(queries.column(c).to_pylist() for c in ("node", "kind", "links"))):
+        tried[kind] += 1
+        if true[node]:
+            shares[kind].append(links / true[node])
+    linked = {k: totals.get(k, 0) * len(shares[k]) / max(tried[k], 1) for k in wanted}
+    mean = {k: sum(shares[k]) / max(len(shares[k]), 1) for k in wanted}
+    few = linked["small"] + linked["none"]
+    small = linked["small"] * mean["small"] / few if few else 1.0
+    large = mean["large"] if shares["large"] else 1.0
+    return small, large, sum(x < 1 for k in wanted for x in shares[k])
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cap: int = CAP, probes: int = PROBES, recall: float = RECALL) -> DataFrame:
-    """``(vec_id, n_links, component_id, kept, audited_recall)`` per row of ``vectors``.
+    """``(vec_id, n_links, component_id, kept, recall_small, recall_large)`` per row of ``vectors``.
 
     Vectors ``(vec_id, embedding, label)`` of one label and dimension link when
     their cosine in double precision is at least ``threshold``. Null labels and
@@ -405,21 +477,26 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cap: int =
     Equal vectors are one node with a count. Nodes lie in overlapping clusters;
     each shard of at most ``cap`` nodes gets robust-pruned adjacency lists, a
     node's lists are united over its shards, and a range-expanding greedy
-    search from the shards' medoids finds the links, which are then verified. A
-    sample is audited against brute force over all nodes; below ``recall`` the
-    clusters overlap more and the search is repeated.
+    search from the shards' medoids finds the links, which are then verified.
+    Within the components they make, every pair that a cluster holds is
+    verified and counted. Samples of small and of large components are audited
+    against brute force over all nodes; below ``recall`` in either the clusters
+    overlap more and the search is repeated, three times at most. Recall below
+    ``FLOOR`` after that, shown by ``EVIDENCE`` sampled nodes, is an error.
     """
     rows = stored(placed(vectors), "vectors")
     nodes = rows.filter("node IS NOT NULL").groupBy("node").agg(
         F.first("space").alias("space"), F.first("vec").alias("vec"), F.count("*").alias("n"), F.min("vec_id").alias("first"))
     nodes = stored(nodes, "nodes")
     for attempt in range(3):
-        found = found_links(nodes, threshold, cap, probes << attempt)
-        counts = stored(found.filter("links IS NOT NULL").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links")), "counts")
-        measured = audit(nodes, counts, threshold)
-        if measured >= recall:
+        edges, shards = found_links(nodes, threshold, cap, probes << attempt)
+        rooted = components(edges)
+        counts = link_counts(nodes, shards, rooted, threshold)
+        small, large, lost = audit(nodes, counts, rooted, threshold, cap)
+        if min(small, large) >= recall:
             break
-    rooted = components(found.filter("b IS NOT NULL").select("a", "b"))
+    if min(small, large) < FLOOR and lost >= EVIDENCE:
+        raise RuntimeError(f"links found of small and of large components: {small:.3f}, {large:.3f}; set more probes")
     own = nodes.join(counts, "node", "left").join(rooted, "node", "left").select(
         "node", "first", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "node").alias("root"))
     own = stored(own, "rooted")
@@ -427,4 +504,5 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cap: int =
     classes = stored(own.join(smallest, "root").select("node", "n_links", "component_id"), "classes")
     linked = rows.filter("node IS NOT NULL").join(classes, "node").select("vec_id", "n_links", "component_id")
     alone = rows.filter("node IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return linked.union(alone).select("*", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"), F.lit(measured).alias("audited_recall"))
+    kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept")
+    return linked.union(alone).select("*", kept, F.lit(small).alias("recall_small"), F.lit(large).alias("recall_large"))

@@ -149,7 +149,7 @@ def test_graph_equals_brute_force(spark):
     degree = Counter(i for e in edges for i in e)
     got = {r.vec_id: r for r in rows}
     assert all(got[i].n_links <= degree[i] for i, *_ in vectors)
-    assert sum(got[i].n_links for i, *_ in vectors) >= 0.9 * sum(degree.values())
+    assert sum(got[i].n_links for i, *_ in vectors) >= 0.98 * sum(degree.values())
     assert all(got[i].n_links == 0 and got[i].component_id == i and got[i].kept for i in (1001, 1002, 1003, 1004, 1005))
     assert got[1000].component_id == got[1].component_id == got[None].component_id and not got[None].kept
 
