@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import zlib
@@ -21,7 +22,6 @@ from papyra.session import ship
 CAPACITY = 4096
 END_ID = 1
 GROUP_PIECES = 8_000
-ROUNDS = 4
 CACHED_WORDS = 300_000
 CACHED_LENGTH = 64
 #: Runs of letters in one call of the tokenizer, and bytes of text in one of ours.
@@ -156,8 +156,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
     return arrow_map(columns, run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def lower_bound(lengths: np.ndarray, capacity: int) -> int:
-    """Fewest bins that any packing needs, from dual feasible functions.
+def lower_bound(count: np.ndarray, capacity: int) -> int:
+    """Fewest bins that any packing of ``count[i]`` pieces of length i needs, from dual feasible functions.
 
     Each function maps lengths to weights of which no bin can hold more than
     one bin's worth, so the total weight bounds the bins from below: the plain
@@ -165,7 +165,6 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     those that count lengths over ``capacity - t`` as whole bins and leave out
     lengths below ``t``.
     """
-    count = np.bincount(lengths, minlength=capacity + 1).astype(np.int64)
     size = np.arange(capacity + 1, dtype=np.int64)
     best = -(-int((count * size).sum()) // capacity)
     for k in range(1, 65):
@@ -228,7 +227,7 @@ def packed(rows: DataFrame, capacity: int, group: int, turn: int) -> DataFrame:
         lengths = pdf["length"].to_numpy()
         bins, offsets = best_fit(lengths, capacity)
         fill = np.bincount(bins, lengths)
-        bound = lower_bound(lengths, capacity)
+        bound = lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
         open_ = fill < capacity
         if fill.size <= bound and open_.any():
             open_ = np.arange(fill.size) == fill.argmin()
@@ -241,7 +240,7 @@ def packed(rows: DataFrame, capacity: int, group: int, turn: int) -> DataFrame:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID,
-         group: int = GROUP_PIECES, rounds: int = ROUNDS) -> DataFrame:
+         group: int = GROUP_PIECES) -> DataFrame:
     """``docs (doc_id, text)`` packed into sequences of at most ``capacity`` tokens.
 
     One row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id,
@@ -253,22 +252,28 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
     Best-fit decreasing packs each part. A part whose bin count equals its
     lower bound is certified. The others release their bins with gaps, and
     every part its emptiest one; the released pieces are dealt to new parts
-    and packed again, until that saves no bin or ``rounds`` rounds are done.
+    and packed again, until a round saves no bin or all parts together reach the
+    bound of the whole table. A round that saves nothing is not used.
     """
     rows = stored(pieces(docs, tokenizer_path, capacity, end_id), "pieces")
     columns = rows.columns
-    done, kept, before = None, None, None
-    for turn in range(rounds):
+    count = np.zeros(capacity + 1, np.int64)
+    for length, n in rows.groupBy("length").count().collect():
+        count[length] = n
+    bound, total = lower_bound(count, capacity), 0
+    kept, before = None, None
+    for turn in itertools.count():
         made = stored(packed(rows.select(*columns), capacity, group, turn), "packed").withColumn("turn", F.lit(turn).cast("long"))
         bins = made.select("part", "part_bins").distinct().agg(F.sum("part_bins")).first()[0] or 0
         if before is not None and bins >= before:
             break
-        done = kept.union(made.filter(~F.col("released"))) if kept is not None else made.filter(~F.col("released"))
-        last = made.filter("released")
+        total += bins - (before or 0)
         whole = kept.union(made) if kept is not None else made
-        kept, rows = done, last
-        before = last.select("part", "bin").distinct().count()
-        if before < 2:
+        closed = made.filter(~F.col("released"))
+        kept = kept.union(closed) if kept is not None else closed
+        rows = made.filter("released")
+        before = rows.select("part", "bin").distinct().count()
+        if before < 2 or total <= bound:
             break
-    sequence = F.shiftleft(F.col("turn"), 58) + F.shiftleft(F.col("part"), 22) + F.col("bin")
+    sequence = F.shiftleft(F.col("turn"), 52) + F.shiftleft(F.col("part"), 22) + F.col("bin")
     return whole.select(*columns, sequence.alias("sequence_id"), "offset", "part_bins", "part_bound")
