@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,6 +82,17 @@ def longs(column: pa.Array) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
 
 
+def in_parts(texts: pa.Array, size: int) -> Iterator[pa.Array]:
+    """A column in slices of at most ``size`` bytes, one text at least."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    low = 0
+    while low < len(texts):
+        before = sizes[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(sizes, before + size, side="right")))
+        yield texts.slice(low, high - low)
+        low = high
+
+
 _HELD: dict[str, object] = {}
 
 

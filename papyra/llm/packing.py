@@ -6,17 +6,15 @@ import itertools
 import json
 import os
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from papyra.llm.common import arrow_map, remembered, stored
+from papyra.llm.common import arrow_map, in_parts, remembered, stored
 from papyra.session import ship
 
 CAPACITY = 4096
@@ -108,17 +106,6 @@ class WordIds:
         return [b"".join([ids if (ids := known(x)) is not None else passing[x] for x in w]) for w in words]
 
 
-def in_parts(texts: pa.Array) -> Iterator[pa.Array]:
-    """A column in slices of bounded bytes, one text at least."""
-    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
-    low = 0
-    while low < len(texts):
-        before = sizes[low - 1] if low else 0
-        high = max(low + 1, int(np.searchsorted(sizes, before + PART_BYTES, side="right")))
-        yield texts.slice(low, high - low)
-        low = high
-
-
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32)`` of every document.
 
@@ -136,7 +123,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
         for batch in batches:
             rows, number, starts, lengths, sums = [], [], [], [], []
             texts = batch.column("text")
-            made = (ids for part in in_parts(texts) for ids in memory.encode([t or "" for t in part.to_pylist()]))
+            made = (ids for part in in_parts(texts, PART_BYTES) for ids in memory.encode([t or "" for t in part.to_pylist()]))
             for i, ids in enumerate(made):
                 ids += end
                 for piece, start in enumerate(range(0, len(ids), 4 * capacity)):

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -11,23 +9,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from papyra.llm.common import arrow_map, free_name, stored, utf8, with_columns
+from papyra.llm.common import arrow_map, free_name, in_parts, longs, record_batch, stored, utf8, with_columns
 
-#: A unit ends at a line end, or where a sentence ends before white space.
-UNIT = re.compile(rb"[^\n]+?(?:[.!?]+(?=\s)|(?=\n)|\Z)")
 MIN_WORDS = 30
 #: Of each so many neighbouring words the one with the least hash begins a window.
 REACH = 10
 SPACES = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+ENDS = np.isin(np.arange(256), list(b".!?"))
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-
-
-def units(text: bytes):
-    """``(start, stop, key)`` of the units, as byte offsets of the text."""
-    for found in UNIT.finditer(text):
-        key = b" ".join(found.group().lower().split())
-        if key:
-            yield found.start(), found.end(), key
+INVERSE = np.uint64(pow(int(MULTIPLIER), -1, 1 << 64))
+#: Bytes of text whose pieces are made together.
+PART_BYTES = 1 << 21
 
 
 def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -37,68 +29,188 @@ def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-def anchors(lower: bytes, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """Words that have the least hash of some ``REACH`` words in a row.
-
-    The choice depends on the words around only, so texts that share a run of
-    words share the anchors inside it.
-    """
-    data = np.frombuffer(lower, np.uint8).astype(np.uint64) + np.uint64(1)
+def word_hashes(lower: bytes, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """One 64-bit hash per word, for a bounded number of bytes at a time."""
+    data = np.frombuffer(lower, np.uint8)
     sizes = stops - starts
-    back = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     powers = np.cumprod(np.full(int(sizes.max()), MULTIPLIER))
-    hashes = np.add.reduceat(data[np.repeat(starts, sizes) + back] * powers[back], np.cumsum(sizes) - sizes)
+    ends, made, low = np.cumsum(sizes), [], 0
+    while low < sizes.size:
+        before = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + PART_BYTES, side="right")))
+        some = sizes[low:high]
+        firsts = np.cumsum(some) - some
+        back = np.arange(some.sum()) - np.repeat(firsts, some)
+        letters = data[np.repeat(starts[low:high], some) + back].astype(np.uint64) + np.uint64(1)
+        made.append(np.add.reduceat(letters * powers[back], firsts))
+        low = high
+    return mixed(np.concatenate(made))
+
+
+def mixed(hashes: np.ndarray) -> np.ndarray:
     hashes = (hashes ^ (hashes >> np.uint64(31))) * MULTIPLIER
-    hashes ^= hashes >> np.uint64(29)
-    windows = np.lib.stride_tricks.sliding_window_view(hashes, REACH)
-    return np.unique(np.arange(len(windows)) + REACH - 1 - windows[:, ::-1].argmin(axis=1))
+    return hashes ^ (hashes >> np.uint64(29))
 
 
-def windows(text: bytes, size: int):
-    """``(word, start, stop, key)`` of the runs of ``size`` words that begin at anchors."""
-    starts, stops = word_places(text)
-    if starts.size < max(size, REACH):
-        return
-    lower = text.lower()
-    words = lower.split()
-    first = anchors(lower, starts, stops)
-    for word in first[first + size <= starts.size].tolist():
-        yield word, int(starts[word]), int(stops[word + size - 1]), b" ".join(words[word : word + size])
+def anchors(hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Words that have the least hash of some ``REACH`` words in a row of one text.
 
+    The choice depends on the words around only, so texts that share a run of
+    words share the anchors inside it.
+    """
+    if hashes.size < REACH:
+        return np.zeros(0, np.int64)
+    rows = np.lib.stride_tricks.sliding_window_view(hashes, REACH)
+    least = np.arange(len(rows)) + REACH - 1 - rows[:, ::-1].argmin(axis=1)
+    return np.unique(least[doc[: len(rows)] == doc[REACH - 1 :]])
 
-def document_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``(doc_id, text_hash, unit, word, start, stop, words, h1, h2)``; offsets in bytes of UTF-8.
 
-    ``word`` is the place of the first word. Rows with a null ``unit`` are windows.
-    """
+class Pieces:
+    """Units and windows of some texts, as arrays with one entry per piece.
 
-    def run(batches):
-        schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("unit", pa.int32()), ("word", pa.int32()), ("start", pa.int32()),
-                            ("stop", pa.int32()), ("words", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64())])
+    ``doc`` numbers the texts, ``unit`` the units of a text (-1: a window),
+    ``word`` is the place of the first word in its text, ``start`` and ``stop``
+    are byte offsets into it. ``hashes`` are 64 bits of the words in a row:
+    equal pieces have equal hashes, and few others do.
+    """
 
-        def row(key, *values):
-            digest = xxhash.xxh3_128_digest(key)
-            return *values, int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)
+    def __init__(self, texts: list[bytes], min_words: int):
+        joined = b"\n".join(texts)  # no unit goes beyond a line end
+        starts, stops = word_places(joined)
+        self.lower = joined.lower()
+        if not starts.size:
+            self.doc = self.unit = self.word = self.words = self.start = self.stop = self.first = np.zeros(0, np.int64)
+            self.hashes = np.zeros(0, np.uint64)
+            return
+        offsets = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+        doc = np.searchsorted(offsets, starts, side="right") - 1
+        hashes = word_hashes(self.lower, starts, stops)
+        unit_first, unit_words, unit_start, unit_stop = self.units(joined, starts, stops)
+        unit_doc = doc[unit_first]
+        first = anchors(hashes, doc)
+        first = first[first + min_words <= starts.size]
+        first = first[doc[first] == doc[first + min_words - 1]]
+        self.first = np.concatenate((unit_first, first))
+        self.words = np.concatenate((unit_words, np.full(first.size, min_words)))
+        self.doc = doc[self.first]
+        self.unit = np.concatenate((np.arange(unit_first.size) - np.searchsorted(unit_doc, unit_doc), np.full(first.size, -1)))
+        self.word = self.first - np.searchsorted(starts, offsets)[self.doc]
+        self.start = np.concatenate((unit_start, starts[first])) - offsets[self.doc]
+        self.stop = np.concatenate((unit_stop, stops[first + min_words - 1])) - offsets[self.doc]
+        # A row of words is a polynomial in MULTIPLIER, cut out of running sums.
+        powers = np.cumprod(np.full(starts.size, MULTIPLIER))
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * powers)))
+        down = np.cumprod(np.full(starts.size, INVERSE))
+        rows = (sums[self.first + self.words] - sums[self.first]) * down[self.first]
+        kind = 2 * self.words + (self.unit < 0)
+        self.hashes = mixed(mixed(rows) + kind.astype(np.uint64))
+
+    @staticmethod
+    def units(joined: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, ...]:
+        """``(first word, words, start, stop)`` of the units.
+
+        A unit ends at a line end, or after a word that ends a sentence; a mark
+        that stands alone at the start of a line ends none. White space before
+        a unit is its own.
+        """
+        data = np.frombuffer(joined, np.uint8)
+        lines = np.flatnonzero(data == 10)
+        bounds = np.concatenate((lines, [len(joined)]))
+        line_end = bounds[np.searchsorted(lines, stops)]
+        line_start = np.concatenate(([0], lines + 1))[np.searchsorted(lines, starts)]
+        closing = ENDS[data[stops - 1]] & ~((stops - starts == 1) & (starts == line_start))
+        last = np.flatnonzero(closing | (np.concatenate((starts[1:], [len(joined) + 1])) > line_end))
+        first = np.concatenate(([0], last[:-1] + 1))
+        stop = np.where(closing[last], stops[last], line_end[last])
+        start = np.maximum(np.concatenate(([0], stop[:-1])), line_start[first])
+        return first, last - first + 1, start, stop
+
+    def digests(self, which: np.ndarray) -> tuple[list[int], list[int]]:
+        """128 bits of the words of some pieces, in two halves."""
+        words, h1, h2 = self.lower.split(), [], []
+        for first, size, unit in zip(self.first[which].tolist(), self.words[which].tolist(), self.unit[which].tolist()):
+            key = b" ".join(words[first : first + size])
+            # A unit's key holds no line end, so the two kinds do not meet.
+            digest = xxhash.xxh3_128_digest(key if unit >= 0 else b"\n" + key)
+            h1.append(int.from_bytes(digest[:8], "big", signed=True))
+            h2.append(int.from_bytes(digest[8:], "big", signed=True))
+        return h1, h2
+
+
+def candidates(docs: DataFrame, min_words: int) -> DataFrame:
+    """``(doc, hashes)``: per document the hashes of its pieces that may repeat.
+
+    A hash travels once per part of the input: pieces that repeat inside a part
+    are known to repeat and are dealt out by document, so no hash, however
+    common, gathers more rows in a task than there are parts. Each part sends
+    one witness of them to where the hash is sought.
+    """
 
+    def made(batches):
         for batch in batches:
-            rows = []
-            for doc_id, text_hash, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "text"))):
-                word = 0
-                for unit, (start, stop, key) in enumerate(units(text)):
-                    words = key.count(b" ") + 1
-                    rows.append(row(key, doc_id, text_hash, unit, word, start, stop, words))
-                    word += words
-                for word, start, stop, key in windows(text, min_words):
-                    # A unit's key holds no line end, so the two kinds do not meet.
-                    rows.append(row(b"\n" + key, doc_id, text_hash, None, word, start, stop, min_words))
-                if len(rows) > 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-                    rows = []
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-
+            names, at = longs(batch.column("doc")), 0
+            for texts in in_parts(batch.column("text"), PART_BYTES):
+                pieces = Pieces(texts.to_pylist(), min_words)
+                doc = names[at : at + len(texts)][pieces.doc]
+                at += len(texts)
+                hashes, back, counts = np.unique(pieces.hashes.view(np.int64), return_inverse=True, return_counts=True)
+                known = counts[back] > 1
+                witness = np.zeros(hashes.size, np.int64)
+                witness[back] = doc
+                yield record_batch(
+                    hash=np.concatenate((hashes, hashes[back][known])),
+                    doc=np.concatenate((witness, doc[known])),
+                    known=np.concatenate((np.zeros(hashes.size, bool), np.ones(int(known.sum()), bool))),
+                )
+
+    def repeated(batches):
+        before = None  # last row so far: hash, document, whether it is out
+        for batch in batches:
+            hashes, doc, known = longs(batch.column("hash")), longs(batch.column("doc")), batch.column("known").to_numpy(zero_copy_only=False)
+            if not hashes.size:
+                continue
+            level = hashes[1:] == hashes[:-1]
+            met = before is not None and before[0] == hashes[0]
+            out = known | np.concatenate(([met], level)) | np.concatenate((level, [False]))
+            if met and not before[2]:
+                yield record_batch(doc=np.array([before[1]]), hash=hashes[:1])
+            yield record_batch(doc=doc[out], hash=hashes[out])
+            before = hashes[-1], doc[-1], bool(out[-1])
+
+    sent = arrow_map(docs.select("doc", "text"), made, "hash long, doc long, known boolean")
+    sought = sent.repartition(F.when(F.col("known"), F.col("doc")).otherwise(F.col("hash"))).sortWithinPartitions("hash")
+    return arrow_map(sought, repeated, "doc long, hash long").groupBy("doc").agg(F.collect_set("hash").alias("hashes"))
+
+
+def repeated_pieces(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``(doc_id, text_hash, unit, word, start, stop, words, h1, h2)`` of pieces that may repeat.
+
+    Every piece that occurs twice is there, and few others. Offsets are in
+    bytes of UTF-8, ``word`` is the place of the first word, and rows with a
+    null ``unit`` are windows. Only hashes travel in the first pass; the second
+    makes the pieces of documents that hold repeats again.
+    """
     columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), utf8(F.col("text")).alias("text"))
-    return arrow_map(columns, run, "doc_id long, text_hash long, unit int, word int, start int, stop int, words int, h1 long, h2 long")
+    columns = columns.withColumn("doc", F.xxhash64("doc_id", "text_hash"))
+
+    def run(batches):
+        for batch in batches:
+            ids, digests, wanted, at = batch.column("doc_id"), batch.column("text_hash"), batch.column("hashes"), 0
+            for texts in in_parts(batch.column("text"), PART_BYTES):
+                pieces = Pieces(texts.to_pylist(), min_words)
+                sought = wanted.slice(at, len(texts)).flatten()
+                which = np.flatnonzero(np.isin(pieces.hashes.view(np.int64), longs(sought)))
+                rows = pa.array(pieces.doc[which] + at)
+                at += len(texts)
+                h1, h2 = pieces.digests(which)
+                unit, ints = pieces.unit[which], lambda a: pa.array(a[which], pa.int32())
+                yield record_batch(
+                    doc_id=ids.take(rows), text_hash=digests.take(rows), unit=pa.array(unit, pa.int32(), mask=unit < 0), word=ints(pieces.word),
+                    start=ints(pieces.start), stop=ints(pieces.stop), words=ints(pieces.words), h1=pa.array(h1, pa.int64()), h2=pa.array(h2, pa.int64()),
+                )
+
+    held = columns.join(candidates(columns, min_words), "doc").select("doc_id", "text_hash", "text", "hashes")
+    return arrow_map(held, run, "doc_id long, text_hash long, unit int, word int, start int, stop int, words int, h1 long, h2 long")
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -121,11 +233,8 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     Rows equal in id and text are one document. A unit or window repeated inside
     one document stays once, at its first place.
     """
-    all_units = stored(document_units(docs, min_words), "units")
+    shared = stored(repeated_pieces(docs, min_words), "shared")
     rank = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash", "word")
-    # Most digests occur once: they leave before anything but digests is grouped.
-    twice = all_units.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    shared = stored(all_units.join(twice, ["h1", "h2"]), "shared")
     keeper = shared.groupBy("h1", "h2").agg(F.min(rank).alias("keeper"))
     # A window that overlaps its keeper, as in a text with a short period, stays.
     beside = (
@@ -183,7 +292,10 @@ def merged_spans(repeats: DataFrame, min_words: int) -> DataFrame:
 
 
 def without_passages(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """``docs`` with the spans cut out of ``text``; offsets are the original ones."""
+    """``docs`` with the spans cut out of ``text``; offsets are the original ones.
+
+    Null text becomes empty text. All rows of one id and text lose the same spans.
+    """
     row, digest, cut_row, cut_digest, cuts, bytes_ = (
         free_name(docs.columns, n) for n in ("_row", "_digest", "_cut_row", "_cut_digest", "_cuts", "_bytes")
     )
