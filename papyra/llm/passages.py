@@ -5,11 +5,12 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from papyra.llm.common import arrow_map, free_name, in_parts, longs, record_batch, stored, utf8, with_columns
+from papyra.llm.common import arrow_map, free_name, in_parts, longs, record_batch, utf8, with_columns
 
 MIN_WORDS = 30
 #: Of each so many neighbouring words the one with the least hash begins a window.
@@ -18,6 +19,9 @@ SPACES = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 ENDS = np.isin(np.arange(256), list(b".!?"))
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(MULTIPLIER), -1, 1 << 64))
+#: Bits of 64 left out of hashes that only preselect, and of the numbers of documents
+#: that they travel with. Chance equality sends more to the exact step, never less.
+SPARE, DOC_SPARE = np.uint64(16), 24
 #: Bytes of text whose pieces are made together.
 PART_BYTES = 1 << 21
 
@@ -70,7 +74,7 @@ class Pieces:
 
     ``doc`` numbers the texts, ``unit`` the units of a text (-1: a window),
     ``word`` is the place of the first word in its text, ``start`` and ``stop``
-    are byte offsets into it. ``hashes`` are 64 bits of the words in a row:
+    are byte offsets into it. ``hashes`` are 48 bits of the words in a row:
     equal pieces have equal hashes, and few others do.
     """
 
@@ -80,7 +84,7 @@ class Pieces:
         self.lower = joined.lower()
         if not starts.size:
             self.doc = self.unit = self.word = self.words = self.start = self.stop = self.first = np.zeros(0, np.int64)
-            self.hashes = np.zeros(0, np.uint64)
+            self.hashes = np.zeros(0, np.int64)
             return
         offsets = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
         doc = np.searchsorted(offsets, starts, side="right") - 1
@@ -103,7 +107,7 @@ class Pieces:
         down = np.cumprod(np.full(starts.size, INVERSE))
         rows = (sums[self.first + self.words] - sums[self.first]) * down[self.first]
         kind = 2 * self.words + (self.unit < 0)
-        self.hashes = mixed(mixed(rows) + kind.astype(np.uint64))
+        self.hashes = (mixed(mixed(rows) + kind.astype(np.uint64)) >> SPARE).view(np.int64)
 
     @staticmethod
     def units(joined: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -125,15 +129,22 @@ class Pieces:
         start = np.maximum(np.concatenate(([0], stop[:-1])), line_start[first])
         return first, last - first + 1, start, stop
 
+    def in_long_runs(self, which: np.ndarray, min_words: int) -> np.ndarray:
+        """Which of some pieces (in order) are windows, or make ``min_words`` words with neighbouring units among them."""
+        doc, unit, words = self.doc[which], self.unit[which], self.words[which]
+        begins = np.concatenate(([True], (doc[1:] != doc[:-1]) | (unit[1:] != unit[:-1] + 1)))[: which.size]
+        run = np.cumsum(begins) - 1
+        return (unit < 0) | (np.bincount(run, words)[run] >= min_words) if which.size else np.zeros(0, bool)
+
     def digests(self, which: np.ndarray) -> tuple[list[int], list[int]]:
-        """128 bits of the words of some pieces, in two halves."""
+        """96 bits of the words of some pieces, as a long and an int."""
         words, h1, h2 = self.lower.split(), [], []
         for first, size, unit in zip(self.first[which].tolist(), self.words[which].tolist(), self.unit[which].tolist()):
             key = b" ".join(words[first : first + size])
             # A unit's key holds no line end, so the two kinds do not meet.
             digest = xxhash.xxh3_128_digest(key if unit >= 0 else b"\n" + key)
             h1.append(int.from_bytes(digest[:8], "big", signed=True))
-            h2.append(int.from_bytes(digest[8:], "big", signed=True))
+            h2.append(int.from_bytes(digest[8:12], "big", signed=True))
         return h1, h2
 
 
@@ -153,14 +164,14 @@ def candidates(docs: DataFrame, min_words: int) -> DataFrame:
                 pieces = Pieces(texts.to_pylist(), min_words)
                 doc = names[at : at + len(texts)][pieces.doc]
                 at += len(texts)
-                hashes, back, counts = np.unique(pieces.hashes.view(np.int64), return_inverse=True, return_counts=True)
+                hashes, back, counts = np.unique(pieces.hashes, return_inverse=True, return_counts=True)
                 known = counts[back] > 1
                 witness = np.zeros(hashes.size, np.int64)
                 witness[back] = doc
                 yield record_batch(
                     hash=np.concatenate((hashes, hashes[back][known])),
-                    doc=np.concatenate((witness, doc[known])),
                     known=np.concatenate((np.zeros(hashes.size, bool), np.ones(int(known.sum()), bool))),
+                    doc=np.concatenate((witness, doc[known])),
                 )
 
     def repeated(batches):
@@ -177,40 +188,65 @@ def candidates(docs: DataFrame, min_words: int) -> DataFrame:
             yield record_batch(doc=doc[out], hash=hashes[out])
             before = hashes[-1], doc[-1], bool(out[-1])
 
-    sent = arrow_map(docs.select("doc", "text"), made, "hash long, doc long, known boolean")
+    sent = arrow_map(docs.select("doc", "text"), made, "hash long, known boolean, doc long")
     sought = sent.repartition(F.when(F.col("known"), F.col("doc")).otherwise(F.col("hash"))).sortWithinPartitions("hash")
     return arrow_map(sought, repeated, "doc long, hash long").groupBy("doc").agg(F.collect_set("hash").alias("hashes"))
 
 
+def pack(columns):
+    """Texts made small for a shuffle."""
+    press = zstandard.ZstdCompressor(level=1)
+    for (texts,) in columns:
+        yield [pa.array([press.compress(t.as_buffer()) for t in texts], pa.binary())]
+
+
+def unpacked(column: pa.Array):
+    """Lists of texts of at most ``PART_BYTES`` together, one text at least."""
+    texts, size, press = [], 0, zstandard.ZstdDecompressor()
+    for item in column:
+        length = zstandard.frame_content_size(item.as_buffer())
+        if texts and size + length > PART_BYTES:
+            yield texts
+            texts, size = [], 0
+        texts.append(press.decompress(item.as_buffer()))
+        size += length
+    if texts:
+        yield texts
+
+
 def repeated_pieces(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``(doc_id, text_hash, unit, word, start, stop, words, h1, h2)`` of pieces that may repeat.
+    """``(doc_id, text_hash, unit, word, start, stop, words, h1, h2, may_go)`` of pieces that may repeat.
 
     Every piece that occurs twice is there, and few others. Offsets are in
     bytes of UTF-8, ``word`` is the place of the first word, and rows with a
-    null ``unit`` are windows. Only hashes travel in the first pass; the second
+    null ``unit`` are windows. Units among fewer than ``min_words`` words of
+    such neighbours can only be what others repeat: ``may_go`` is false. Only hashes travel in the first pass; the second
     makes the pieces of documents that hold repeats again.
     """
     columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), utf8(F.col("text")).alias("text"))
-    columns = columns.withColumn("doc", F.xxhash64("doc_id", "text_hash"))
+    columns = columns.withColumn("doc", F.shiftrightunsigned(F.xxhash64("doc_id", "text_hash"), DOC_SPARE))
 
     def run(batches):
         for batch in batches:
             ids, digests, wanted, at = batch.column("doc_id"), batch.column("text_hash"), batch.column("hashes"), 0
-            for texts in in_parts(batch.column("text"), PART_BYTES):
-                pieces = Pieces(texts.to_pylist(), min_words)
+            for texts in unpacked(batch.column("packed")):
+                pieces = Pieces(texts, min_words)
                 sought = wanted.slice(at, len(texts)).flatten()
-                which = np.flatnonzero(np.isin(pieces.hashes.view(np.int64), longs(sought)))
+                which = np.flatnonzero(np.isin(pieces.hashes, longs(sought)))
                 rows = pa.array(pieces.doc[which] + at)
                 at += len(texts)
                 h1, h2 = pieces.digests(which)
+                may_go = pieces.in_long_runs(which, min_words)
                 unit, ints = pieces.unit[which], lambda a: pa.array(a[which], pa.int32())
                 yield record_batch(
                     doc_id=ids.take(rows), text_hash=digests.take(rows), unit=pa.array(unit, pa.int32(), mask=unit < 0), word=ints(pieces.word),
-                    start=ints(pieces.start), stop=ints(pieces.stop), words=ints(pieces.words), h1=pa.array(h1, pa.int64()), h2=pa.array(h2, pa.int64()),
+                    start=ints(pieces.start), stop=ints(pieces.stop), words=ints(pieces.words), h1=pa.array(h1, pa.int64()), h2=pa.array(h2, pa.int32()),
+                    may_go=may_go,
                 )
 
-    held = columns.join(candidates(columns, min_words), "doc").select("doc_id", "text_hash", "text", "hashes")
-    return arrow_map(held, run, "doc_id long, text_hash long, unit int, word int, start int, stop int, words int, h1 long, h2 long")
+    packed = with_columns(columns, ["text"], T.StructType([T.StructField("packed", T.BinaryType())]), pack)
+    held = packed.join(candidates(columns, min_words), "doc").select("doc_id", "text_hash", "packed", "hashes")
+    return arrow_map(held, run, "doc_id long, text_hash long, unit int, word int, start int, stop int, words int, h1 long, h2 int, may_go boolean")
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -233,7 +269,9 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     Rows equal in id and text are one document. A unit or window repeated inside
     one document stays once, at its first place.
     """
-    shared = stored(repeated_pieces(docs, min_words), "shared")
+    # Read twice and made twice: the shuffles below it are run once, and its rows
+    # would take more disk than making them again takes time.
+    shared = repeated_pieces(docs, min_words)
     rank = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "text_hash", "word")
     keeper = shared.groupBy("h1", "h2").agg(F.min(rank).alias("keeper"))
     # A window that overlaps its keeper, as in a text with a short period, stays.
@@ -242,7 +280,8 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         & (F.col("word") < F.col("keeper.word") + F.col("words"))
     )
     repeats = (
-        shared.join(keeper, ["h1", "h2"])
+        shared.filter("may_go")
+        .join(keeper, ["h1", "h2"])
         .filter(~beside)
         .select("doc_id", "text_hash", "unit", "word", "start", "stop", "words",
                 F.col("keeper.doc_id").alias("keeper_doc_id"), F.col("keeper.word").alias("keeper_word"))
