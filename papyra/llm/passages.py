@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from operator import itemgetter
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -19,6 +21,9 @@ SPACES = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 ENDS = np.isin(np.arange(256), list(b".!?"))
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(MULTIPLIER), -1, 1 << 64))
+#: Two numbers below 32 bits share a long.
+LOW = (1 << 32) - 1
+FIRST_TWO = itemgetter(0, 1)
 #: Bits of 64 left out of hashes that only preselect, and of the numbers of documents
 #: that they travel with. Chance equality sends more to the exact step, never less.
 SPARE, DOC_SPARE = np.uint64(16), 24
@@ -215,11 +220,12 @@ def unpacked(column: pa.Array):
 
 
 def repeated_pieces(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``(doc_id, text_hash, unit, word, start, stop, words, h1, h2, may_go)`` of pieces that may repeat.
+    """``(doc_id, text_hash, word, unit_words, start_size, h1, h2, may_go)`` of pieces that may repeat.
 
-    Every piece that occurs twice is there, and few others. Offsets are in
-    bytes of UTF-8, ``word`` is the place of the first word, and rows with a
-    null ``unit`` are windows. Units among fewer than ``min_words`` words of
+    Every piece that occurs twice is there, and few others. ``word`` is the
+    place of the first word; ``unit_words`` holds the unit's number, from 1 (0:
+    a window), above 32 bits and the number of words below; ``start_size``
+    likewise the place and length in bytes of UTF-8. Units among fewer than ``min_words`` words of
     such neighbours can only be what others repeat: ``may_go`` is false. Only hashes travel in the first pass; the second
     makes the pieces of documents that hold repeats again.
     """
@@ -237,16 +243,16 @@ def repeated_pieces(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 at += len(texts)
                 h1, h2 = pieces.digests(which)
                 may_go = pieces.in_long_runs(which, min_words)
-                unit, ints = pieces.unit[which], lambda a: pa.array(a[which], pa.int32())
                 yield record_batch(
-                    doc_id=ids.take(rows), text_hash=digests.take(rows), unit=pa.array(unit, pa.int32(), mask=unit < 0), word=ints(pieces.word),
-                    start=ints(pieces.start), stop=ints(pieces.stop), words=ints(pieces.words), h1=pa.array(h1, pa.int64()), h2=pa.array(h2, pa.int32()),
-                    may_go=may_go,
+                    doc_id=ids.take(rows), text_hash=digests.take(rows), word=pa.array(pieces.word[which], pa.int32()),
+                    unit_words=pieces.unit[which] + 1 << 32 | pieces.words[which],
+                    start_size=pieces.start[which] << 32 | pieces.stop[which] - pieces.start[which],
+                    h1=pa.array(h1, pa.int64()), h2=pa.array(h2, pa.int32()), may_go=may_go,
                 )
 
     packed = with_columns(columns, ["text"], T.StructType([T.StructField("packed", T.BinaryType())]), pack)
     held = packed.join(candidates(columns, min_words), "doc").select("doc_id", "text_hash", "packed", "hashes")
-    return arrow_map(held, run, "doc_id long, text_hash long, unit int, word int, start int, stop int, words int, h1 long, h2 int, may_go boolean")
+    return arrow_map(held, run, "doc_id long, text_hash long, word int, unit_words long, start_size long, h1 long, h2 int, may_go boolean")
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -277,32 +283,36 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     # A window that overlaps its keeper, as in a text with a short period, stays.
     beside = (
         F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("text_hash") == F.col("keeper.text_hash"))
-        & (F.col("word") < F.col("keeper.word") + F.col("words"))
+        & (F.col("word") < F.col("keeper.word") + F.col("unit_words").bitwiseAND(F.lit(LOW)))
     )
     repeats = (
         shared.filter("may_go")
         .join(keeper, ["h1", "h2"])
         .filter(~beside)
-        .select("doc_id", "text_hash", "unit", "word", "start", "stop", "words",
+        .select("doc_id", "text_hash", "word", "unit_words", "start_size",
                 F.col("keeper.doc_id").alias("keeper_doc_id"), F.col("keeper.word").alias("keeper_word"))
     )
     return merged_spans(repeats, min_words)
 
 
-def spans(items: list[dict], min_words: int) -> list[list]:
-    """``[word, end word, start, stop, pieces, keeper_doc_id, keeper_word]`` of one document."""
-    found, run = [], None
-    for u in sorted((u for u in items if u["unit"] is not None), key=lambda u: u["unit"]):
-        if run is not None and u["unit"] == run[-1] + 1:
-            run[1], run[3], run[4], run[-1] = u["word"] + u["words"], u["stop"], run[4] + 1, u["unit"]
-            continue
-        found.append(run)
-        run = [u["word"], u["word"] + u["words"], u["start"], u["stop"], 1, u["keeper_doc_id"], u["keeper_word"], u["unit"]]
-    found.append(run)
-    found = [r[:-1] for r in found if r is not None and r[1] - r[0] >= min_words]
-    found += [[u["word"], u["word"] + u["words"], u["start"], u["stop"], 1, u["keeper_doc_id"], u["keeper_word"]] for u in items if u["unit"] is None]
+def spans(items: list[tuple], min_words: int) -> list[list]:
+    """``[word, end word, start, stop, pieces, keeper_doc_id, keeper_word]`` of one document.
+
+    Items are ``(unit, word, words, start, size, keeper_doc_id, keeper_word)``.
+    """
+    runs, windows, before = [], [], None
+    for unit, word, words, start, size, keeper, place in sorted(items, key=FIRST_TWO):
+        if not unit:
+            windows.append([word, word + words, start, start + size, 1, keeper, place])
+        elif unit - 1 == before:
+            run = runs[-1]
+            run[1], run[3], run[4], before = word + words, start + size, run[4] + 1, unit
+        else:
+            runs.append([word, word + words, start, start + size, 1, keeper, place])
+            before = unit
+    found = [r for r in runs if r[1] - r[0] >= min_words] + windows
     merged: list[list] = []
-    for span in sorted(found, key=lambda r: (r[0], r[1])):
+    for span in sorted(found, key=FIRST_TWO):
         if merged and span[0] <= merged[-1][1]:
             last = merged[-1]
             last[1], last[2], last[3], last[4] = max(last[1], span[1]), min(last[2], span[2]), max(last[3], span[3]), last[4] + span[4]
@@ -314,15 +324,20 @@ def spans(items: list[dict], min_words: int) -> list[list]:
 def merged_spans(repeats: DataFrame, min_words: int) -> DataFrame:
     """Overlapping and neighbouring repeats of a document, as one row each."""
     parts = repeats.groupBy("doc_id", "text_hash").agg(
-        F.collect_set(F.struct("unit", "word", "start", "stop", "words", "keeper_doc_id", "keeper_word")).alias("parts"))
+        F.collect_set(F.struct("word", "unit_words", "start_size", "keeper_doc_id", "keeper_word")).alias("parts"))
 
     def run(batches):
         schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("words", pa.int64()),
                             ("units", pa.int64()), ("keeper_doc_id", pa.int64()), ("keeper_word", pa.int32())])
         for batch in batches:
-            rows = []
-            for doc_id, text_hash, items in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "parts"))):
-                for word, end, start, stop, pieces, keeper, place in spans(items, min_words):
+            rows, parts_ = [], batch.column("parts")
+            flat = dict(zip(("word", "unit_words", "start_size", "keeper_doc_id", "keeper_word"), parts_.flatten().flatten()))
+            unit_words, start_size = longs(flat["unit_words"]), longs(flat["start_size"])
+            items = list(zip((unit_words >> 32).tolist(), flat["word"].to_pylist(), (unit_words & LOW).tolist(), (start_size >> 32).tolist(),
+                             (start_size & LOW).tolist(), flat["keeper_doc_id"].to_pylist(), flat["keeper_word"].to_pylist()))
+            bounds = np.concatenate(([0], np.cumsum(parts_.value_lengths().to_numpy(zero_copy_only=False)))).tolist()
+            for doc_id, text_hash, low, high in zip(batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist(), bounds, bounds[1:]):
+                for word, end, start, stop, pieces, keeper, place in spans(items[low:high], min_words):
                     rows.append((doc_id, text_hash, start, stop, end - word, pieces, keeper, place))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
