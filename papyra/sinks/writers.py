@@ -21,10 +21,14 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_jsonl(df: DataFrame, path: str, gzip: bool = False, by: list[str] | None = None) -> None:
-    """JSON lines, one part file per task."""
+    """JSON lines, one part file per task.
+
+    With ``by`` every task puts its own folders in place: there may be one per
+    row, too many for the driver to move one after another when the job ends.
+    """
     writer = df.write.mode("overwrite")
     if by:
-        writer = writer.partitionBy(*by)
+        writer = writer.partitionBy(*by).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
     writer.json(path, compression="gzip" if gzip else "none")
 
 

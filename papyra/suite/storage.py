@@ -10,7 +10,7 @@ from papyra.operators.changes import apply_changes, snapshot_diff
 from papyra.operators.documents import affiliated_ids, flatten_articles
 from papyra.plans.bronze import write_by_year
 from papyra.plans.enrich import doi_set
-from papyra.session import scratch_dir
+from papyra.session import scratch_dir, spread
 from papyra.sinks.writers import write_csv, write_jsonl, write_parquet, write_table
 from papyra.sources.files import (
     file_audit,
@@ -176,7 +176,8 @@ def id_listing(spark, sf_dir):
     """Ids from names alone: one folder, named like a document, per supplier."""
     path = scratch_dir(spark, "named")
     name = F.concat(F.col("s_suppkey").cast("string"), F.lit(".json"))
-    write_jsonl(table(spark, sf_dir, "supplier").select(name.alias("name"), "s_nationkey"), path, by=["name"])
+    suppliers = spread(table(spark, sf_dir, "supplier"), "s_suppkey")
+    write_jsonl(suppliers.select(name.alias("name"), "s_nationkey"), path, by=["name"])
     folder = F.regexp_replace("file", "/[^/]*$", "")
     return list_documents(spark, path).select(F.regexp_replace(file_stem(folder), "^name=", "").alias("sha")).distinct()
 

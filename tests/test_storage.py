@@ -3,6 +3,7 @@
 import gzip
 import json
 
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from papyra.operators.changes import apply_changes, snapshot_diff
@@ -24,6 +25,7 @@ from papyra.sources.files import (
 from papyra.sources.schemas import METADATA_COLUMNS, RECORD
 from papyra.streaming.records import match_records_incremental, matched_records, matches_per_file
 from papyra.streaming.refresh import compact, current, refresh
+from papyra.suite import storage
 
 
 def rows(df):
@@ -158,3 +160,23 @@ def test_diff_sees_microseconds(spark):
     row = lambda text: spark.sql(f"SELECT 1 AS id, timestamp '{text}' AS at")
     changed = snapshot_diff(row("2024-01-01 00:00:00.000001"), row("2024-01-01 00:00:00.000002"), ["id"])
     assert [r.change for r in changed.collect()] == ["update"]
+
+
+def test_folders_per_row_are_written_by_all_cores(spark, tmp_path, monkeypatch):
+    suppliers = [(i, i % 5) for i in range(60)] + [(7, 1), (None, 2)]
+    spark.createDataFrame(suppliers, "s_suppkey long, s_nationkey int").coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    seen = []
+    monkeypatch.setattr(storage, "list_documents", lambda spark, path: seen.append(list_documents(spark, path)) or seen[0])
+    found = [r.sha for r in storage.id_listing(spark, str(tmp_path)).collect()]
+    assert sorted(found) == sorted([*map(str, range(60)), "__HIVE_DEFAULT_PARTITION__"])
+    tasks = {r.task for r in seen[0].select(F.regexp_extract("file", "/part-([0-9]+)-", 1).alias("task")).collect()}
+    assert len(tasks) > 1
+
+
+def test_folders_need_no_move_when_the_job_ends(spark, tmp_path, monkeypatch):
+    options = {}
+    kept = DataFrameWriter.option
+    monkeypatch.setattr(DataFrameWriter, "option", lambda self, key, value: options.update({key: value}) or kept(self, key, value))
+    write_jsonl(spark.createDataFrame([(1, "a"), (2, "b")], "id long, k string"), f"{tmp_path}/named", by=["k"])
+    assert options["mapreduce.fileoutputcommitter.algorithm.version"] == "2"
+    assert sorted((r.id, r.k) for r in spark.read.json(f"{tmp_path}/named").collect()) == [(1, "a"), (2, "b")]
