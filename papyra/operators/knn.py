@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 
@@ -31,9 +32,16 @@ MAX_BROADCAST_QUERIES = 16_384
 # A corpus of more partitions is searched in two phases: one row in PILOT first.
 MAX_BARE_PARTITIONS = 16
 PILOT = 64
-BLOCK_ROWS = 20_000
-BLOCK_QUERIES = 4_096
-TILE = 1 << 22
+# Blocks of the grid: at most so many rows and vector components, the same on
+# both sides, which copies the least; and so few rows only where cores lack work.
+BLOCK_ROWS = 32_768
+BLOCK_QUERIES = 32_768
+BLOCK_NUMBERS = 1 << 24
+SMALL_BLOCK = 4_096
+# Scores held at once, and how many of them, in a stride, one maximum stands for.
+TILE = 1 << 18
+STRIP = 256
+DEPTH = 16
 
 
 def unit_rows(rows: np.ndarray) -> np.ndarray:
@@ -44,20 +52,33 @@ def unit_rows(rows: np.ndarray) -> np.ndarray:
 
 
 def score_block(queries: np.ndarray, rows: np.ndarray, metric: str) -> np.ndarray:
-    """Scores of all queries (down) against all rows (across).
+    """Raw scores of all queries (down) against all rows (across), in the order of scores.
 
-    For cosine both sides come as ``unit_rows``.
+    For cosine both sides come as ``unit_rows``. For l2 they are negated squares.
     """
     scores = queries @ rows.T
     if metric == "l2":
-        squares = (queries**2).sum(1)[:, None] + (rows**2).sum(1)[None, :]
-        scores = -np.sqrt(np.maximum(squares - 2.0 * scores, 0.0))
+        scores *= 2.0
+        scores -= (queries**2).sum(1)[:, None]
+        scores -= (rows**2).sum(1)[None, :]
     return scores
 
 
-def settle(scores: np.ndarray) -> np.ndarray:
+def settle(raw: np.ndarray, metric: str) -> np.ndarray:
     """Rounded scores, undefined ones below all others."""
-    return np.where(np.isnan(scores), UNDEFINED, np.round(scores, SCORE_DIGITS))
+    undefined = np.isnan(raw) | (raw == UNDEFINED)
+    with np.errstate(over="ignore", invalid="ignore"):
+        scores = -np.sqrt(np.maximum(-raw, 0.0)) if metric == "l2" else raw
+        return np.where(undefined, UNDEFINED, np.round(scores, SCORE_DIGITS))
+
+
+def raw_floor(bars: np.ndarray, metric: str) -> np.ndarray:
+    """Raw scores below which no settled score reaches the bar."""
+    with np.errstate(over="ignore"):
+        floor = bars - np.maximum(SLACK, np.abs(np.where(np.isinf(bars), 0.0, bars)) * 1e-15)
+        if metric == "l2":
+            floor = np.where(floor > UNDEFINED, -(floor**2) * (1 + 1e-12), floor)
+    return floor
 
 
 def best_mask(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -72,6 +93,63 @@ def best_mask(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return (above | (level & (np.cumsum(level, axis=1) <= room))) & (scores > EXCLUDED), bar
 
 
+def tops(scores: np.ndarray, groups: int) -> np.ndarray:
+    """Per row of ``scores`` the maximum of each of ``groups`` groups: columns g, g + groups, ...; NaN wins."""
+    height, width = scores.shape
+    body = width // groups * groups
+    found = scores[:, :body].reshape(height, -1, groups).max(axis=1)
+    rest = found[:, : width - body]
+    np.maximum(rest, scores[:, body:], out=rest)
+    return found
+
+
+def first_k(q: np.ndarray, place: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """The ``k`` best per ``q``, equal scores by place, and which of them are k-th."""
+    order = np.lexsort((place, -score, q))
+    q, place, score = q[order], place[order], score[order]
+    rank = np.arange(q.size) - np.searchsorted(q, q)
+    kept = rank < k
+    return q[kept], place[kept], score[kept], rank[kept] == k - 1
+
+
+def winners(scores: np.ndarray, bars: np.ndarray, k: int, metric: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(row, column, settled score)`` of the up to ``k`` best columns per row that reach its bar.
+
+    ``scores`` are raw ones, ``bars`` settled ones, which rise. Only groups of columns whose maximum reaches the bar are
+    looked into; rows with many such groups are sorted out as a whole. Of equal
+    scores the left ones are taken.
+    """
+    height, width = scores.shape
+    groups = max(1, width // DEPTH)
+    best = tops(scores, groups)
+    if np.isnan(best).any():
+        scores[np.isnan(scores)] = UNDEFINED
+        best = tops(scores, groups)
+    if groups >= k:
+        # Each of k groups holds a row with that score or a higher one.
+        np.maximum(bars, settle(np.partition(best, groups - k, axis=1)[:, groups - k], metric), out=bars)
+    floor = raw_floor(bars, metric)
+    hit = (best >= floor[:, None]) & (best > EXCLUDED)
+    many = hit.sum(1) > 4 * k
+    whole = np.flatnonzero(many)
+    settled = settle(scores[whole], metric)
+    mask, bar = best_mask(settled, k)
+    q, c = np.nonzero(mask & (settled >= bars[whole][:, None]))
+    found = [(whole[q], c, settled[q, c])]
+    bars[whole] = np.maximum(bars[whole], bar)
+    q, g = np.nonzero(hit & ~many[:, None])
+    columns = g[:, None] + np.arange(-(-width // groups)) * groups
+    inside = columns < width
+    values = scores[q[:, None], np.where(inside, columns, 0)]
+    which, place = np.nonzero(inside & (values >= floor[q][:, None]) & (values > EXCLUDED))
+    q, c, value = q[which], columns[which, place], settle(values[which, place], metric)
+    q, c, value, last = first_k(q, c, value, k)
+    bars[q[last]] = np.maximum(bars[q[last]], value[last])
+    kept = value >= bars[q]
+    found.append((q[kept], c[kept], value[kept]))
+    return tuple(np.concatenate(part) for part in zip(*found))
+
+
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """Equal-length list column as a float64 matrix."""
     if isinstance(column, pa.ChunkedArray):
@@ -121,7 +199,7 @@ class Search:
         return np.full(len(self.queries), EXCLUDED) if self.bars is None else self.bars.copy()
 
     def candidates(self, table: pa.Table, which: np.ndarray, bars: np.ndarray) -> Iterator[pa.Table]:
-        """Candidate tables: up to ``k`` rows per query of ``which`` and tile.
+        """Candidate tables: up to ``k`` rows per query of ``which`` and tile, a strip of queries at a time.
 
         ``bars`` holds per query a score that k rows seen so far reach; it
         rises as rows are seen and lets most tiles be passed over.
@@ -134,31 +212,38 @@ class Search:
         rows = matrix(table.column(self.column))
         if self.metric == "cosine":
             rows = unit_rows(rows)
-        own = None
+        first = after = None
         if self.exclude_self:
+            # Sorted by id: the rows of an id are neighbours.
             kinds = pc.unique(self.query_ids.drop_null())
             own = pc.fill_null(pc.index_in(table.column(self.ids[0]), value_set=kinds), -1).to_numpy()
-            asking = pc.fill_null(pc.index_in(self.query_ids, value_set=kinds), -2).to_numpy(zero_copy_only=False)
-        height = max(1, min(len(which), 1024))
+            asking = pc.fill_null(pc.index_in(self.query_ids, value_set=kinds), len(kinds)).to_numpy(zero_copy_only=False)
+            places = np.flatnonzero(own >= 0)
+            first, after = np.zeros(len(kinds) + 1, np.int64), np.zeros(len(kinds) + 1, np.int64)
+            first[own[places[::-1]]] = places[::-1]
+            after[own[places]] = places + 1
+            first, after = first[asking], after[asking]
+        height = max(1, min(len(which), STRIP))
         width = max(self.k, TILE // height)
         for q0 in range(0, len(which), height):
             part = which[q0 : q0 + height]
+            reached = bars[part]
+            strip = []
             for r0 in range(0, len(rows), width):
                 scores = score_block(self.queries[part], rows[r0 : r0 + width], self.metric)
-                if own is not None:
-                    scores[asking[part][:, None] == own[None, r0 : r0 + width]] = EXCLUDED
-                # fmax passes over NaN; a row of nothing else stays live.
-                live = ~(np.fmax.reduce(scores, axis=1) < bars[part] - SLACK)
-                if not live.any():
-                    continue
-                asked, scores = part[live], settle(scores[live])
-                mask, bar = best_mask(scores, self.k)
-                q, r = np.nonzero(mask & (scores >= bars[asked][:, None]))
-                bars[asked] = np.maximum(bars[asked], bar)
-                found = kept.take(pa.array(r0 + r))
-                yield found.append_column("_q", pa.array(asked[q].astype(np.int32))).append_column(
-                    "score", pa.array(scores[q, r])
-                )
+                if first is not None:
+                    low, high = np.maximum(first[part] - r0, 0), np.minimum(after[part] - r0, scores.shape[1])
+                    for q in np.flatnonzero(low < high):
+                        scores[q, low[q] : high[q]] = EXCLUDED
+                q, r, score = winners(scores, reached, self.k, self.metric)
+                if q.size:
+                    strip.append((q, r0 + r, score))
+            bars[part] = reached
+            if strip:
+                q, r, score = (np.concatenate(of) for of in zip(*strip))
+                q, r, score = first_k(q, r, score, self.k)[:3]
+                found = kept.take(pa.array(r))
+                yield found.append_column("_q", pa.array(part[q].astype(np.int32))).append_column("score", pa.array(score))
 
     def merge(self, parts: list[pa.Table]) -> list[pa.Table]:
         return [cut(pa.concat_tables(parts).combine_chunks(), self.k, self.ids)] if parts else []
@@ -242,12 +327,18 @@ def grid_search(
     """
     ship(corpus.sparkSession)
     arrow = to_arrow_schema(schema)
-    blocks = lambda df, size, name: df.groupBy("_cell").agg(
-        F.ceil(F.count("*") / size).cast("int").alias(name)
+    # As few blocks as memory allows, for every block is read once for each of the other side.
+    enough = F.lit(math.ceil(math.sqrt(2 * corpus.sparkSession.sparkContext.defaultParallelism)))
+    blocks = lambda df, size, column, name: df.groupBy("_cell").agg(
+        F.greatest(
+            F.ceil(F.count("*") / size),
+            F.ceil(F.coalesce(F.sum(F.when(F.col(column).isNotNull(), F.size(column))), F.lit(0)) / BLOCK_NUMBERS),
+            F.least(F.ceil(F.count("*") / SMALL_BLOCK), enough),
+        ).cast("int").alias(name)
     )
     # At most one row per cell, so both tables are small whatever the data size.
     sizes = F.broadcast(
-        blocks(corpus, block_rows, "_nc").join(blocks(queries, block_queries, "_nq"), "_cell")
+        blocks(corpus, block_rows, search.column, "_nc").join(blocks(queries, block_queries, "_query_vector", "_nq"), "_cell")
     )
     up_to = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = (
