@@ -10,10 +10,12 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +34,8 @@ WINDOW = 12
 #: How fast the score rises with the evidence.
 STEEPNESS = 6.0
 THRESHOLD = 0.3
+#: Pairs worked on at once when a model is fitted.
+PART = 1 << 17
 #: Stands before the first word of a text.
 START = ""
 
@@ -75,29 +79,50 @@ class Counts:
 
     @staticmethod
     def of(table: pa.Table) -> Counts:
-        before, word = table.column("before").to_pylist(), table.column("word").to_pylist()
-        number = {START: 0}
-        for w in sorted({*before, *word} - {START}):
-            number[w] = len(number)
-        pairs = np.array([table.column(c).to_numpy() for c in ("ordinary", "toxic")], float)
-        return Counts(list(number), np.array([number[w] for w in before], np.int64), np.array([number[w] for w in word], np.int64), pairs)
+        before, word = table.column("before"), table.column("word")
+        distinct = pc.unique(pa.chunked_array([*before.chunks, *word.chunks], before.type))
+        words = [START, *(w for w in distinct.take(pc.array_sort_indices(distinct)).to_pylist() if w != START)]
+        known = pa.array(words, before.type)
+        number = lambda column: pc.index_in(column, value_set=known).to_numpy()
+        pairs = np.array([table.column(c).to_numpy() for c in ("ordinary", "toxic")], np.int32)
+        return Counts(words, number(before), number(word), pairs)
 
+    def parts(self) -> Iterator[slice]:
+        return parts(self.before.size)
 
-def discounted(counts: np.ndarray, group: np.ndarray, groups: int, discount: float) -> tuple[np.ndarray, np.ndarray]:
-    """Per class the shares of counts above the discount, and per group what is left to the backoff.
+
+def parts(size: int) -> Iterator[slice]:
+    """Slices for work that would need several numbers for each of very many pairs."""
+    return (slice(low, low + PART) for low in range(0, size, PART))
+
+
+@dataclass
+class Discounts:
+    """Per class and group: the discount, the share of a count above it, and what is left to the backoff.
 
     The discount shrinks with the smaller class. Where both classes keep
     something of a group they leave the same share, the larger of the two, so
     that neither gains by its size alone.
     """
-    totals = np.array([np.bincount(group, c, groups) for c in counts])
-    scaled = discount * totals / np.maximum(totals.max(0), 1e-300)
-    own = np.maximum(counts - scaled[:, group], 0.0)
-    kept = np.array([np.bincount(group, o, groups) for o in own])
-    left = 1 - kept / np.maximum(totals, 1e-300)
-    left = np.where((kept > 0).all(0), left.max(0), left)
-    shares = own * ((1 - left) / np.maximum(kept, 1e-300))[:, group]
-    return shares, left
+
+    amount: np.ndarray
+    rate: np.ndarray
+    left: np.ndarray
+
+    @staticmethod
+    def of(counts: np.ndarray, group: np.ndarray, groups: int, discount: float) -> Discounts:
+        totals = np.array([np.bincount(group, c, groups) for c in counts])
+        amount = discount * totals / np.maximum(totals.max(0), 1e-300)
+        kept = np.zeros_like(totals)
+        for part in parts(group.size):
+            own = np.maximum(counts[:, part] - amount[:, group[part]], 0.0)
+            kept += [np.bincount(group[part], o, groups) for o in own]
+        left = 1 - kept / np.maximum(totals, 1e-300)
+        left = np.where((kept > 0).all(0), left.max(0), left)
+        return Discounts(amount, (1 - left) / np.maximum(kept, 1e-300), left)
+
+    def shares(self, counts: np.ndarray, group: np.ndarray) -> np.ndarray:
+        return np.maximum(counts - self.amount[:, group], 0.0) * self.rate[:, group]
 
 
 @dataclass
@@ -119,32 +144,41 @@ class ToxicModel:
     @staticmethod
     def fit(counts: Counts, discount: float) -> ToxicModel:
         size = len(counts.words)
-        present = counts.pairs > 0
-        if not present.any(1).all():
+        if not all((c > 0).any() for c in counts.pairs):
             return ToxicModel()
         # Different words before each word, per class and in either.
-        follows = np.array([np.bincount(counts.word, p, size) for p in present])
+        follows = np.array([np.bincount(counts.word[c > 0], minlength=size) for c in counts.pairs], float)
         either = np.bincount(counts.word, minlength=size).astype(float)
         kinds = int((either > 0).sum())
         shared = (np.maximum(either - SHARED_DISCOUNT, 0) + SHARED_DISCOUNT * kinds / (kinds + 1)) / either.sum()
-        shares, left = discounted(follows, np.zeros(size, np.int64), 1, discount)
-        single = shares + left * shared
-        shares, left = discounted(counts.pairs, counts.before, size, discount)
-        double = shares + left[:, counts.before] * single[:, counts.word]
+        alone = np.zeros(size, np.int64)
+        words = Discounts.of(follows, alone, 1, discount)
+        single = words.shares(follows, alone) + words.left * shared
+        after = Discounts.of(counts.pairs, counts.before, size, discount)
         with np.errstate(divide="ignore"):
             word = np.log(single[1] / single[0])
-            context = np.log(left[1] / left[0])
-            pair = np.log(double[1] / double[0])
-        kept = (shares > 0).any(0)
+            context = np.log(after.left[1] / after.left[0])
         told = (np.abs(word) > 1e-12) | (np.abs(context) > 1e-12)
-        told[counts.before[kept]] = told[counts.word[kept]] = told[0] = True
+        told[0] = True
+        kept, pair = [], []
+        for part in counts.parts():
+            v, w = counts.before[part], counts.word[part]
+            shares = after.shares(counts.pairs[:, part], v)
+            own = (shares > 0).any(0)
+            told[v[own]] = told[w[own]] = True
+            double = shares + after.left[:, v] * single[:, w]
+            with np.errstate(divide="ignore"):
+                pair.append(np.log(double[1] / double[0])[own])
+            kept.append((np.flatnonzero(own) + part.start).astype(np.int32))
+        kept, pair = np.concatenate(kept), np.concatenate(pair)
         number = np.full(size, -1)
         number[told] = np.arange(told.sum())
-        codes = number[counts.before[kept]] * int(told.sum()) + number[counts.word[kept]]
+        codes = number[counts.before[kept]] * int(told.sum())
+        codes += number[counts.word[kept]]
         order = np.argsort(codes)
         names = {counts.words[i]: int(number[i]) for i in np.flatnonzero(told)}
         # One more place stands for all words that are not told apart.
-        return ToxicModel(names, np.append(word[told], 0.0), np.append(context[told], 0.0), codes[order], pair[kept][order])
+        return ToxicModel(names, np.append(word[told], 0.0), np.append(context[told], 0.0), codes[order], pair[order])
 
     def ratios(self, numbers: np.ndarray) -> np.ndarray:
         """Log-ratio of every word of a text, given the one before it."""
@@ -227,13 +261,15 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sa
     rows = stored(texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).drop("id"), "labelled")
     sample = sampled(rows, "toxic", sample_bytes)
     spare = F.pmod(F.xxhash64(F.lit("spare"), "text"), F.lit(4)) == 0
-    counts = Counts.of(pair_counts(sample.filter(~spare)).toArrow())
+    pairs = pair_counts(sample.filter(~spare)).withColumns({c: F.col(c).cast("int") for c in ("ordinary", "toxic")})
+    counts = Counts.of(pairs.toArrow())
+    pa.default_memory_pool().release_unused()
     model = ToxicModel()
     if not counts.pairs.size:
         return model
     trial = sample.filter(spare).select("text", "toxic").toArrow()
     texts, truth = trial.column("text").to_pylist(), np.array(trial.column("toxic").to_pylist(), float)
-    best = (0.0, 0.0)
+    best, found = (0.0, 0.0), None
     for discount in DISCOUNTS:
         tried = ToxicModel.fit(counts, discount)
         if not truth.size or not truth.any():
@@ -241,8 +277,12 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sa
         memory = Memory(tried)
         area, f1, cut = best_cut(np.array([tried.evidence(t, memory) for t in texts]), truth)
         if (round(f1, 3), area) > best:
-            best, model = (round(f1, 3), area), tried
-            model.cut = cut
+            best, found = (round(f1, 3), area), (discount, cut)
+        # One model at a time: the best is made again.
+        del tried, memory
+    if found is not None:
+        model = ToxicModel.fit(counts, found[0])
+        model.cut = found[1]
     return model
 
 

@@ -1,9 +1,11 @@
 """Class-conditional models: equal to a plain one, and they find what they should."""
 
 import math
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from papyra.llm import toxicity
@@ -136,3 +138,21 @@ def test_edge_rows(spark):
     assert {r.predicted for r in toxicity.score(docs, toxicity.train(none.select("doc_id", "text"), labels)).collect()} == {0}
     only = toxicity.train(docs.select("doc_id", "text"), labels.filter("toxic = 1"))
     assert toxicity.score(docs, only).count() == len(rows)
+
+
+def test_fitting_needs_little_memory():
+    """Several hundred thousand pairs: no list of their words, no many numbers of each."""
+    rng = np.random.default_rng(8)
+    letters = np.array(list("abcdefghijklmnopqrst"))
+    word = lambda i: "".join(letters[[i % 20, i // 20 % 20, i // 400 % 20]])
+    codes = np.unique(rng.integers(0, 8_000 * 8_000, 500_000))
+    column = lambda numbers: pa.array([word(i) for i in numbers])
+    table = pa.table({"before": column(codes // 8_000), "word": column(codes % 8_000),
+                      "ordinary": rng.integers(0, 3, codes.size), "toxic": rng.integers(0, 3, codes.size)})
+    tracemalloc.start()
+    counts = toxicity.Counts.of(table)
+    model = toxicity.ToxicModel.fit(counts, 0.75)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counts.words == sorted(counts.words) and counts.words[0] == toxicity.START
+    assert model.pairs.size > 300_000 and peak < 60_000_000
