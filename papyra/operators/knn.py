@@ -38,10 +38,14 @@ BLOCK_ROWS = 32_768
 BLOCK_QUERIES = 32_768
 BLOCK_NUMBERS = 1 << 24
 SMALL_BLOCK = 4_096
-# Scores held at once, and how many of them, in a stride, one maximum stands for.
+# Scores held at once (screened ones are small and come WIDE times as many), and
+# how many of them, in a stride, one maximum stands for.
 TILE = 1 << 18
+WIDE = 8
 STRIP = 256
 DEPTH = 16
+# Squared lengths that single precision can screen.
+SHORTEST, LONGEST = 1e-60, 1e60
 
 
 def unit_rows(rows: np.ndarray) -> np.ndarray:
@@ -150,6 +154,131 @@ def winners(scores: np.ndarray, bars: np.ndarray, k: int, metric: str) -> tuple[
     return tuple(np.concatenate(part) for part in zip(*found))
 
 
+def ordinary(vectors: np.ndarray) -> np.ndarray:
+    """Which vectors a ``Screen`` takes: zero, or neither tiny, huge nor undefined."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        squares = np.einsum("ij,ij->i", vectors, vectors)
+        return ((squares >= SHORTEST) & (squares <= LONGEST)) | ~vectors.any(axis=1)
+
+
+def pair_scores(queries: np.ndarray, rows: np.ndarray, q: np.ndarray, r: np.ndarray, metric: str) -> np.ndarray:
+    """Raw scores of the pairs ``(q, r)``, in the order of ``score_block``."""
+    scores = np.empty(q.size)
+    step = max(1, TILE // max(1, rows.shape[1]))
+    for i in range(0, q.size, step):
+        a, b = queries[q[i : i + step]], rows[r[i : i + step]]
+        if metric == "l2":
+            a = b = a - b
+        scores[i : i + step] = np.einsum("ij,ij->i", a, b)
+    if metric == "l2":
+        np.negative(scores, out=scores)
+    return scores
+
+
+class Screen:
+    """Scores in single precision that tell which pairs are worth an exact one.
+
+    Both sides are scaled to lengths of about 1, so a screened score differs
+    from the true one, scaled alike, by less than ``slack``: the rounding of
+    the inputs and of a sum in any order. All vectors are ``ordinary``.
+    """
+
+    def __init__(self, rows: np.ndarray, metric: str):
+        self.rows, self.metric = rows, metric
+        self.scale = 1.0
+        if metric != "cosine" and rows.size:
+            self.scale = float(np.linalg.norm(rows, axis=1).max()) or 1.0
+        with np.errstate(under="ignore"):
+            self.single = (rows if self.scale == 1.0 else rows / self.scale).astype(np.float32)
+            if metric == "l2":
+                halves = np.einsum("ij,ij->i", rows, rows)[:, None] / (2 * self.scale**2)
+                self.single = np.hstack([self.single, halves.astype(np.float32)])
+        self.slack = 2.0 * (self.single.shape[1] + 4) * 2.0**-24
+        self.room = np.empty(0, np.float32)
+
+    def ask(self, queries: np.ndarray) -> None:
+        """Take a strip of queries; its raw scores are ``factor * screened + shift``."""
+        self.queries = queries
+        height = len(queries)
+        self.factor, self.shift = np.ones(height), np.zeros(height)
+        scaled = queries
+        if self.metric == "dot":
+            lengths = np.linalg.norm(queries, axis=1)
+            lengths[lengths == 0] = 1.0
+            self.factor, scaled = lengths * self.scale, queries / lengths[:, None]
+        elif self.metric == "l2":
+            scaled = queries / self.scale
+            squares = np.einsum("ij,ij->i", scaled, scaled)
+            lengths = np.sqrt(squares + 1.0)
+            self.factor, self.shift = 2.0 * self.scale**2 * lengths, -(self.scale**2) * squares
+            scaled = np.hstack([scaled, np.full((height, 1), -1.0)]) / lengths[:, None]
+        with np.errstate(under="ignore"):
+            self.asked = np.ascontiguousarray(scaled.astype(np.float32).T)
+
+    def scores(self, r0: int, r1: int) -> np.ndarray:
+        """Screened scores of rows (down) against the strip (across), in the same memory each time."""
+        shape = r1 - r0, self.asked.shape[1]
+        if self.room.size < shape[0] * shape[1]:
+            self.room = np.empty(shape[0] * shape[1], np.float32)
+        return np.matmul(self.single[r0:r1], self.asked, out=self.room[: shape[0] * shape[1]].reshape(shape))
+
+    def floor(self, bars: np.ndarray, which: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """Screened scores below which no settled score reaches the bar."""
+        with np.errstate(over="ignore"):
+            least = (raw_floor(bars, self.metric) - self.shift[which]) / self.factor[which] - self.slack
+            return np.nextafter(least.astype(np.float32), np.float32(EXCLUDED))
+
+    def winners(self, scores: np.ndarray, r0: int, bars: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``winners`` of the whole strip among the rows from ``r0`` on, by their screened ``scores``.
+
+        Only pairs whose screened score may reach the bar are scored exactly.
+        """
+        width, height = scores.shape
+        rows = self.rows[r0 : r0 + width]
+        groups = max(1, width // DEPTH)
+        body = width // groups * groups
+        best = scores[:body].reshape(-1, groups, height).max(axis=0)
+        np.maximum(best[: width - body], scores[body:], out=best[: width - body])
+        floor = self.floor(bars)
+        hit = (best >= floor) & (best > EXCLUDED)
+        count = hit.sum(0)
+        low = np.flatnonzero(count > k)
+        if low.size:
+            # Each of k groups holds a row with that score or a higher one.
+            sure = np.partition(best[:, low], groups - k, axis=0)[groups - k].astype(np.float64) - self.slack
+            bars[low] = np.maximum(bars[low], settle(self.factor[low] * sure + self.shift[low], self.metric))
+            floor[low] = self.floor(bars[low], low)
+            hit[:, low] = (best[:, low] >= floor[low]) & (best[:, low] > EXCLUDED)
+            count[low] = hit[:, low].sum(0)
+        found = []
+        many = np.flatnonzero(count > min(4 * k, max(8, groups // 4)))
+        step = max(1, TILE // width)
+        for whole in (many[i : i + step] for i in range(0, many.size, step)):
+            raw = score_block(self.queries[whole], rows, self.metric)
+            raw[scores[:, whole].T == EXCLUDED] = EXCLUDED
+            settled = settle(raw, self.metric)
+            mask, bar = best_mask(settled, k)
+            q, r = np.nonzero(mask & (settled >= bars[whole][:, None]))
+            found.append((whole[q], r, settled[q, r]))
+            bars[whole] = np.maximum(bars[whole], bar)
+        hit[:, many] = False
+        g, q = np.nonzero(hit)
+        if q.size:
+            places = g[:, None] + np.arange(-(-width // groups)) * groups
+            inside = places < width
+            values = scores[np.where(inside, places, 0), q[:, None]]
+            which, place = np.nonzero(inside & (values >= floor[q][:, None]) & (values > EXCLUDED))
+            q, r = q[which], places[which, place]
+            value = settle(pair_scores(self.queries, rows, q, r, self.metric), self.metric)
+            q, r, value, last = first_k(q, r, value, k)
+            bars[q[last]] = np.maximum(bars[q[last]], value[last])
+            kept = value >= bars[q]
+            found.append((q[kept], r[kept], value[kept]))
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        return tuple(np.concatenate(part) for part in zip(*found))
+
+
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """Equal-length list column as a float64 matrix."""
     if isinstance(column, pa.ChunkedArray):
@@ -223,21 +352,36 @@ class Search:
             first[own[places[::-1]]] = places[::-1]
             after[own[places]] = places + 1
             first, after = first[asking], after[asking]
+        # Rows and queries that single precision cannot screen are scored exactly, apart.
+        fine = ordinary(rows)
+        kinds = [np.flatnonzero(fine), np.flatnonzero(~fine)]
+        blocks = [(of, rows if of.size == len(rows) else rows[of]) for of in kinds]
+        screen = Screen(blocks[0][1], self.metric)
+        simple = ordinary(self.queries[which])
         height = max(1, min(len(which), STRIP))
         width = max(self.k, TILE // height)
-        for q0 in range(0, len(which), height):
-            part = which[q0 : q0 + height]
+        for part in (some[q0 : q0 + height] for some in (which[simple], which[~simple]) for q0 in range(0, len(some), height)):
             reached = bars[part]
             strip = []
-            for r0 in range(0, len(rows), width):
-                scores = score_block(self.queries[part], rows[r0 : r0 + width], self.metric)
+            asked = self.queries[part]
+            plain = not ordinary(asked).all()
+            if not plain:
+                screen.ask(asked)
+            for (of, block), exact in zip(blocks, (plain, True)):
                 if first is not None:
-                    low, high = np.maximum(first[part] - r0, 0), np.minimum(after[part] - r0, scores.shape[1])
-                    for q in np.flatnonzero(low < high):
-                        scores[q, low[q] : high[q]] = EXCLUDED
-                q, r, score = winners(scores, reached, self.k, self.metric)
-                if q.size:
-                    strip.append((q, r0 + r, score))
+                    start, end = np.searchsorted(of, first[part]), np.searchsorted(of, after[part])
+                stride = width if exact else WIDE * width
+                for r0 in range(0, len(block), stride):
+                    r1 = min(r0 + stride, len(block))
+                    scores = score_block(asked, block[r0:r1], self.metric) if exact else screen.scores(r0, r1)
+                    if first is not None:
+                        low, high = np.maximum(start - r0, 0), np.minimum(end - r0, r1 - r0)
+                        by_query = scores if exact else scores.T
+                        for q in np.flatnonzero(low < high):
+                            by_query[q, low[q] : high[q]] = EXCLUDED
+                    q, r, score = winners(scores, reached, self.k, self.metric) if exact else screen.winners(scores, r0, reached, self.k)
+                    if q.size:
+                        strip.append((q, of[r0 + r], score))
             bars[part] = reached
             if strip:
                 q, r, score = (np.concatenate(of) for of in zip(*strip))

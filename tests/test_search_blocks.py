@@ -85,3 +85,48 @@ def test_grid_copies_both_sides_alike(spark, monkeypatch):
     hits = module.grid_search(module.one_cell(rows, ["id"]), module.one_cell(asked, ["_q"]), search, "query_id", schema)
     found = hits.groupBy("_q").count().agg(F.count("*").alias("n"), F.max("count").alias("blocks"), F.min("count").alias("least")).first()
     assert found.n == 40_000 and found.least == found.blocks <= 4
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot", "l2"])
+def test_few_pairs_are_scored_in_double_precision(monkeypatch, metric):
+    """A pass in single precision rules out nearly all pairs."""
+    rng = np.random.default_rng(8)
+    rows, queries = rng.normal(size=(8_000, 8)), rng.normal(size=(300, 8))
+    seen = []
+    whole, pairs = module.score_block, module.pair_scores
+    monkeypatch.setattr(module, "score_block", lambda q, r, m: seen.append(len(q) * len(r)) or whole(q, r, m))
+    monkeypatch.setattr(module, "pair_scores", lambda a, b, q, r, m: seen.append(q.size) or pairs(a, b, q, r, m))
+    (got,) = scored(metric, rows, range(8_000), queries, [None] * 300)
+    assert 5 * 300 <= sum(seen) < 8_000 * 300 / 10
+    assert [(r["_q"], r["id"]) for r in got.to_pylist()] == [(q, i) for q, i, _ in plain(metric, rows, range(8_000), queries, [None] * 300)]
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot", "l2"])
+@pytest.mark.parametrize("k", [1, 5, 60])
+def test_screen_loses_no_row(metric, k):
+    """Lengths from 1e-9 to 10, and scores closer than single precision tells apart."""
+    rng = np.random.default_rng(k)
+    rows = rng.normal(size=(3_000, 12)) * 10.0 ** rng.integers(-9, 2, (3_000, 1))
+    rows[1_000:2_000] = rows[1_000] + rng.normal(size=(1_000, 12)) * 1e-7
+    rows[5] = rows[2_500] = 0.0
+    queries = np.vstack([rows[990:1_010], rows[::150], np.zeros((1, 12)), rng.normal(size=(40, 12))])
+    own = rng.permutation(3_000)[: len(queries)]
+    search = module.Search(k, metric, ["id"], "v", [], True).asking(queries, pa.array(own, pa.int64()))
+    (got,) = search.merge(list(search.candidates(block(rows, range(3_000)), np.arange(len(queries)), search.first_bars())))
+    raw = module.score_block(search.queries, module.unit_rows(rows) if metric == "cosine" else rows, metric)
+    raw[np.arange(len(queries)), own] = module.EXCLUDED
+    want = np.where(np.isinf(raw), module.EXCLUDED, module.settle(raw, metric))
+    mask, _ = module.best_mask(want, k)
+    q = got.column("_q").to_numpy()
+    assert (np.bincount(q, minlength=len(queries)) == k).all()
+    score = got.column("score").to_numpy().reshape(-1, k)
+    best = -np.sort(-np.where(mask, want, -np.inf), axis=1)[:, :k]
+    assert np.allclose(score, best, rtol=1e-9, atol=2e-6)
+
+
+def test_vectors_beyond_single_precision():
+    rows = np.array([[1e200, 0.0], [3.0, 0.0], [2.0, 0.0], [np.nan, 0.0], [np.inf, 1.0], [1e-200, 0.0], [0.0, 0.0]])
+    queries = np.array([[1.0, 1.0], [1e-200, 1.0], [0.0, 0.0], [np.nan, 1.0]])
+    (got,) = scored("dot", rows, range(7), queries, [None] * 4, k=7)
+    hits = [[r["id"] for r in got.to_pylist() if r["_q"] == q] for q in range(4)]
+    assert hits == [[4, 0, 1, 2, 5, 6, 3], [4, 0, 1, 2, 5, 6, 3], [0, 1, 2, 5, 6, 3, 4], list(range(7))]
