@@ -38,10 +38,9 @@ BLOCK_ROWS = 32_768
 BLOCK_QUERIES = 32_768
 BLOCK_NUMBERS = 1 << 24
 SMALL_BLOCK = 4_096
-# Scores held at once (screened ones are small and come WIDE times as many), and
-# how many of them, in a stride, one maximum stands for.
+# Scores held at once, so few that they stay in a core's cache, and how many of
+# them, in a stride, one maximum stands for.
 TILE = 1 << 18
-WIDE = 8
 STRIP = 256
 DEPTH = 16
 # Squared lengths that single precision can screen.
@@ -213,69 +212,87 @@ class Screen:
             self.factor, self.shift = 2.0 * self.scale**2 * lengths, -(self.scale**2) * squares
             scaled = np.hstack([scaled, np.full((height, 1), -1.0)]) / lengths[:, None]
         with np.errstate(under="ignore"):
-            self.asked = np.ascontiguousarray(scaled.astype(np.float32).T)
+            self.asked = scaled.astype(np.float32)
 
-    def scores(self, r0: int, r1: int) -> np.ndarray:
-        """Screened scores of rows (down) against the strip (across), in the same memory each time."""
-        shape = r1 - r0, self.asked.shape[1]
-        if self.room.size < shape[0] * shape[1]:
-            self.room = np.empty(shape[0] * shape[1], np.float32)
-        return np.matmul(self.single[r0:r1], self.asked, out=self.room[: shape[0] * shape[1]].reshape(shape))
+    def maxima(self, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Screened maxima of groups of rows (down) against the strip (across), and the rows of each group.
 
-    def floor(self, bars: np.ndarray, which: np.ndarray | slice = slice(None)) -> np.ndarray:
-        """Screened scores below which no settled score reaches the bar."""
+        The rows from ``start`` to ``end`` of a query, its own, do not count.
+        Rows that fill up the last group have no place among ``rows``.
+        """
+        n, height = len(self.single), len(self.asked)
+        asked = np.ascontiguousarray(self.asked.T)
+        width = max(1, TILE // height // DEPTH) * DEPTH
+        if self.room.size < width * height:
+            self.room = np.empty(width * height, np.float32)
+        best = np.empty((-(-n // DEPTH), height), np.float32)
+        members = []
+        own = np.flatnonzero(start < end)
+        for r0 in range(0, n, width):
+            r1 = min(r0 + width, n)
+            groups = -(-(r1 - r0) // DEPTH)
+            scores = self.room[: groups * DEPTH * height].reshape(-1, height)
+            np.matmul(self.single[r0:r1], asked, out=scores[: r1 - r0])
+            scores[r1 - r0 :] = EXCLUDED
+            for q in own[(start[own] < r1) & (end[own] > r0)]:
+                scores[max(start[q] - r0, 0) : end[q] - r0, q] = EXCLUDED
+            g0 = r0 // DEPTH
+            np.max(scores.reshape(DEPTH, groups, height), axis=0, out=best[g0 : g0 + groups])
+            members.append(np.arange(r0, r0 + groups * DEPTH).reshape(DEPTH, groups).T)
+        return best, np.concatenate(members)
+
+    def floor(self, bars: np.ndarray) -> np.ndarray:
+        """Screened scores below which no settled score reaches the bar; above EXCLUDED."""
         with np.errstate(over="ignore"):
-            least = (raw_floor(bars, self.metric) - self.shift[which]) / self.factor[which] - self.slack
-            return np.nextafter(least.astype(np.float32), np.float32(EXCLUDED))
+            least = (raw_floor(bars, self.metric) - self.shift) / self.factor - self.slack
+            least = np.nextafter(least.astype(np.float32), np.float32(EXCLUDED))
+        return np.maximum(least, np.finfo(np.float32).min)
 
-    def winners(self, scores: np.ndarray, r0: int, bars: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``winners`` of the whole strip among the rows from ``r0`` on, by their screened ``scores``.
+    def winners(self, bars: np.ndarray, k: int, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``winners`` of the whole strip among all rows but each query's own, from ``start`` to ``end``.
 
-        Only pairs whose screened score may reach the bar are scored exactly.
+        Maxima of groups of rows tell which groups may hold a hit; their rows
+        are screened again, one by one, and those left are scored exactly.
         """
-        width, height = scores.shape
-        rows = self.rows[r0 : r0 + width]
-        groups = max(1, width // DEPTH)
-        body = width // groups * groups
-        best = scores[:body].reshape(-1, groups, height).max(axis=0)
-        np.maximum(best[: width - body], scores[body:], out=best[: width - body])
+        best, members = self.maxima(start, end)
+        n, groups = len(self.rows), len(best)
+        if groups >= k:
+            # Each of k wider groups holds a row with that score or a higher one.
+            wide = min(groups, max(DEPTH * k, groups // DEPTH))
+            body = groups // wide * wide
+            coarse = best[:body].reshape(-1, wide, len(bars)).max(axis=0)
+            np.maximum(coarse[: groups - body], best[body:], out=coarse[: groups - body])
+            sure = np.partition(coarse, wide - k, axis=0)[wide - k].astype(np.float64) - self.slack
+            np.maximum(bars, settle(self.factor * sure + self.shift, self.metric), out=bars)
         floor = self.floor(bars)
-        hit = (best >= floor) & (best > EXCLUDED)
-        count = hit.sum(0)
-        low = np.flatnonzero(count > k)
-        if low.size:
-            # Each of k groups holds a row with that score or a higher one.
-            sure = np.partition(best[:, low], groups - k, axis=0)[groups - k].astype(np.float64) - self.slack
-            bars[low] = np.maximum(bars[low], settle(self.factor[low] * sure + self.shift[low], self.metric))
-            floor[low] = self.floor(bars[low], low)
-            hit[:, low] = (best[:, low] >= floor[low]) & (best[:, low] > EXCLUDED)
-            count[low] = hit[:, low].sum(0)
-        found = []
-        many = np.flatnonzero(count > min(4 * k, max(8, groups // 4)))
-        step = max(1, TILE // width)
-        for whole in (many[i : i + step] for i in range(0, many.size, step)):
-            raw = score_block(self.queries[whole], rows, self.metric)
-            raw[scores[:, whole].T == EXCLUDED] = EXCLUDED
+        g, q = np.divmod(np.flatnonzero(best >= floor), len(bars))
+        many = np.bincount(q, minlength=len(bars)) > max(4 * k, groups // DEPTH)
+        g, q = g[~many[q]], q[~many[q]]
+        pairs = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        step = max(1, TILE // (DEPTH * max(1, self.single.shape[1])))
+        for i in range(0, q.size, step):
+            some, places = q[i : i + step, None], members[g[i : i + step]]
+            close = np.einsum("grd,gd->gr", self.single[np.minimum(places, n - 1)], self.asked[some[:, 0]])
+            counts = (places < n) & ((places < start[some]) | (places >= end[some]))
+            which, slot = np.nonzero(counts & (close >= floor[some]))
+            pairs.append((some[which, 0], places[which, slot]))
+        q, r = (np.concatenate(part) for part in zip(*pairs))
+        value = settle(pair_scores(self.queries, self.rows, q, r, self.metric), self.metric)
+        q, r, value, last = first_k(q, r, value, k)
+        bars[q[last]] = np.maximum(bars[q[last]], value[last])
+        kept = value >= bars[q]
+        found = [(q[kept], r[kept], value[kept])]
+        whole = np.flatnonzero(many)
+        step = max(1, TILE // n)
+        for some in (whole[i : i + step] for i in range(0, whole.size, step)):
+            raw = score_block(self.queries[some], self.rows, self.metric)
+            for scores, q in zip(raw, some):
+                scores[start[q] : end[q]] = EXCLUDED
             settled = settle(raw, self.metric)
             mask, bar = best_mask(settled, k)
-            q, r = np.nonzero(mask & (settled >= bars[whole][:, None]))
-            found.append((whole[q], r, settled[q, r]))
-            bars[whole] = np.maximum(bars[whole], bar)
-        hit[:, many] = False
-        g, q = np.nonzero(hit)
-        if q.size:
-            places = g[:, None] + np.arange(-(-width // groups)) * groups
-            inside = places < width
-            values = scores[np.where(inside, places, 0), q[:, None]]
-            which, place = np.nonzero(inside & (values >= floor[q][:, None]) & (values > EXCLUDED))
-            q, r = q[which], places[which, place]
-            value = settle(pair_scores(self.queries, rows, q, r, self.metric), self.metric)
-            q, r, value, last = first_k(q, r, value, k)
-            bars[q[last]] = np.maximum(bars[q[last]], value[last])
-            kept = value >= bars[q]
-            found.append((q[kept], r[kept], value[kept]))
-        if not found:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+            q, r = np.nonzero(mask & (settled >= bars[some][:, None]))
+            found.append((some[q], r, settled[q, r]))
+            bars[some] = np.maximum(bars[some], bar)
         return tuple(np.concatenate(part) for part in zip(*found))
 
 
@@ -341,7 +358,7 @@ class Search:
         rows = matrix(table.column(self.column))
         if self.metric == "cosine":
             rows = unit_rows(rows)
-        first = after = None
+        first = after = np.zeros(len(self.queries), np.int64)
         if self.exclude_self:
             # Sorted by id: the rows of an id are neighbours.
             kinds = pc.unique(self.query_ids.drop_null())
@@ -365,23 +382,23 @@ class Search:
             strip = []
             asked = self.queries[part]
             plain = not ordinary(asked).all()
-            if not plain:
-                screen.ask(asked)
             for (of, block), exact in zip(blocks, (plain, True)):
-                if first is not None:
-                    start, end = np.searchsorted(of, first[part]), np.searchsorted(of, after[part])
-                stride = width if exact else WIDE * width
-                for r0 in range(0, len(block), stride):
-                    r1 = min(r0 + stride, len(block))
-                    scores = score_block(asked, block[r0:r1], self.metric) if exact else screen.scores(r0, r1)
-                    if first is not None:
-                        low, high = np.maximum(start - r0, 0), np.minimum(end - r0, r1 - r0)
-                        by_query = scores if exact else scores.T
-                        for q in np.flatnonzero(low < high):
-                            by_query[q, low[q] : high[q]] = EXCLUDED
-                    q, r, score = winners(scores, reached, self.k, self.metric) if exact else screen.winners(scores, r0, reached, self.k)
-                    if q.size:
-                        strip.append((q, of[r0 + r], score))
+                if not len(block):
+                    continue
+                start, end = np.searchsorted(of, first[part]), np.searchsorted(of, after[part])
+                if not exact:
+                    screen.ask(asked)
+                    q, r, score = screen.winners(reached, self.k, start, end)
+                    strip.append((q, of[r], score))
+                    continue
+                for r0 in range(0, len(block), width):
+                    r1 = min(r0 + width, len(block))
+                    scores = score_block(asked, block[r0:r1], self.metric)
+                    low, high = np.maximum(start - r0, 0), np.minimum(end - r0, r1 - r0)
+                    for q in np.flatnonzero(low < high):
+                        scores[q, low[q] : high[q]] = EXCLUDED
+                    q, r, score = winners(scores, reached, self.k, self.metric)
+                    strip.append((q, of[r0 + r], score))
             bars[part] = reached
             if strip:
                 q, r, score = (np.concatenate(of) for of in zip(*strip))

@@ -130,3 +130,36 @@ def test_vectors_beyond_single_precision():
     (got,) = scored("dot", rows, range(7), queries, [None] * 4, k=7)
     hits = [[r["id"] for r in got.to_pylist() if r["_q"] == q] for q in range(4)]
     assert hits == [[4, 0, 1, 2, 5, 6, 3], [4, 0, 1, 2, 5, 6, 3], [0, 1, 2, 5, 6, 3, 4], list(range(7))]
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot", "l2"])
+def test_screened_scores_stay_in_the_cache(monkeypatch, metric):
+    """At most TILE of them at a time, and pairs are scored exactly once a strip, not once a tile."""
+    monkeypatch.setattr(module, "TILE", 1 << 13)
+    monkeypatch.setattr(module, "STRIP", 32)
+    rng = np.random.default_rng(9)
+    rows, queries = rng.normal(size=(8_000, 8)), rng.normal(size=(64, 8))
+    sizes, calls = [], []
+
+    class Seen(module.Screen):
+        def winners(self, *args):
+            found = super().winners(*args)
+            sizes.append(self.room.size)
+            return found
+
+    monkeypatch.setattr(module, "Screen", Seen)
+    exact = module.pair_scores
+    monkeypatch.setattr(module, "pair_scores", lambda *args: calls.append(args[2].size) or exact(*args))
+    (got,) = scored(metric, rows, range(8_000), queries, [None] * len(queries))
+    assert max(sizes) <= module.TILE and len(calls) == 2
+    assert [(r["_q"], r["id"]) for r in got.to_pylist()] == [(q, i) for q, i, _ in plain(metric, rows, range(8_000), queries, [None] * len(queries))]
+
+
+@pytest.mark.parametrize("rows", [1, 15, 16, 17, 1_023, 1_040])
+def test_rows_that_fill_up_a_group_are_no_hits(monkeypatch, rows):
+    monkeypatch.setattr(module, "TILE", 1 << 11)
+    monkeypatch.setattr(module, "STRIP", 32)
+    vectors = -np.abs(np.random.default_rng(rows).normal(size=(rows, 6)))  # a row of zeros would score higher
+    found = scored("dot", vectors, range(rows), -vectors[:40], list(range(40))[: len(vectors[:40])])
+    got = [(r["_q"], r["id"]) for table in found for r in table.to_pylist()]
+    assert got == [(q, i) for q, i, _ in plain("dot", vectors, range(rows), -vectors[:40], list(range(40)))]
